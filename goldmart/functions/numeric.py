@@ -20,7 +20,7 @@ def _col(c: str | Column) -> Column:
 def rint_round(c: str | Column, digits: int = 2) -> Column:
     """Round half to even on the binary value, as ``numpy.round`` does (0.125 -> 0.12)."""
     scale = float(10 ** digits)
-    return F.rint(_col(c) * F.lit(scale)) / F.lit(scale)
+    return F.rint(_col(c) * F.lit(scale)) / F.lit(scale) + F.lit(0.0)  # + 0.0 turns -0.0 into 0.0
 
 
 def round_columns(df: DataFrame, columns: Iterable[str], digits: int = 2) -> DataFrame:
