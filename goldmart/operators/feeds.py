@@ -58,10 +58,11 @@ def cost_revenue_binned(
     min_revenue: float = K.FEED_MIN_REVENUE,
 ) -> DataFrame:
     """The scatter at any scale: an equal-width grid over [0, max] on both axes, with the point
-    count and mean vote per cell. The grid end is a one-row aggregate, broadcast by construction."""
+    count and mean vote per cell."""
     rows = _cost_revenue_rows(gold, min_budget, min_revenue)
-    top = rows.agg(F.greatest(F.max("budget"), F.max("revenue")).alias("_max")).withColumn("_k", F.lit(1))
-    grid = rows.withColumn("_k", F.lit(1)).join(F.broadcast(top), "_k")
+    # the grid end is a scalar subquery: computed once, then used as a constant (no join)
+    top = rows.agg(F.greatest(F.max("budget"), F.max("revenue"))).scalar()
+    grid = rows.withColumn("_max", top)
     cell = lambda c: F.least(F.floor(F.col(c) / F.col("_max") * F.lit(bins)), F.lit(bins - 1)).cast("int")
     return (
         grid.select(cell("budget").alias("faixa_orcamento"), cell("revenue").alias("faixa_receita"), "vote_average", "_max")

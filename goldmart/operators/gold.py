@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from goldmart.constants import GOLD_COLUMNS
 from goldmart.functions.dates import decade, iso_day_text, lenient_date
-from goldmart.functions.literals import first_or_null, parse_name_list
+from goldmart.functions.literals import first_or_null, with_name_list
 from goldmart.functions.numeric import rint_round
 from goldmart.functions.text import present_text
 from goldmart.operators.silver import ParseMetrics
@@ -37,14 +37,18 @@ def build_gold_dataset(
     own dedup or aggregate, so the three joins reuse that partitioning; AQE turns a join into a
     broadcast only when the measured side is below the broadcast threshold.
     """
-    base = movies.select(*_MOVIE_INPUTS).withColumn("_g", parse_name_list("genres"))
-    if metrics is not None:
-        base = metrics.observe(base, "movies.genres", F.col("_g.malformed"))
     joined = (
-        base.join(directors, "id", "left")
+        movies.select(*_MOVIE_INPUTS)
+        .join(directors, "id", "left")
         .join(keywords, "id", "left")
         .join(ratings, "id", "left")
     )
+    # parsed after the joins: the rows keep the id partitioning of the joins (a Python eval
+    # node does not report it, so parsing first would add an exchange); right keys are unique,
+    # so the joins neither add nor drop rows and the malformed count is the same
+    joined = with_name_list(joined, "genres", "_g")
+    if metrics is not None:
+        joined = metrics.observe(joined, "movies.genres", F.col("_g.malformed"))
     day = lenient_date("release_date")
     year = F.year(day)
     out = joined.select(

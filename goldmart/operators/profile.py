@@ -191,11 +191,13 @@ def highlights(receita_por_genero: DataFrame, top_diretores: DataFrame, filmes_p
     dec = filmes_por_decada.agg(
         F.min_by("decade", F.struct(-F.col("qtd_filmes"), F.col("decade"))).cast("int").alias("decada_com_mais_filmes")
     )
-    one = F.lit(1)
-    return (
-        genre.withColumn("_k", one)
-        .join(F.broadcast(director.withColumn("_k", one)), "_k")
-        .join(F.broadcast(dec.withColumn("_k", one)), "_k")
-        .drop("_k")
-    )
+    names = ["genero_lider_receita", "diretor_lider_receita", "decada_com_mais_filmes"]
+    typed = {"genero_lider_receita": "string", "diretor_lider_receita": "string", "decada_com_mais_filmes": "int"}
+
+    def widen(df, name):
+        return df.select(*[F.col(n) if n == name else F.lit(None).cast(typed[n]).alias(n) for n in names])
+
+    # three one-row aggregates stacked and folded into one row: no join
+    stacked = widen(genre, names[0]).unionByName(widen(director, names[1])).unionByName(widen(dec, names[2]))
+    return stacked.agg(*[F.max(n).alias(n) for n in names])
 

@@ -79,8 +79,11 @@ def grouped_quantiles(
         )
         .withColumns(rank_cols)
     )
-    # one row per group; the global case is a single row, broadcast by construction
-    with_bounds = counts.join(F.broadcast(stats) if global_group else stats, keys)
+    if global_group:  # one group: its stats are a scalar subquery, used as constants (no join)
+        packed = stats.select(F.struct(*[c for c in stats.columns if c != "_g"]).alias("s")).scalar()
+        with_bounds = counts.select("*", *[packed[c].alias(c) for c in stats.columns if c != "_g"])
+    else:
+        with_bounds = counts.join(stats, keys)
     bucketed = with_bounds.select(
         *keys, "_v", "_c", _bucket_of(F.col("_v"), F.col("_b"), levels).alias("_k"), *carried
     )

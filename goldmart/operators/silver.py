@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from goldmart.functions.literals import extract_director, first_or_null, parse_name_list
+from goldmart.functions.literals import first_or_null, with_director, with_name_list
 from goldmart.functions.numeric import rint_round, to_double, to_long_truncated
 from goldmart.operators.clean import _order
 from goldmart.operators.dedup import keep_first
@@ -53,7 +53,7 @@ def build_directors(
     (id, order, director) crosses the dedup shuffle."""
     validate_columns(credits, "credits")
     order = _order(credits, order_by)
-    parsed = _valid_ids(credits).select("id", *order, extract_director("crew").alias("_d"))
+    parsed = with_director(_valid_ids(credits).select("id", *order, "crew"), "crew", "_d")
     if metrics is not None:
         parsed = metrics.observe(parsed, "credits.crew", F.col("_d.malformed"))
     narrow = parsed.select("id", *order, F.col("_d.director").alias("director"))
@@ -67,7 +67,7 @@ def build_keywords(
     lists are kept."""
     validate_columns(keywords, "keywords")
     order = _order(keywords, order_by)
-    parsed = _valid_ids(keywords).select("id", *order, parse_name_list("keywords").alias("_k"))
+    parsed = with_name_list(_valid_ids(keywords).select("id", *order, "keywords"), "keywords", "_k")
     if metrics is not None:
         parsed = metrics.observe(parsed, "keywords.keywords", F.col("_k.malformed"))
     narrow = parsed.select(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldmart.constants import REQUIRED_RAW_FILES
-from goldmart.functions.literals import parse_name_list
+from goldmart.functions.literals import with_name_list
 from goldmart.functions.numeric import rint_round, to_double, to_long_truncated
 from goldmart.functions.text import blank_to_null, normalize_na_tokens
 from goldmart.operators import feeds, marts, profile
@@ -115,13 +115,13 @@ def q_clean_entities(spark, d):
 
 
 def q_parse_names(spark, d):
-    t = fr.literal_texts(spark, d).withColumn("_p", parse_name_list("literal"))
+    t = with_name_list(fr.literal_texts(spark, d), "literal", "_p")
     return t.select("p_partkey", "variante", F.array_join("_p.names", "|").alias("nomes"),
                     F.size("_p.names").alias("qtd_nomes"), F.col("_p.malformed").alias("malformada"))
 
 
 def q_malformed_count(spark, d):
-    t = fr.literal_texts(spark, d).withColumn("_p", parse_name_list("literal"))
+    t = with_name_list(fr.literal_texts(spark, d), "literal", "_p")
     return t.groupBy("variante").agg(F.count(F.lit(1)).alias("linhas"),
                                      F.count_if(F.col("_p.malformed")).alias("malformadas"))
 

@@ -32,7 +32,8 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     out = csv_ready(df)
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", "true").csv(path)
+    # RFC 4180 quoting: a quote inside a value is doubled, values with newlines are quoted
+    out.write.mode("overwrite").option("header", "true").option("quote", '"').option("escape", '"').csv(path)
     return path
 
 

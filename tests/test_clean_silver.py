@@ -1,0 +1,115 @@
+"""Cleaning, keep-first, counters and the silver side tables on hand-written rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from goldmart.functions.text import normalize_na_tokens
+from goldmart.operators.clean import clean_counters, clean_movies
+from goldmart.operators.dedup import keep_first
+from goldmart.operators.silver import ParseMetrics, build_directors, build_keywords, build_movie_ratings
+from goldmart.sources.contracts import ContractError, validate_columns
+from tests.conftest import CREDITS, KEYWORDS, LINKS, MOVIE_COLUMNS, MOVIES, RATINGS
+
+
+def frame(spark, rows, columns):
+    data = [tuple([r.get(c) if r.get(c) != "" else None for c in columns] + [i]) for i, r in enumerate(rows)]
+    return spark.createDataFrame(data, ", ".join(f"{c} string" for c in columns) + ", _pos bigint")
+
+
+@pytest.fixture()
+def movies(spark):
+    # NA tokens are nulled at the bronze scan; do the same here
+    return normalize_na_tokens(frame(spark, MOVIES, MOVIE_COLUMNS))
+
+
+def test_keep_first_uses_order(spark):
+    df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (1, 2, "b"), (2, 5, "z")], "k int, p int, v string")
+    out = {r.k: r.v for r in keep_first(df, ["k"], ["p"]).collect()}
+    assert out == {1: "a", 2: "z"}
+
+
+def test_keep_first_plans_group_limit_before_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("p"))
+    plan = keep_first(df, ["k"], ["p"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_clean_movies_rules(movies):
+    rows = {r.id: r for r in clean_movies(movies).collect()}
+    # invalid ids dropped, zero padded id accepted
+    assert 7 in rows and rows[7].title == "Bond"
+    # first row of id 5 is adult: the id disappears although its second row is clean
+    assert 5 not in rows
+    # first of two good rows kept
+    assert rows[6].title == "Six A"
+    # junk / empty adult text keeps the row
+    assert 8 in rows and 6 in rows
+    # blank and NA titles, bad runtimes dropped
+    for gone in (9, 10, 11, 13, 14, 15):
+        assert gone not in rows
+    assert rows[18].title == "Padded"
+    # numbers: 1e3, ' 12 ', 12d, nan, zero
+    assert rows[7].budget == 1000.0 and rows[7].revenue is None
+    assert rows[8].budget == 12.0 and rows[8].revenue is None
+    assert rows[16].budget is None
+    assert rows[18].budget is None and rows[18].revenue == 500.0
+    assert rows[6].budget == -5.0
+    assert rows[1].adult is False
+    assert set(rows) == {1, 6, 7, 8, 16, 17, 18, 19}
+
+
+def test_null_title_policy(spark):
+    row = dict(MOVIES[0], id="40", title=None)
+    df = frame(spark, [row], MOVIE_COLUMNS)
+    assert clean_movies(df).count() == 0
+    kept = clean_movies(df, null_title="keep").collect()
+    assert [r.title for r in kept] == ["nan"]
+
+
+def test_clean_counters(movies):
+    c = clean_counters(movies).first()
+    assert c.linhas_brutas == len(MOVIES)
+    assert c.ids_invalidos == 4  # '1997-08-20', '12.0', ' 12', '' (null)
+    assert c.ids_duplicados == 2  # ids 5 and 6
+
+
+def test_contract_error_lists_missing_sorted(spark):
+    df = spark.createDataFrame([(1,)], "id int")
+    with pytest.raises(ContractError) as e:
+        validate_columns(df, "credits")
+    assert "crew" in str(e.value)
+    with pytest.raises(ContractError) as e:
+        clean_movies(df)
+    msg = str(e.value)
+    assert msg.index("adult") < msg.index("budget") < msg.index("vote_count")
+
+
+def test_directors_first_row_wins(spark):
+    metrics = ParseMetrics()
+    out = build_directors(frame(spark, CREDITS, ["id", "crew"]), metrics=metrics)
+    got = {r.id: r.director for r in out.collect()}
+    assert got == {1: "John Lasseter", 7: "Terence Young", 6: "Second D", 12: "Trunc"}
+    assert metrics.counts() == {"credits.crew": 1}
+
+
+def test_keywords_table(spark):
+    metrics = ParseMetrics()
+    out = build_keywords(frame(spark, KEYWORDS, ["id", "keywords"]), metrics=metrics)
+    got = {r.id: (list(r.keywords_list), r.primary_keyword, r.keyword_count) for r in out.collect()}
+    assert got[1] == (["jealousy", "toy", "toy"], "jealousy", 3)
+    assert got[6] == ([], None, 0)
+    assert got[8] == (["Joe's"], "Joe's", 1)
+    assert got[18] == ([], None, 0)
+    assert metrics.counts() == {"keywords.keywords": 1}
+
+
+def test_rating_bridge(spark):
+    links = frame(spark, LINKS, ["movieId", "tmdbId"])
+    ratings = frame(spark, RATINGS, ["userId", "movieId", "rating", "timestamp"]).drop("_pos")
+    got = {r.id: (r.user_rating_avg, r.user_rating_count) for r in build_movie_ratings(links, ratings).collect()}
+    # movieIds 100 and 101 share tmdbId 1: ratings 4, 5, 3 (null rating dropped, null user kept)
+    assert got[1] == (4.0, 3)
+    # duplicate movieId 200: first mapping (7) kept
+    assert got[7] == (2.5, 1) and 999 not in got
+    # link without tmdbId dropped
+    assert set(got) == {1, 7}
