@@ -1,0 +1,3 @@
+"""No streaming operators: the source pipeline reads finite files once and has no watermark,
+event-time window, late data or state, so there is nothing to express with Structured Streaming.
+Batch landing (``goldmart.sources.bronze``) is the ingest path."""
