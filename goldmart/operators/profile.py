@@ -75,6 +75,11 @@ def shapes(frames: Mapping[str, DataFrame], files: Mapping[str, str] | None = No
     return out
 
 
+def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] = ("id",)) -> DataFrame:
+    """First ``n`` rows in a stated order (each task keeps its own top ``n``)."""
+    return df.orderBy(*order_by).limit(n)
+
+
 def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(tabela, linhas) per analytic table."""
     parts = [t.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(n).alias("tabela"), "linhas") for n, t in tables.items()]

@@ -25,6 +25,7 @@ from goldmart.operators.silver import build_directors, build_keywords, build_mov
 from goldmart.plans import frames as fr
 from goldmart.plans.frames import LINE_ORDER, THRESHOLDS as TH
 from goldmart.session import scratch_path
+from goldmart.sinks.writers import manifest, write_csv, write_tables
 
 
 # ----------------------------------------------------------------------------- shared builders
@@ -227,6 +228,23 @@ def q_feed_corr_matrix(spark, d):
     return feeds.corr_matrix(marts.correlation_grid(stored_gold(spark, d)))
 
 
+def q_raw_vs_clean_shape(spark, d):
+    dirty = _dirty(spark, d)
+    return profile.shapes({"raw": dirty, "clean": clean_movies(dirty, order_by=LINE_ORDER)})
+
+
+def q_gold_preview(spark, d):
+    return flat(profile.preview(stored_gold(spark, d), 5, ["id"]))
+
+
+def q_output_manifest(spark, d):
+    out = scratch_path(spark, "catalogue-out")
+    g = stored_gold(spark, d)
+    write_csv(g, f"{out}/filmes_processados.csv")
+    write_tables(order_tables(spark, d, g), out)
+    return manifest(spark, out, "*.csv")
+
+
 def q_gold_dtypes(spark, d):
     return profile.gold_dtypes(stored_gold(spark, d))
 
@@ -273,6 +291,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_cost_revenue_max": q_feed_cost_revenue_max,
     "feed_cost_revenue_binned": q_feed_cost_revenue_binned,
     "feed_corr_matrix": q_feed_corr_matrix,
+    "raw_vs_clean_shape": q_raw_vs_clean_shape,
+    "gold_preview": q_gold_preview,
+    "output_manifest": q_output_manifest,
     "gold_dtypes": q_gold_dtypes,
     "parquet_roundtrip": q_parquet_roundtrip,
 }

@@ -59,7 +59,9 @@ def order_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = li.groupBy("l_orderkey").agg(
         (F.sum(net) / F.lit(100.0)).alias("budget"),
         F.count(F.lit(1)).cast("double").alias("vote_count"),
-        (F.rint(F.avg("l_discount") * F.lit(100.0) * F.lit(4.0)) / F.lit(4.0)).alias("vote_average"),
+        # mean discount in quarter points from exact integer cents: 4 * S / n is one correctly
+        # rounded division, so an exact half step rounds the same (to even) in any engine
+        (F.rint(F.lit(4.0) * F.sum(F.rint(F.col("l_discount") * F.lit(100.0))) / F.count(F.lit(1))) / F.lit(4.0)).alias("vote_average"),
         (F.rint(F.sum("l_tax") * F.lit(100.0)) / F.lit(100.0)).alias("popularity"),
         F.max("l_shipdate").alias("_last_ship"),
     )

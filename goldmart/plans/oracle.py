@@ -30,7 +30,7 @@ la AS (
   SELECT l_orderkey,
     sum(round_even(l_extendedprice * (1 - l_discount) * 100::DOUBLE, 0)) / 100::DOUBLE AS budget,
     CAST(count(*) AS DOUBLE) AS vote_count,
-    round_even(avg(l_discount) * 100::DOUBLE * 4::DOUBLE, 0) / 4::DOUBLE AS vote_average,
+    round_even(4::DOUBLE * sum(round_even(l_discount * 100::DOUBLE, 0)) / count(*), 0) / 4::DOUBLE AS vote_average,
     round_even(sum(l_tax) * 100::DOUBLE, 0) / 100::DOUBLE AS popularity,
     max(l_shipdate) AS last_ship
   FROM lineitem GROUP BY l_orderkey
@@ -343,6 +343,13 @@ FEED_CORR_MATRIX = with_gold(f"""SELECT feature, max(correlation) FILTER (WHERE
   max(correlation) FILTER (WHERE target = 'roi') AS roi FROM ({CORRELATION}) t GROUP BY feature""")
 
 
+RAW_VS_CLEAN_SHAPE = f"""WITH {CLEAN_CTE}
+SELECT 'raw' AS dataset, count(*) AS linhas, CAST(21 AS BIGINT) AS colunas FROM lineitem
+UNION ALL SELECT 'clean', count(*), 21 FROM clean"""
+
+GOLD_PREVIEW = with_gold("SELECT " + ", ".join(GOLD_COLUMNS) + " FROM gold ORDER BY id LIMIT 5")
+
+
 SQL: dict[str, str] = {
     "na_tokens_to_null": NA_TOKENS,
     "source_summary": SOURCE_SUMMARY,
@@ -380,4 +387,6 @@ SQL: dict[str, str] = {
     "feed_cost_revenue_binned": FEED_COST_REVENUE_BINNED,
     "feed_corr_matrix": FEED_CORR_MATRIX,
     "parquet_roundtrip": GOLD_DATASET,
+    "raw_vs_clean_shape": RAW_VS_CLEAN_SHAPE,
+    "gold_preview": GOLD_PREVIEW,
 }
