@@ -21,6 +21,40 @@ def _rows(df: DataFrame) -> list[dict]:
     return [r.asDict() for r in df.collect()]
 
 
+def save_outputs(out_dir: str, gold: DataFrame, tables: Mapping[str, DataFrame], gold_written: str | None = None) -> dict[str, str]:
+    """Gold as Parquet (replaced each run) and CSV, every analytic table as CSV; returns paths.
+    ``gold_written``: the Parquet already holds this gold, do not write it again."""
+    out = out_dir.rstrip("/")
+    paths = {"filmes_processados_parquet": gold_written or write_parquet(gold, f"{out}/filmes_processados_parquet")}
+    paths["filmes_processados_csv"] = write_csv(gold, f"{out}/filmes_processados.csv")
+    paths.update(write_tables(tables, out))
+    return paths
+
+
+def chart_feeds(
+    gold: DataFrame,
+    tables: Mapping[str, DataFrame],
+    min_budget: float = K.TOP_FILM_MIN_BUDGET,
+    min_revenue: float = K.FEED_MIN_REVENUE,
+) -> dict[str, DataFrame]:
+    """The data behind the four charts (bars by genre, decades, budget vs revenue with its
+    diagonal and a binned form for any scale, correlation heat map)."""
+    return {
+        "receita_por_genero": feeds.genre_bars(tables["receita_por_genero"]),
+        "filmes_por_decada": feeds.decade_dual(tables["filmes_por_decada"]),
+        "orcamento_vs_receita": feeds.cost_revenue(gold, min_budget, min_revenue),
+        "orcamento_vs_receita_grade": feeds.cost_revenue_binned(gold, 50, min_budget, min_revenue),
+        "orcamento_vs_receita_diagonal": feeds.cost_revenue_max(gold, min_budget, min_revenue),
+        "correlacoes_sucesso": feeds.corr_matrix(tables["correlacoes_sucesso"]),
+    }
+
+
+def save_chart_feeds(out_dir: str, frames: Mapping[str, DataFrame]) -> dict[str, str]:
+    feed_dir = f"{out_dir.rstrip('/')}/visualizacoes"
+    bounded = ("orcamento_vs_receita_diagonal", "correlacoes_sucesso")
+    return {name: write_csv(df, f"{feed_dir}/{name}.csv", single_file=name in bounded) for name, df in frames.items()}
+
+
 def run_frames(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
@@ -42,10 +76,9 @@ def run_frames(
     ratings = build_movie_ratings(raw["links"], raw["ratings"], order_by=order_by.get("links"))
     gold_plan = build_gold_dataset(clean, directors, keywords, ratings, metrics)
 
-    paths = {"filmes_processados_parquet": write_parquet(gold_plan, f"{out}/filmes_processados_parquet")}
+    gold_path = write_parquet(gold_plan, f"{out}/filmes_processados_parquet")
     malformed = metrics.warn()
-    gold = spark.read.parquet(paths["filmes_processados_parquet"])
-    paths["filmes_processados_csv"] = write_csv(gold, f"{out}/filmes_processados.csv")
+    gold = spark.read.parquet(gold_path)
 
     tables = marts.build_aggregations(
         gold,
@@ -57,23 +90,13 @@ def run_frames(
         top_min_votes=th.get("top_min_votes", K.TOP_FILM_MIN_VOTE_COUNT),
         top_min_budget=th.get("top_min_budget", K.TOP_FILM_MIN_BUDGET),
     )
-    paths.update(write_tables(tables, out))
-
+    paths = save_outputs(out, gold, tables, gold_written=gold_path)
     feed_paths = {}
     if write_feeds:
-        feed_dir = f"{out}/visualizacoes"
-        fb, fr_ = th.get("feed_min_budget", K.TOP_FILM_MIN_BUDGET), th.get("feed_min_revenue", K.FEED_MIN_REVENUE)
-        frames = {
-            "receita_por_genero": feeds.genre_bars(tables["receita_por_genero"]),
-            "filmes_por_decada": feeds.decade_dual(tables["filmes_por_decada"]),
-            "orcamento_vs_receita": feeds.cost_revenue(gold, fb, fr_),
-            "orcamento_vs_receita_grade": feeds.cost_revenue_binned(gold, 50, fb, fr_),
-            "orcamento_vs_receita_diagonal": feeds.cost_revenue_max(gold, fb, fr_),
-            "correlacoes_sucesso": feeds.corr_matrix(tables["correlacoes_sucesso"]),
-        }
-        for name, df in frames.items():
-            bounded = name in ("orcamento_vs_receita_diagonal", "correlacoes_sucesso")
-            feed_paths[name] = write_csv(df, f"{feed_dir}/{name}.csv", single_file=bounded)
+        feed_paths = save_chart_feeds(
+            out, chart_feeds(gold, tables, th.get("feed_min_budget", K.TOP_FILM_MIN_BUDGET),
+                             th.get("feed_min_revenue", K.FEED_MIN_REVENUE))
+        )
 
     stages = profile.stage_counters(raw, clean, directors, keywords, ratings, gold)
     stage_rows = _rows(stages)
