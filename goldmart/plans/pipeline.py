@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from goldmart import constants as K
@@ -16,6 +16,22 @@ from goldmart.sinks.writers import manifest, write_csv, write_parquet, write_tab
 from goldmart.sources.bronze import load_raw_datasets, source_summary
 
 
+class RowCounters:
+    """Row counts gathered by ``DataFrame.observe`` while the gold write runs: every counted
+    frame is part of that plan, so counting costs no extra job or scan."""
+
+    def __init__(self):
+        self._obs: dict[str, Observation] = {}
+
+    def count(self, df: DataFrame, name: str, measure=None) -> DataFrame:
+        obs = Observation(f"rows_{name}")
+        self._obs[name] = obs
+        return df.observe(obs, (F.count(F.lit(1)) if measure is None else measure).cast("bigint").alias("n"))
+
+    def get(self, name: str) -> int:
+        return int(self._obs[name].get["n"])
+
+
 def _rows(df: DataFrame) -> list[dict]:
     """Small summaries only (a handful of counters)."""
     return [r.asDict() for r in df.collect()]
@@ -70,11 +86,16 @@ def run_frames(
     th = dict(thresholds or {})
     out = out_dir.rstrip("/")
     metrics = ParseMetrics()
-    clean = clean_movies(raw["movies"], order_by=order_by.get("movies"))
-    directors = build_directors(raw["credits"], order_by=order_by.get("credits"), metrics=metrics)
-    keywords = build_keywords(raw["keywords"], order_by=order_by.get("keywords"), metrics=metrics)
-    ratings = build_movie_ratings(raw["links"], raw["ratings"], order_by=order_by.get("links"))
-    gold_plan = build_gold_dataset(clean, directors, keywords, ratings, metrics)
+    rc = RowCounters()
+    src = {name: rc.count(df, f"raw_{name}") for name, df in raw.items()}
+    clean = rc.count(clean_movies(src["movies"], order_by=order_by.get("movies")), "clean")
+    directors = rc.count(build_directors(src["credits"], order_by=order_by.get("credits"), metrics=metrics), "directors")
+    keywords = rc.count(
+        build_keywords(src["keywords"], order_by=order_by.get("keywords"), metrics=metrics),
+        "keywords", F.count_if(F.col("keyword_count") > 0),
+    )
+    ratings = rc.count(build_movie_ratings(src["links"], src["ratings"], order_by=order_by.get("links")), "ratings")
+    gold_plan = rc.count(build_gold_dataset(clean, directors, keywords, ratings, metrics), "gold")
 
     gold_path = write_parquet(gold_plan, f"{out}/filmes_processados_parquet")
     malformed = metrics.warn()
@@ -98,12 +119,20 @@ def run_frames(
                              th.get("feed_min_revenue", K.FEED_MIN_REVENUE))
         )
 
-    stages = profile.stage_counters(raw, clean, directors, keywords, ratings, gold)
-    stage_rows = _rows(stages)
-    stage_summary: dict = {}
-    for row in stage_rows:
-        stage_summary.setdefault(row["etapa"], {})[row["indicador"]] = row["valor"]
-    stage_summary.setdefault("fontes", {})["arquivos"] = list(K.REQUIRED_RAW_FILES.values())
+    raw_rows = {name: rc.get(f"raw_{name}") for name in raw}
+    stage_summary: dict = {
+        "fontes": {"quantidade_arquivos": len(raw), "arquivos": list(K.REQUIRED_RAW_FILES.values())},
+        "ingestao": {"dataset_lidos": len(raw), "total_linhas_brutas": sum(raw_rows.values())},
+        "transformacao": {
+            "movies_linhas_brutas": raw_rows["movies"],
+            "movies_linhas_apos_limpeza": rc.get("clean"),
+            "diretores_extraidos": rc.get("directors"),
+            "filmes_com_palavras_chave": rc.get("keywords"),
+            "filmes_com_ratings": rc.get("ratings"),
+            "dataset_gold_linhas": rc.get("gold"),
+            "dataset_gold_colunas": len(gold.columns),
+        },
+    }
     stage_summary["carregamento"] = {
         "csv_principal": paths["filmes_processados_csv"],
         "parquet_principal": paths["filmes_processados_parquet"],
@@ -120,7 +149,11 @@ def run_frames(
         "paths": paths,
         "feed_paths": feed_paths,
         "malformed": malformed,
-        "source_summary": _rows(source_summary(dict(raw))),
+        "source_summary": [
+            {"dataset": name, "arquivo": K.REQUIRED_RAW_FILES.get(name), "linhas": raw_rows[name],
+             "colunas": len([c for c in df.columns if not c.startswith("_")])}
+            for name, df in raw.items()
+        ],
         "stage_summary": stage_summary,
         "output_summary": {"processed_dir": out, "arquivos_saida": paths, "graficos": feed_paths},
     }
