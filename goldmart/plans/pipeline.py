@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from goldmart import constants as K
-from goldmart.operators import feeds, marts, profile
+from goldmart.operators import feeds, marts
 from goldmart.operators.clean import clean_movies
 from goldmart.operators.gold import build_gold_dataset
 from goldmart.operators.silver import ParseMetrics, build_directors, build_keywords, build_movie_ratings
 from goldmart.sinks.writers import manifest, write_csv, write_parquet, write_tables
-from goldmart.sources.bronze import load_raw_datasets, source_summary
+from goldmart.sources.bronze import load_raw_datasets
 
 
 class RowCounters:
@@ -32,11 +32,6 @@ class RowCounters:
         return int(self._obs[name].get["n"])
 
 
-def _rows(df: DataFrame) -> list[dict]:
-    """Small summaries only (a handful of counters)."""
-    return [r.asDict() for r in df.collect()]
-
-
 def save_outputs(out_dir: str, gold: DataFrame, tables: Mapping[str, DataFrame], gold_written: str | None = None) -> dict[str, str]:
     """Gold as Parquet (replaced each run) and CSV, every analytic table as CSV; returns paths.
     ``gold_written``: the Parquet already holds this gold, do not write it again."""
