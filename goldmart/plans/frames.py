@@ -38,13 +38,16 @@ _ORDER_KEY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. ``lineitem`` and ``orders`` are hash-partitioned by order key, the layout a
-    co-partitioned fact pair is stored in (the given files hold one row group each, which would
-    put every stage before the first exchange into one task); the per-order aggregate and the
-    order joins then reuse that partitioning instead of shuffling again."""
+    """A given table. A fact table stored in fewer files than the session has cores (the given
+    files hold one row group each) would put every stage before its first exchange into one task;
+    such a table is hash-partitioned by order key, which the per-order aggregate, the order joins
+    and the link ``distinct`` then reuse. A table spread over many files (the layout at scale) is
+    parallel from the scan and is left as it is: no extra shuffle."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     key = _ORDER_KEY.get(name)
-    return df.repartition(key) if key else df
+    if key and len(df.inputFiles()) < spark.sparkContext.defaultParallelism:
+        return df.repartition(key)
+    return df
 
 
 def _s(c) -> F.Column:
