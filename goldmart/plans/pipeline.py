@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from goldmart import constants as K
-from goldmart.operators import feeds, marts
+from goldmart.operators import feeds, marts, profile
 from goldmart.operators.clean import clean_movies
 from goldmart.operators.gold import build_gold_dataset
 from goldmart.operators.silver import ParseMetrics, build_directors, build_keywords, build_movie_ratings
@@ -151,6 +151,15 @@ def run_frames(
         ],
         "stage_summary": stage_summary,
         "output_summary": {"processed_dir": out, "arquivos_saida": paths, "graficos": feed_paths},
+        # inspection views, lazy: nothing runs unless a caller asks for them
+        "views": {
+            "valores_ausentes": profile.null_profile(raw["movies"], clean),
+            "estatisticas_numericas": profile.describe_numeric(gold),
+            "linhas_por_tabela": profile.table_row_counts(tables),
+            "registro_bruto_vs_final": profile.raw_vs_gold(raw["movies"], gold),
+            "tipos_das_colunas": profile.gold_dtypes(gold),
+            "destaques": profile.highlights(tables["receita_por_genero"], tables["top_diretores"], tables["filmes_por_decada"]),
+        },
     }
 
 

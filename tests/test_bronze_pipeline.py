@@ -104,3 +104,13 @@ def test_end_to_end(spark, raw_dir, tmp_dir):
     assert res["stage_summary"]["transformacao"]["dataset_gold_linhas"] == len(rows)
     assert res["stage_summary"]["transformacao"]["dataset_gold_colunas"] == 25
     assert [d["dataset"] for d in res["source_summary"]] == ["movies", "credits", "keywords", "links", "ratings"]
+    views = res["views"]
+    top = views["destaques"].first()
+    assert top.genero_lider_receita is not None and top.decada_com_mais_filmes in (1990, 2000)
+    assert {r.tabela: r.linhas for r in views["linhas_por_tabela"].collect()}["correlacoes_sucesso"] == 12
+    assert views["tipos_das_colunas"].count() == 25
+    assert views["estatisticas_numericas"].where("coluna = 'id'").first()["count"] == len(rows)
+    missing = {r.coluna: (r.raw, r.clean) for r in views["valores_ausentes"].collect()}
+    assert missing["id"][1] == 0 and missing["id"][0] >= 1
+    fields = {r.campo for r in views["registro_bruto_vs_final"].collect()}
+    assert {"id", "genres", "primary_genre"} <= fields
