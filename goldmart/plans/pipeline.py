@@ -73,6 +73,7 @@ def run_frames(
     order_by: Mapping[str, Sequence[str]] | None = None,
     thresholds: Mapping[str, float] | None = None,
     write_feeds: bool = True,
+    null_title: str = "drop",
 ) -> dict:
     """Build and write everything from raw (bronze) frames keyed movies/credits/keywords/links/
     ratings. Gold is written once and read back: its lineage is cut there, and the eleven tables
@@ -83,7 +84,7 @@ def run_frames(
     metrics = ParseMetrics()
     rc = RowCounters()
     src = {name: rc.count(df, f"raw_{name}") for name, df in raw.items()}
-    clean = rc.count(clean_movies(src["movies"], order_by=order_by.get("movies")), "clean")
+    clean = rc.count(clean_movies(src["movies"], order_by=order_by.get("movies"), null_title=null_title), "clean")
     directors = rc.count(build_directors(src["credits"], order_by=order_by.get("credits"), metrics=metrics), "directors")
     keywords = rc.count(
         build_keywords(src["keywords"], order_by=order_by.get("keywords"), metrics=metrics),

@@ -114,3 +114,15 @@ def test_end_to_end(spark, raw_dir, tmp_dir):
     assert missing["id"][1] == 0 and missing["id"][0] >= 1
     fields = {r.campo for r in views["registro_bruto_vs_final"].collect()}
     assert {"id", "genres", "primary_genre"} <= fields
+
+
+def test_keep_first_across_files_follows_file_order(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "movies")
+    os.makedirs(d)
+    header = "id,title,adult,budget,revenue,runtime,genres,belongs_to_collection,vote_average,vote_count,popularity,original_language,release_date,overview,status\n"
+    write(os.path.join(d, "part-a.csv"), header + "1,First,False,1,2,90,[],,1,1,1,en,1995-01-01,x,R\n2,Only A,False,1,2,90,[],,1,1,1,en,1995-01-01,x,R\n")
+    write(os.path.join(d, "part-b.csv"), header + "1,Second,False,1,2,90,[],,1,1,1,en,1995-01-01,x,R\n3,Only B,False,1,2,90,[],,1,1,1,en,1995-01-01,x,R\n")
+    from goldmart.operators.clean import clean_movies
+    bronze = land_bronze(spark, d, os.path.join(tmp_dir, "bronze"), "movies")
+    got = {r.id: r.title for r in clean_movies(bronze).collect()}
+    assert got == {1: "First", 2: "Only A", 3: "Only B"}
