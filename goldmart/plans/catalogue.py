@@ -25,7 +25,7 @@ from goldmart.operators.silver import build_directors, build_keywords, build_mov
 from goldmart.plans import frames as fr
 from goldmart.plans.frames import LINE_ORDER, THRESHOLDS as TH
 from goldmart.session import scratch_path
-from goldmart.sinks.writers import manifest, write_csv, write_tables
+from goldmart.sinks.writers import manifest, write_csv, write_parquet, write_tables
 
 
 # ----------------------------------------------------------------------------- shared builders
@@ -250,8 +250,8 @@ def q_gold_dtypes(spark, d):
 
 
 def q_parquet_roundtrip(spark, d):
-    path = scratch_path(spark, "gold-roundtrip")
-    order_gold(spark, d).write.mode("overwrite").parquet(path)
+    # gold through the Parquet sink (directory replaced on every run) and back
+    path = write_parquet(stored_gold(spark, d), scratch_path(spark, "gold-roundtrip"))
     return flat(spark.read.parquet(path))
 
 
