@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -176,12 +176,19 @@ def raw_vs_gold(raw: DataFrame, gold: DataFrame, order_by: str = "id", raw_order
 
 
 def gold_dtypes(df: DataFrame) -> DataFrame:
-    """(coluna, tipo) in column order."""
-    spark: SparkSession = df.sparkSession
-    return spark.createDataFrame(
-        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
-        "posicao int, coluna string, tipo string",
-    )
+    """(posicao, coluna, tipo, nao_nulos): column order, type and non-null count, from one
+    aggregate over the data (the type names come from the schema)."""
+    rows = [
+        F.struct(
+            F.lit(i).alias("posicao"),
+            F.lit(f.name).alias("coluna"),
+            F.lit(f.dataType.simpleString()).alias("tipo"),
+            F.col(f"_n{i}").alias("nao_nulos"),
+        )
+        for i, f in enumerate(df.schema.fields)
+    ]
+    counts = df.agg(*[F.count(F.col(f.name)).alias(f"_n{i}") for i, f in enumerate(df.schema.fields)])
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def highlights(receita_por_genero: DataFrame, top_diretores: DataFrame, filmes_por_decada: DataFrame) -> DataFrame:

@@ -343,6 +343,21 @@ FEED_CORR_MATRIX = with_gold(f"""SELECT feature, max(correlation) FILTER (WHERE
   max(correlation) FILTER (WHERE target = 'roi') AS roi FROM ({CORRELATION}) t GROUP BY feature""")
 
 
+# The gold column types of the contract (Spark type names).
+GOLD_TYPES = {
+    "id": "bigint", "title": "string", "primary_genre": "string", "genres_list": "array<string>",
+    "director": "string", "primary_keyword": "string", "keywords_list": "array<string>",
+    "keyword_count": "bigint", "budget": "double", "revenue": "double", "profit": "double", "roi": "double",
+    "vote_average": "double", "vote_count": "double", "user_rating_avg": "double",
+    "user_rating_count": "bigint", "popularity": "double", "runtime": "double",
+    "original_language": "string", "release_date": "string", "release_year": "int", "decade": "int",
+    "has_collection": "int", "overview": "string", "status": "string",
+}
+GOLD_DTYPES = with_gold("\nUNION ALL\n".join(
+    f"SELECT {i} AS posicao, '{c}' AS coluna, '{GOLD_TYPES[c]}' AS tipo, count({c}) AS nao_nulos FROM gold"
+    for i, c in enumerate(GOLD_COLUMNS)
+))
+
 RAW_VS_CLEAN_SHAPE = f"""WITH {CLEAN_CTE}
 SELECT 'raw' AS dataset, count(*) AS linhas, CAST(21 AS BIGINT) AS colunas FROM lineitem
 UNION ALL SELECT 'clean', count(*), 21 FROM clean"""
@@ -389,4 +404,5 @@ SQL: dict[str, str] = {
     "parquet_roundtrip": GOLD_DATASET,
     "raw_vs_clean_shape": RAW_VS_CLEAN_SHAPE,
     "gold_preview": GOLD_PREVIEW,
+    "gold_dtypes": GOLD_DTYPES,
 }

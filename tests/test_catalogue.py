@@ -38,7 +38,7 @@ def duck():
 
 def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {"gold_dtypes", "output_manifest"}
+    assert set(E.queries()) - set(E.oracle_sql()) == {"output_manifest"}
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
