@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from goldmart import constants as K
 from goldmart.functions.numeric import rint_round, scaled
-from goldmart.operators.quantiles import grouped_median
+from goldmart.operators.quantiles import grouped_quantiles
 
 TOP_FILM_COLUMNS = [
     "title", "release_year", "primary_genre", "director", "revenue", "budget", "profit", "roi",
@@ -109,13 +109,16 @@ def top_keywords(gold: DataFrame, min_count: int = K.MIN_KEYWORD_FILMS, exploded
     return _rounded_select(agg, cols, cols[2:])
 
 
-def group_summary(df: DataFrame, group_column: str, min_count: int, median: str = "exact") -> DataFrame:
+def group_summary(
+    df: DataFrame, group_column: str, min_count: int, median: str = "exact", median_levels: int = 8
+) -> DataFrame:
     """Success summary per group: count, total (billions), mean and median revenue (millions),
     mean ROI, vote and user rating. Rows need the key and revenue; groups below ``min_count``
     are dropped; values are rounded first, then sorted by rounded total and count, descending.
 
-    ``median='exact'`` uses the distributed exact selection of ``grouped_median``;
-    ``median='approx'`` uses ``percentile_approx`` (bounded memory, approximate).
+    ``median='exact'`` uses the distributed exact selection of ``grouped_quantiles``, whose
+    largest sort is a group's distinct values / 2**``median_levels`` (raise it for extreme hot
+    groups); ``median='approx'`` uses ``percentile_approx`` (bounded memory, approximate).
     """
     base = df.where(_present(group_column, "revenue"))
     agg = base.groupBy(group_column).agg(
@@ -128,7 +131,9 @@ def group_summary(df: DataFrame, group_column: str, min_count: int, median: str
         *([F.percentile_approx("revenue", 0.5, 10000).cast("double").alias("_median")] if median == "approx" else []),
     ).where(F.col("qtd_filmes") >= F.lit(min_count))
     if median != "approx":
-        med = grouped_median(base, [group_column], "revenue").withColumnRenamed("median", "_median")
+        med = grouped_quantiles(
+            base, [group_column], "revenue", [0.5], ["_median"], midpoint_mean=True, levels=median_levels
+        )
         agg = agg.join(med, group_column, "left")
     cols = [
         F.col(group_column),

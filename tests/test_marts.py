@@ -77,6 +77,12 @@ def test_group_summary_median_and_order(gold):
     assert marts.group_summary(gold, "director", 3).count() == 1
 
 
+def test_group_summary_median_levels(gold):
+    a = {r.director: r.receita_mediana_mi for r in marts.group_summary(gold, "director", 1, median_levels=2).collect()}
+    b = {r.director: r.receita_mediana_mi for r in marts.group_summary(gold, "director", 1, median_levels=10).collect()}
+    assert a == b == {"d1": 2000.0, "d2": 6500.0}
+
+
 def test_group_summary_approx_option(gold):
     rows = {r.director: r for r in marts.group_summary(gold, "director", 1, median="approx").collect()}
     assert rows["d1"].receita_mediana_mi == 2000.0
