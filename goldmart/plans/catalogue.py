@@ -184,8 +184,7 @@ def q_describe_numeric(spark, d):
 
 def q_stage_counters(spark, d):
     s = silver(spark, d)
-    g = build_gold_dataset(s["clean"], s["directors"], s["keywords"], s["ratings"])
-    return profile.stage_counters(s["raw"], s["clean"], s["directors"], s["keywords"], s["ratings"], g)
+    return profile.stage_counters(s["raw"], s["clean"], s["directors"], s["keywords"], s["ratings"], stored_gold(spark, d))
 
 
 def q_table_row_counts(spark, d):
