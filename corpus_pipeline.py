@@ -13,11 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from goldmart.llm import bpe, simhash  # noqa: E402
-from goldmart.llm.common import table  # noqa: E402
+from goldmart.llm import bpe, langid, simhash, toxicity  # noqa: E402
+from goldmart.llm.common import crc_fold, table  # noqa: E402
 from goldmart.session import materialize  # noqa: E402
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below 0.7, learned from the labels of the documents table."""
+    model = toxicity.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_fold("doc_id", 3) != 1)
+    names = docs.columns
+    return toxicity.score_texts(docs, model).where("predicted = 0").select(*names)
+
+
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has letters and fits a learned language."""
+    model = langid.learn(table(spark, sf_dir, "documents"), crc_fold("doc_id", 4) != 2)
+    names = docs.columns
+    return langid.predict(docs, model).where("not rejected").select(*names)
+
+
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group (three words, two bits): the smallest doc_id."""
     return simhash.keep_one(docs, shingle=3, radius=2)
@@ -31,7 +45,7 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return coded.select("doc_id", "n_tokens", "ids")
 
 
-STAGES = [("simhash_near_dedup", deduplicate), ("byte_bpe", encode_texts)]
+STAGES = [("toxicity", drop_toxic), ("language_id", drop_unknown_language), ("simhash_near_dedup", deduplicate), ("byte_bpe", encode_texts)]
 
 #: The classifiers, fingerprints and token ids have no SQL form.
 ORACLE_SQL = None

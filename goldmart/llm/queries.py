@@ -5,14 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldmart.llm import bpe, chat, near_vectors, simhash
-from goldmart.llm.common import table
+from goldmart.llm import bpe, chat, langid, near_vectors, simhash, toxicity
+from goldmart.llm.common import crc_fold, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), crc_fold("doc_id", 3) != 1)
+    scored = toxicity.score_texts(docs, model, threshold=0.7)
+    return scored.select("doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.learn(docs, crc_fold("doc_id", 4) != 2)
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
@@ -41,7 +55,7 @@ def _escaped(text: str) -> str:
     return out
 
 
-QUERIES = {f.__name__: f for f in (op4_embedding_near_dedup, op8_chat_formatting, op9_simhash_near_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op4_embedding_near_dedup, op7_language_id, op8_chat_formatting, op9_simhash_near_dedup, op10_byte_bpe)}
 
 _MARKS = len(chat.OPEN) + len(chat.ROLE_END) + len(chat.CLOSE)
 
