@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from goldmart.llm.common import ship
+from goldmart.llm.common import appended, ship, slices
 
 PIECE_CHARS = 20_000
 _CUT = re.compile(r"[A-Za-z](?= [A-Za-z])")
@@ -50,27 +50,20 @@ def pieces(text: str, size: int = PIECE_CHARS):
     yield text[start:]
 
 
-def _outputs(df: DataFrame, added: list[T.StructField]) -> tuple[list[str], T.StructType]:
-    names = {f.name.lower() for f in added}
-    kept = [f for f in df.schema.fields if f.name.lower() not in names]
-    return [f.name for f in kept], T.StructType(kept + added)
-
-
 def encode(df: DataFrame, rank_file: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
     """Add ``n_tokens`` (long) and ``ids`` (binary, little-endian unsigned 32-bit) for each text;
     with ``decoded`` also ``decoded`` (binary), the bytes read back from the ids."""
     added = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
     if decoded:
         added.append(T.StructField("decoded", T.BinaryType()))
-    kept, schema = _outputs(df, added)
-    columns = list(df.columns)
-    at, keep_at = columns.index(text), [columns.index(c) for c in kept]
+    kept, schema = appended(df, added)
+    at = df.columns.index(text)
 
     def run(batches):
         import numpy as np
 
         enc = encoding(rank_file, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, at)):
             n, ids, back = [], [], []
             for value in batch.column(at):
                 tokens = []
@@ -80,7 +73,7 @@ def encode(df: DataFrame, rank_file: str, pattern: str, text: str = "text", deco
                 ids.append(np.array(tokens, dtype="<u4").tobytes())
                 if decoded:
                     back.append(enc.decode_bytes(tokens))
-            out = [batch.column(i) for i in keep_at] + [pa.array(n, pa.int64()), pa.array(ids, pa.binary())]
+            out = [batch.column(i) for i in kept] + [pa.array(n, pa.int64()), pa.array(ids, pa.binary())]
             if decoded:
                 out.append(pa.array(back, pa.binary()))
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
@@ -91,9 +84,8 @@ def encode(df: DataFrame, rank_file: str, pattern: str, text: str = "text", deco
 def decode(df: DataFrame, rank_file: str, pattern: str, ids: str = "ids") -> DataFrame:
     """Add ``decoded`` (binary): the raw bytes of the ids, whether or not they are valid UTF-8.
     Null ids decode to no bytes."""
-    kept, schema = _outputs(df, [T.StructField("decoded", T.BinaryType())])
-    columns = list(df.columns)
-    at, keep_at = columns.index(ids), [columns.index(c) for c in kept]
+    kept, schema = appended(df, [T.StructField("decoded", T.BinaryType())])
+    at = df.columns.index(ids)
 
     def run(batches):
         import numpy as np
@@ -101,7 +93,7 @@ def decode(df: DataFrame, rank_file: str, pattern: str, ids: str = "ids") -> Dat
         enc = encoding(rank_file, pattern)
         for batch in batches:
             back = [enc.decode_bytes(np.frombuffer(v.as_py() or b"", dtype="<u4").tolist()) for v in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep_at] + [pa.array(back, pa.binary())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in kept] + [pa.array(back, pa.binary())], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
