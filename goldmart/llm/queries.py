@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldmart.llm import bpe, chat, langid, near_vectors, simhash, toxicity
+from goldmart.llm import bpe, chat, fingerprints, langid, mixing, near_vectors, sharding, simhash, toxicity
 from goldmart.llm.common import crc_fold, table
 
 
@@ -16,10 +16,35 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.assign(table(spark, sf_dir, "documents"), sharding.even_tree(2, 3, 4))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.compare_versions(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next",
+    )
+
+
+#: Domains of the labelled table and their shares of the training tokens.
+TARGETS = {"high": 0.75, "low": 0.2, "toxic": 0.05}
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    domain = F.when(labels["toxic"] == 1, "toxic").when(labels["quality"] == 1, "high").when(labels["quality"] == 0, "low")
+    found = mixing.rates(table(spark, sf_dir, "documents"), labels.select(F.col("doc_id").alias("id"), domain.alias("domain")), TARGETS)
+    rows = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return rows.select(F.col("id").alias("doc_id"), "tokens", *[F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(TARGETS)], "rate")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.learn(docs, crc_fold("doc_id", 4) != 2)
@@ -55,11 +80,42 @@ def _escaped(text: str) -> str:
     return out
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op4_embedding_near_dedup, op7_language_id, op8_chat_formatting, op9_simhash_near_dedup, op10_byte_bpe)}
+def _uniform(name: str) -> str:
+    return f"((('0x' || substr(md5('{name}:' || k), 1, 13))::BIGINT)::DOUBLE + 0.5) / {float(1 << 52)!r}"
+
+
+def _descend(node: dict, path: str) -> str:
+    """SQL of the tree descent: position of the largest draw at each level."""
+    inner = isinstance(next(iter(node.values())), dict)
+    kids = [_descend(child, f"{path}/{name}") if inner else str(name) for name, child in node.items()]
+    if len(kids) == 1:
+        return kids[0]
+    draws = ", ".join(f"ln({_uniform(f'{path}/{name}')}) / {float(sharding._weight(child))!r}" for name, child in node.items())
+    return f"(CASE list_position([{draws}], greatest({draws})) " + " ".join(f"WHEN {i + 1} THEN {kid}" for i, kid in enumerate(kids)) + " END)"
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op3_sharding, op4_embedding_near_dedup, op5_document_fingerprints, op6_source_mixing, op7_language_id, op8_chat_formatting,
+    op9_simhash_near_dedup, op10_byte_bpe,
+)}
 
 _MARKS = len(chat.OPEN) + len(chat.ROLE_END) + len(chat.CLOSE)
 
+_TREE = sharding.even_tree(2, 3, 4)
+
 SQL = {
+    "op3_sharding": f"""
+        WITH crc(i, c) AS (
+            SELECT i, list_reduce(list_concat([i], range(8)), lambda a, _: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)
+            FROM range(256) r(i)),
+        steps AS (SELECT list(c ORDER BY i) AS t FROM crc),
+        d AS (SELECT doc_id, coalesce(strlen(text), 0) + 8 AS size, coalesce(doc_id::VARCHAR, '') AS k, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        b AS (SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(range(length(h) // 2), lambda j: ('0x' || substr(h, 2 * j + 1, 2))::BIGINT)),
+                    lambda a, x: xor(t[xor(a, x) % 256 + 1], a // 256)), 4294967295) AS text_crc32 FROM d, steps),
+        s AS (SELECT *, {_descend(_TREE, '')}::INT AS shard, {_descend(sharding.grown(_TREE), '')}::INT AS grown_shard,
+                     ('0x' || substr(md5('slot:' || k), 1, 3))::INT AS bucket FROM b)
+        SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard,
+               row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard FROM s""",
     "op4_embedding_near_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
         ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
