@@ -10,10 +10,11 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from goldmart.llm import bpe, langid, simhash, toxicity  # noqa: E402
+from goldmart.llm import bpe, langid, mixing, simhash, toxicity  # noqa: E402
 from goldmart.llm.common import crc_fold, table  # noqa: E402
 from goldmart.session import materialize  # noqa: E402
 
@@ -37,6 +38,18 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, shingle=3, radius=2)
 
 
+#: Shares of the training tokens by the quality that the labelled table tells.
+TARGETS = {"high": 0.9, "low": 0.1}
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated by the rates that bring the expected tokens of each domain to its target."""
+    labels = table(spark, sf_dir, "labels").where("toxic = 0")
+    domain = F.when(labels["quality"] == 1, "high").when(labels["quality"] == 0, "low")
+    found = mixing.rates(docs, labels.select(F.col("doc_id").alias("id"), domain.alias("domain")), TARGETS)
+    return mixing.mix(docs, found)
+
+
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every whole text: doc_id, n_tokens, ids (little-endian unsigned 32-bit)."""
     import public_tokenizers
@@ -45,7 +58,10 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return coded.select("doc_id", "n_tokens", "ids")
 
 
-STAGES = [("toxicity", drop_toxic), ("language_id", drop_unknown_language), ("simhash_near_dedup", deduplicate), ("byte_bpe", encode_texts)]
+STAGES = [
+    ("toxicity", drop_toxic), ("language_id", drop_unknown_language), ("simhash_near_dedup", deduplicate),
+    ("source_mixing", mix_sources), ("byte_bpe", encode_texts),
+]
 
 #: The classifiers, fingerprints and token ids have no SQL form.
 ORACLE_SQL = None

@@ -10,7 +10,7 @@ number gives the likeness (shared / all distinct paragraphs).
 
 Large texts are split by digest bits into parts of about ``PART`` paragraphs with a sketch each, so the work
 grows with the number of paragraphs. A part whose peeling stops early is sketched again with twice the cells and
-other hashes, up to ``WIDTHS``; what even the last cannot peel is compared exactly.
+other hashes, ``ATTEMPTS`` times; what even the last cannot peel is compared exactly.
 
 All are array expressions on the row that holds the two texts: no shuffle beyond the one that brings
 a document's successor (range buckets of doc_id; a copy of the first row of the next bucket stands in for the
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 PIECE, PART = 256, 10
 BASE_WIDTH = 4
-WIDTHS = (8, 16, 32, 64, 128)
+FIRST_WIDTH, ATTEMPTS = 8, 5
 ROWS_A_BUCKET, MAX_BUCKETS = 5000, 100_000
 _ROWS = 3
 # The first 128 characters are cut at 16, 32 and 64; Java regular expression.
@@ -50,21 +50,21 @@ def _check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit("check"))
 
 
-def _cell(digest: Column, row: Column, width: int) -> Column:
-    """Cell of a digest in a row: 8 bits of the digest for each row."""
-    return F.call_function("shiftright", digest, row * 8).bitwiseAND(F.lit(width - 1))
+def _here(digest: Column, cell: Column, width: Column) -> Column:
+    """Whether a digest goes to a cell: 8 bits of the digest choose its place in each row."""
+    return F.call_function("shiftright", digest, (cell / width).cast("int") * 8).bitwiseAND(width - 1) == cell % width
 
 
 def _empty() -> Column:
     return F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("chk"))
 
 
-def sketch(digests: Column, width: int) -> Column:
-    """Cells (n, key, chk) of all rows, one row after the other."""
+def sketch(digests: Column, width: Column) -> Column:
+    """Cells (n, key, chk) of all rows, one row after the other; ``width`` is a power of two."""
     add = lambda c, d: F.struct((c["n"] + 1).alias("n"), c["key"].bitwiseXOR(d).alias("key"), c["chk"].bitwiseXOR(_check(d)).alias("chk"))
     return F.transform(
-        F.sequence(F.lit(0), F.lit(_ROWS * width - 1)),
-        lambda i: F.aggregate(F.filter(digests, lambda d: _cell(d, (i / width).cast("int"), width) == i % width), _empty(), add),
+        F.sequence(F.lit(0), width * _ROWS - 1),
+        lambda i: F.aggregate(F.filter(digests, lambda d: _here(d, i, width)), _empty(), add),
     )
 
 
@@ -80,14 +80,12 @@ def _pure(cells: Column) -> Column:
     return F.array_distinct(alone)
 
 
-def _without(cells: Column, found: Column, width: int) -> Column:
+def _without(cells: Column, found: Column, width: Column) -> Column:
     take = lambda c, f: F.struct((c["n"] - f["n"]).alias("n"), c["key"].bitwiseXOR(f["key"]).alias("key"), c["chk"].bitwiseXOR(f["chk"]).alias("chk"))
-    return F.transform(cells, lambda c, i: F.aggregate(
-        F.filter(found, lambda f: _cell(f["key"], (i / width).cast("int"), width) == i % width), c, take
-    ))
+    return F.transform(cells, lambda c, i: F.aggregate(F.filter(found, lambda f: _here(f["key"], i, width)), c, take))
 
 
-def peel(cells: Column, width: int, rounds: int = 24) -> Column:
+def peel(cells: Column, width: Column, rounds: int = 24) -> Column:
     """The differing digests of a subtracted sketch as (n, key, chk), n telling the side; null if
     peeling stops before the sketch is empty."""
     start = F.struct(cells.alias("cells"), F.array().cast("array<struct<n:int,key:bigint,chk:bigint>>").alias("found"), F.lit(True).alias("going"))
@@ -103,43 +101,37 @@ def peel(cells: Column, width: int, rounds: int = 24) -> Column:
     ))
 
 
-def _rehash(digests: Column, attempt: int) -> Column:
-    return digests if not attempt else F.transform(digests, lambda d: F.xxhash64(d, F.lit(attempt)))
-
-
 def part_difference(a: Column, b: Column) -> Column:
     """Number of differing digests of two small arrays: peeled from sketches, each attempt with twice the
-    cells; the exact comparison only if every attempt fails."""
-    out = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
-    for attempt in reversed(range(len(WIDTHS))):
-        out = _attempt(a, b, attempt, out)
-    return out
+    cells and digests hashed anew; the exact comparison only if every attempt fails."""
+    anew = lambda digests, t: F.transform(digests, lambda d: F.xxhash64(d, t))
 
+    def attempt(width, t):
+        return let(width, lambda w: F.size(peel(subtract(sketch(anew(a, t), w), sketch(anew(b, t), w)), w)))
 
-def _attempt(a: Column, b: Column, attempt: int, rest: Column) -> Column:
-    width = WIDTHS[attempt]
-    peeled = let(_rehash(a, attempt), lambda x: let(_rehash(b, attempt), lambda y: F.size(
-        peel(subtract(sketch(x, width), sketch(y, width)), width)
-    )))
-    return let(peeled, lambda found: F.when(found >= 0, found).otherwise(rest))
+    found = F.aggregate(
+        F.sequence(F.lit(0), F.lit(ATTEMPTS - 1)), F.lit(-1),
+        lambda found, t: F.when(found >= 0, found).otherwise(attempt(F.call_function("shiftleft", F.lit(FIRST_WIDTH), t), t)),
+    )
+    return let(found, lambda f: F.when(f >= 0, f).otherwise(F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))))
 
 
 def difference(a: Column, b: Column) -> Column:
-    """Number of differing digests of two arrays, part by part: digest bits from 24 up choose among up to 64 coarse and,
-    within each, further fine parts."""
+    """Number of differing digests of two arrays, part by part: digest bits from 24 up choose among up to 64 coarse
+    parts and, within each, among as many fine ones as are needed."""
     parts = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / F.lit(float(PART))).cast("int"))
     high = lambda d: F.call_function("shiftrightunsigned", d, F.lit(24))
+    coarse = lambda digests, n, g: F.filter(digests, lambda d: high(d) % n == g)
+    fine = lambda digests, n, m, h: F.filter(digests, lambda d: (high(d) / n).cast("long") % m == h)
 
-    def coarse(total, g, n, fine):
-        own = lambda digests: F.filter(digests, lambda d: high(d) % n == g)
-        return let(own(a), lambda x: let(own(b), lambda y: total + F.when(fine == 1, part_difference(x, y)).otherwise(
-            F.aggregate(F.sequence(F.lit(0), fine - 1), F.lit(0), lambda t, h: t + part_difference(
-                F.filter(x, lambda d: (high(d) / n).cast("long") % fine == h), F.filter(y, lambda d: (high(d) / n).cast("long") % fine == h)
-            ))
-        )))
+    def inside(x, y, n, m):
+        return F.aggregate(F.sequence(F.lit(0), m - 1), F.lit(0), lambda total, h: total + let(
+            fine(x, n, m, h), lambda p: let(fine(y, n, m, h), lambda q: part_difference(p, q))
+        ))
 
-    return let(parts, lambda p: let(F.least(p, F.lit(64)), lambda n: let(F.ceil(p / n).cast("int"), lambda fine: F.aggregate(
-        F.sequence(F.lit(0), n - 1), F.lit(0), lambda total, g: coarse(total, g, n, fine)
+    return let(parts, lambda p: let(F.least(p, F.lit(64)), lambda n: let(F.ceil(p / n).cast("int"), lambda m: F.aggregate(
+        F.sequence(F.lit(0), n - 1), F.lit(0),
+        lambda total, g: total + let(coarse(a, n, g), lambda x: let(coarse(b, n, g), lambda y: inside(x, y, n, m))),
     ))))
 
 
@@ -153,7 +145,7 @@ def likeness(a: Column, b: Column) -> Column:
 def fingerprint(digests: Column) -> Column:
     """The base sketch as text: number of paragraphs, then the cells' counts, digests and check hashes."""
     cell = lambda c: F.concat(F.hex(c["n"]), F.lit("."), F.hex(c["key"]), F.lit("."), F.hex(c["chk"].bitwiseAND(F.lit(0xFFFF))))
-    return F.lower(F.concat(F.hex(F.size(digests)), F.lit(":"), F.array_join(F.transform(sketch(digests, BASE_WIDTH), cell), " ")))
+    return F.lower(F.concat(F.hex(F.size(digests)), F.lit(":"), F.array_join(F.transform(sketch(digests, F.lit(BASE_WIDTH)), cell), " ")))
 
 
 def with_successor(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -186,5 +178,5 @@ def compare_versions(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     rows = rows.select("id", "n_chars", "edited", paragraphs(F.col("body")).alias("own"), paragraphs(F.col("edited")).alias("new"), paragraphs(F.col("next_body")).alias("next"))
     return rows.select(
         "id", "n_chars", "edited", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("new")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"),
-    )
+        F.transform(F.array("new", "next"), lambda other: likeness(F.col("own"), other)).alias("near"),
+    ).select("id", "n_chars", "edited", "fingerprint", "edited_fingerprint", F.col("near")[0].alias("near_edited"), F.col("near")[1].alias("near_next"))
