@@ -1,0 +1,52 @@
+import numpy as np
+import public_tokenizers
+
+import corpus_pipeline
+from goldmart.llm import bpe, simhash
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages_one_by_one(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema)
+        assert after.columns == columns
+        before, now = docs.collect(), after.collect()
+        assert {r for r in now} <= {r for r in before}
+        kept[name], docs = (before, now), after
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    before, now = kept["toxicity"]
+    left = {r["doc_id"] for r in now}
+    clean = [i for i, t in labels.items() if t == 0]
+    assert np.mean([i in left for i in clean]) > 0.97 and np.mean([i in left for i, t in labels.items() if t]) < 0.5
+    before, now = kept["language_id"]
+    assert len(now) > 0.98 * len(before)
+    before, now = kept["simhash_near_dedup"]
+    prints = {r["doc_id"]: simhash.fingerprint(r["text"]) for r in now}
+    values = list(prints.values())
+    assert all((a ^ b).bit_count() > 2 for k, a in enumerate(values) for b in values[:k])
+    assert all(any((simhash.fingerprint(r["text"]) ^ b).bit_count() <= 12 for b in values) for r in before if r["doc_id"] not in prints)
+    coded = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    enc = bpe.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert len(coded) == docs.count()
+    for r in coded:
+        assert np.frombuffer(r["ids"], dtype="<u4").tolist() == enc.encode_ordinary(texts[r["doc_id"]] or "")
+
+
+def test_run_gives_the_rows_of_the_last_stage(spark):
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert rows.columns == ["doc_id", "n_tokens", "ids"] and rows.count() > 100
+
+
+def test_stages_take_odd_rows(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    odd = [(None, None, None, None, None), (None, None, None, None, None), (1, "", "en", "s", 0), (1, "the and that " * 40, None, None, None), (1, "the and that " * 40, None, None, None)]
+    docs = spark.createDataFrame(odd, schema)
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.count() <= 2 * len(odd)
+        assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0

@@ -1,0 +1,28 @@
+import duckdb
+import pytest
+
+from goldmart.llm.queries import QUERIES, SQL
+
+SF = "/root/testdata/sf0.001"
+
+
+def norm(v):
+    return round(v, 9) if isinstance(v, float) else v
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    got = QUERIES[name](spark, SF)
+    columns = sorted(got.columns)
+    rows = sorted((tuple(norm(r[c]) for c in columns) for r in got.collect()), key=repr)
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({SQL[name]})").fetchall()
+    assert rows == sorted((tuple(map(norm, r)) for r in want), key=repr)
+
+
+def test_every_operator_has_a_query_and_every_document_a_row(spark):
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == {1, *range(3, 11)} or {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11)) - {2}
+    n = spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert QUERIES["op6_source_mixing"](spark, SF).count() == n
