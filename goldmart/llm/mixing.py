@@ -45,7 +45,7 @@ def _words(text: Column) -> Column:
 
 
 def classifier(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: str, text: str, per_domain: int = PER_DOMAIN) -> DataFrame:
-    """One row with ``w`` (array of 2 * BUCKETS arrays: log P(feature | domain) per domain) and ``prior``
+    """One row with ``w`` (log P(feature | domain), place by place and in each domain by domain) and ``prior``
     (log prior per domain), from ``labels`` (id, domain)."""
     known = labels.where(F.col("domain").isin(domains) & F.col("id").isNotNull()).distinct()
     some = [known.where(F.col("domain") == d).orderBy(F.xxhash64("id", F.lit("mixing")), "id").limit(per_domain) for d in domains]
@@ -60,9 +60,9 @@ def classifier(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: s
     total_of = lambda n: F.aggregate("rows", F.lit(0.0), lambda a, r: a + r[n])
     totals = [total_of(f"n{i}") for i in range(len(domains))]
     row = row.select("rows", F.array(*totals).alias("total"))
-    weights = F.transform("rows", lambda r: F.array(*[
+    weights = F.flatten(F.transform("rows", lambda r: F.array(*[
         F.ln((r[f"n{i}"] + F.lit(SMOOTHING)) / (F.get("total", i) / 2 + F.lit(SMOOTHING * BUCKETS))) for i in range(len(domains))
-    ]))
+    ])))
     sizes = known.agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"s{i}") for i, d in enumerate(domains)])
     every = F.array(*[F.ln((F.col(f"s{i}") + 1.0) / (sum(F.col(f"s{j}") for j in range(len(domains))) + float(len(domains)))) for i in range(len(domains))])
     prior = sizes.select(every.alias("prior")).scalar()
@@ -74,9 +74,10 @@ def posteriors(docs: DataFrame, model: DataFrame, domains: list[str], id_col: st
     is its number of rows, ``tokens`` the words of one of them."""
     n = len(domains)
     weight, prior = model.select("w").scalar(), model.select("prior").scalar()
-    words = docs.select(docs[f"`{id_col}`"].alias("id"), F.xxhash64(docs[f"`{text}`"]).alias("text_key"), F.posexplode(_words(docs[f"`{text}`"])).alias("at", "word"))
+    texts = docs.select(docs[f"`{id_col}`"].alias("id"), F.xxhash64(docs[f"`{text}`"]).alias("text_key"), _words(docs[f"`{text}`"]).alias("words"))
+    words = texts.select("id", "text_key", F.posexplode("words").alias("at", "word"))
     placed = words.select("id", "text_key", "at", (F.col("word") != "").cast("int").alias("real"), *[f.alias(f"f{k}") for k, f in enumerate(_features(F.col("word")))])
-    given = [F.col("real") * (F.get(F.get(weight, F.col("f0")), i) + F.get(F.get(weight, F.col("f1")), i)) for i in range(n)]
+    given = [F.col("real") * (F.get(weight, F.col("f0") * n + i) + F.get(weight, F.col("f1") * n + i)) for i in range(n)]
     sums = placed.groupBy("id", "text_key").agg(
         F.count(F.when(F.col("at") == 0, 1)).alias("copies"), F.sum("real").alias("words"), *[F.sum(g).alias(f"g{i}") for i, g in enumerate(given)]
     )
@@ -146,8 +147,8 @@ def mix(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "
     Rows with rate 0 go; columns are unchanged."""
     draw = F.pmod(F.xxhash64(F.col("__id"), F.col("__key"), F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     keyed = docs.withColumns({"__id": F.col(f"`{id_col}`"), "__key": F.xxhash64(F.col(f"`{text}`"))})
-    rate = found.select(F.col("id").alias("__of"), F.col("text_key").alias("__of_key"), "rate")
+    rate = found.select(F.col("id").alias("__of"), F.col("text_key").alias("__of_key"), F.col("rate").alias("__rate"))
     joined = keyed.join(rate, keyed["__id"].eqNullSafe(rate["__of"]) & (keyed["__key"] == rate["__of_key"]))
-    times = (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
+    times = (F.floor("__rate") + (draw < F.col("__rate") - F.floor("__rate")).cast("int")).cast("int")
     repeated = joined.withColumn("__n", times).where("__n > 0").withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n"))))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
