@@ -3,8 +3,8 @@
 Each round points every node's larger neighbours at the smallest node near it (large star), then
 does the same with the smaller ones (small star), until every component is one star around its
 smallest node; the number of rounds grows with the logarithm of the size. A round is two joins of edges with
-per-node minima; the minima are partial aggregates and the joins are plain equi-joins, which
-adaptive execution splits when one node has very many edges. Rounds are cut with ``checkpoint()``.
+per-node minima: the minima are partial aggregates, and a node's edges meet its minimum in ``SALTS`` places, so
+that a node with very many edges is no single task. Rounds are cut with ``checkpoint()``.
 """
 
 from __future__ import annotations
@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from goldmart.session import ensure_checkpoint_dir
 
-MAX_ROUNDS = 60
+MAX_ROUNDS, SALTS = 60, 16
 
 
 def _minima(edges: DataFrame) -> DataFrame:
     """Edges (u, v) with the smallest node m of u and its neighbours."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(least, "u")
+    copies = least.select("u", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(copies, ["u", "salt"]).drop("salt")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
