@@ -32,7 +32,7 @@ from goldmart.llm.chargrams import TokenCache, find, hashes, scored_texts, spell
 from goldmart.llm.common import appended, ship
 from goldmart.session import materialize
 
-PER_LANGUAGE, VOCABULARY, ORDER = 800, 150_000, 4
+PER_LANGUAGE, VOCABULARY, ORDER = 800, 100_000, 4
 _NO_LETTER = re.compile(r"[\W\d_]+")
 _OUT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
 
@@ -144,8 +144,8 @@ def _score(model: Model, texts, cache):
     import numpy as np
 
     langs, preds, scores, rejected = model.langs, [], [], []
-    for found in scored_texts(texts, cache, entropies):
-        if found is None or not langs:
+    for found in scored_texts(texts, cache, entropies) if langs else (None for _ in texts):
+        if found is None:
             preds.append("und"), scores.append(0.0), rejected.append(True)
             continue
         xe, size = found
@@ -182,7 +182,10 @@ def learn(
     rows = docs.where(usable).select(docs[f"`{id_col}`"].alias("id"), docs[f"`{lang}`"].alias("lang"), docs[f"`{text}`"].alias("text"))
     rows = rows.where("lang is not null")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(key, "id"))
-    chosen = rows.select("id", "lang").distinct().withColumn("nth", nth).where(F.col("nth") <= per_language)
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # a row for each language
+    part = F.pmod(key, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = rows.select("id", "lang").join(F.broadcast(sizes), "lang").where(part * F.col("n") < 4 * per_language)
+    chosen = drawn.select("id", "lang").distinct().withColumn("nth", nth).where(F.col("nth") <= per_language)
     sample = rows.join(F.broadcast(chosen.select("id", "lang", "nth")), ["id", "lang"]).dropDuplicates(["lang", "nth"])
     sample = materialize(sample, "langid-sample")
     held = (F.col("nth") % 5) == 0
@@ -194,10 +197,11 @@ def learn(
     table = words.withColumn("rank", rank).where(F.col("rank") <= vocabulary).select("lang", "word", "n").toPandas()
     langs = sorted(table["lang"].unique())
     table = table.sort_values(["lang", "word"])
+    if not langs:
+        return Model([], order, [], [], [], [], np.zeros(0), limits=np.zeros(0))
     model = fit(table["word"].tolist(), table["lang"].map({l: i for i, l in enumerate(langs)}).to_numpy(np.int64), table["n"].to_numpy(), langs, order)
     model.limits = np.full(len(langs), np.inf)
-    if langs:
-        _calibrate(model, sample.where(held).select("lang", "text"))
+    _calibrate(model, sample.where(held).select("lang", "text"))
     return model
 
 
