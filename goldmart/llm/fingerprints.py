@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraphs.
 
-A text is cut into paragraphs: lines, long lines every ``PIECE`` characters, the first line finer, so that
-a short text has several. Each distinct paragraph is a 64-bit digest. A sketch has three rows of
+A text is cut into paragraphs: lines, long lines every ``PIECE`` characters, and the text's head also at 16, 32, 64
+and 128 characters, so that a short text has several. Each distinct paragraph is a 64-bit digest. A sketch has three rows of
 cells; a digest goes to one cell of each row, where counts add up and digests and their check
 hashes are xored. Subtracting two sketches cell by cell cancels what they share; peeling then takes a
 cell that holds a single digest (count 1 or -1, check hash right), notes the digest, removes it from its
@@ -31,8 +31,8 @@ BASE_WIDTH = 4
 FIRST_WIDTH, ATTEMPTS = 8, 5
 ROWS_A_BUCKET, MAX_BUCKETS = 5000, 100_000
 _ROWS = 3
-# The first 128 characters are cut at 16, 32 and 64; Java regular expression.
-_CUTS = "|".join([rf"\A[^\n]{{1,16}}", *[rf"(?<=\A[\s\S]{{{k}}})[^\n]{{1,{k}}}" for k in (16, 32, 64)], rf"[^\n]{{1,{PIECE}}}"])
+# Where the head of a text is cut; from the last on, every PIECE characters.
+_HEAD = (0, 16, 32, 64, 128)
 
 
 def let(value: Column, body) -> Column:
@@ -42,7 +42,10 @@ def let(value: Column, body) -> Column:
 
 def paragraphs(text: Column) -> Column:
     """Sorted distinct paragraph digests (array<long>)."""
-    found = F.regexp_extract_all(text, F.lit(_CUTS), F.lit(0))
+    lines = lambda part, most: F.regexp_extract_all(part, F.lit(rf"[^\n]{{1,{most}}}"), F.lit(0))
+    head = [lines(F.substring(text, start + 1, end - start), end - start) for start, end in zip(_HEAD, _HEAD[1:])]
+    rest = lines(F.substring(text, F.lit(_HEAD[-1] + 1), F.char_length(text)), PIECE)
+    found = F.concat(*head, rest)
     return F.array_sort(F.array_distinct(F.transform(found, lambda p: F.xxhash64(p))))
 
 
