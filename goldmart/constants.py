@@ -41,6 +41,16 @@ GOLD_COLUMNS = [
     "release_date", "release_year", "decade", "has_collection", "overview", "status",
 ]
 
+# Columns that bronze landing adds to the columns of the source.
+BRONZE_COLUMNS = ("_corrupt", "_pos", "_long")
+
+# Columns of the two film rankings, and those of them that are rounded.
+TOP_FILM_COLUMNS = [
+    "title", "release_year", "primary_genre", "director", "revenue", "budget", "profit", "roi",
+    "vote_average", "user_rating_avg", "vote_count", "user_rating_count",
+]
+TOP_FILM_ROUNDED = ["revenue", "budget", "profit", "roi", "vote_average", "user_rating_avg"]
+
 # Correlation features and targets, in report order.
 CORRELATION_FEATURES = ["budget", "popularity", "vote_average", "vote_count", "user_rating_avg", "runtime"]
 CORRELATION_TARGETS = ["revenue", "roi"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,12 +21,6 @@ def rint_round(c: str | Column, digits: int = 2) -> Column:
     return F.rint(_col(c) * F.lit(scale)) / F.lit(scale) + F.lit(0.0)  # + 0.0 turns -0.0 into 0.0
 
 
-def round_columns(df: DataFrame, columns: Iterable[str], digits: int = 2) -> DataFrame:
-    """Round the named columns that exist in ``df``; names that are absent are skipped."""
-    present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: rint_round(c, digits) for c in present}) if present else df
-
-
 def nan_to_null(c: str | Column) -> Column:
     """NaN becomes null, so that averages skip it and sorts put it last."""
     col = _col(c)

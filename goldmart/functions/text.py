@@ -45,5 +45,4 @@ def na_token_to_null(c: str | Column, tokens=NA_TOKENS) -> Column:
 def normalize_na_tokens(df: DataFrame, tokens=NA_TOKENS, columns=None) -> DataFrame:
     """Null every exact NA token in the string columns of ``df`` (all of them by default)."""
     names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    names = [n for n in names if not n.startswith("_")]
     return df.withColumns({n: na_token_to_null(n, tokens) for n in names}) if names else df

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldmart.functions.dates import decade, lenient_date
-from goldmart.functions.numeric import digits_only_id, rint_round, round_columns, to_double, to_long_truncated
+from goldmart.functions.numeric import digits_only_id, rint_round, to_double, to_long_truncated
 from goldmart.functions.text import NA_TOKENS, blank_to_null, normalize_na_tokens, present_text, py_strip
 
 
@@ -21,12 +21,6 @@ def test_rint_round_half_even_on_binary_value(spark):
     assert collect(df.select("i", rint_round("x", 2).alias("r")), "r") == [0.12, 0.14, 2.68, 1.0, 0.0, None]
 
 
-def test_round_columns_skips_missing(spark):
-    df = spark.createDataFrame([(1.234, 2.345)], "a double, b double")
-    out = round_columns(df, ["a", "zzz"], 1).first()
-    assert out.a == 1.2 and out.b == 2.345
-
-
 @pytest.mark.parametrize("text,expected", [
     ("1e3", 1000.0), (" 12 ", 12.0), ("12d", None), ("nan", None), ("12f", None), ("+5", 5.0),
     (".5", 0.5), ("1.", 1.0), ("inf", None), ("", None), ("0x10", None), ("1_000", None), ("-3.25", -3.25),
