@@ -7,21 +7,14 @@ measure that needs more, see ``goldmart.operators.quantiles``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldmart import constants as K
 from goldmart.functions.numeric import rint_round, scaled
-from goldmart.operators.quantiles import grouped_quantiles
-
-TOP_FILM_COLUMNS = [
-    "title", "release_year", "primary_genre", "director", "revenue", "budget", "profit", "roi",
-    "vote_average", "user_rating_avg", "vote_count", "user_rating_count",
-]
-_TOP_FILM_ROUNDED = ["revenue", "budget", "profit", "roi", "vote_average", "user_rating_avg"]
-
+from goldmart.operators.quantiles import LOCAL_ROWS, grouped_quantiles
 
 def _present(*cols: str) -> Column:
     cond = F.lit(True)
@@ -92,11 +85,10 @@ def explode_keywords(gold: DataFrame, measures: Sequence[str] = ("id", "revenue"
     return gold.select(*measures, F.explode("keywords_list").alias("keyword")).where(F.col("keyword").isNotNull())
 
 
-def top_keywords(gold: DataFrame, min_count: int = K.MIN_KEYWORD_FILMS, exploded: DataFrame | None = None) -> DataFrame:
+def top_keywords(gold: DataFrame, min_count: int = K.MIN_KEYWORD_FILMS) -> DataFrame:
     """Count, mean revenue (millions) and mean user rating per keyword (revenue not required)."""
-    kw = exploded if exploded is not None else explode_keywords(gold)
     agg = (
-        kw.groupBy("keyword")
+        explode_keywords(gold).groupBy("keyword")
         .agg(
             F.count("id").alias("qtd_filmes"),
             scaled(F.avg("revenue"), 1e6).alias("receita_media_mi"),
@@ -109,31 +101,27 @@ def top_keywords(gold: DataFrame, min_count: int = K.MIN_KEYWORD_FILMS, exploded
     return _rounded_select(agg, cols, cols[2:])
 
 
-def group_summary(
-    df: DataFrame, group_column: str, min_count: int, median: str = "exact", median_levels: int = 8
-) -> DataFrame:
+def group_summary(df: DataFrame, group_column: str, min_count: int, median: str = "exact", local_rows: int = LOCAL_ROWS) -> DataFrame:
     """Success summary per group: count, total (billions), mean and median revenue (millions),
     mean ROI, vote and user rating. Rows need the key and revenue; groups below ``min_count``
     are dropped; values are rounded first, then sorted by rounded total and count, descending.
 
-    ``median='exact'`` uses the distributed exact selection of ``grouped_quantiles``, whose
-    largest sort is a group's distinct values / 2**``median_levels`` (raise it for extreme hot
-    groups); ``median='approx'`` uses ``percentile_approx`` (bounded memory, approximate).
+    ``median='exact'``: groups up to ``local_rows`` rows by the built-in exact percentile, larger ones by
+    distributed selection (``grouped_quantiles``); ``median='approx'`` uses ``percentile_approx``.
     """
     base = df.where(_present(group_column, "revenue"))
     agg = base.groupBy(group_column).agg(
         F.count("id").alias("qtd_filmes"),
         F.sum("revenue").alias("_sum"),
         F.avg("revenue").alias("_avg"),
-        F.avg("roi").alias("roi_medio"),
+        # roi has two decimals: summed as whole hundredths, so the mean does not depend on the order of rows
+        F.try_divide(F.sum(F.rint(F.col("roi") * F.lit(100.0))), F.count("roi") * F.lit(100.0)).alias("roi_medio"),
         F.avg("vote_average").alias("nota_metadata_media"),
         F.avg("user_rating_avg").alias("nota_usuarios_media"),
         *([F.percentile_approx("revenue", 0.5, 10000).cast("double").alias("_median")] if median == "approx" else []),
     ).where(F.col("qtd_filmes") >= F.lit(min_count))
     if median != "approx":
-        med = grouped_quantiles(
-            base, [group_column], "revenue", [0.5], ["_median"], midpoint_mean=True, levels=median_levels
-        )
+        med = grouped_quantiles(base, [group_column], "revenue", [0.5], ["_median"], midpoint_mean=True, min_count=min_count, local_rows=local_rows)
         agg = agg.join(med, group_column, "left")
     cols = [
         F.col(group_column),
@@ -150,9 +138,8 @@ def group_summary(
     )
 
 
-def keyword_summary(gold: DataFrame, min_count: int = K.MIN_KEYWORD_FILMS, exploded: DataFrame | None = None) -> DataFrame:
-    kw = exploded if exploded is not None else explode_keywords(gold)
-    return group_summary(kw, "keyword", min_count)
+def keyword_summary(gold: DataFrame, min_count: int = K.MIN_KEYWORD_FILMS) -> DataFrame:
+    return group_summary(explode_keywords(gold), "keyword", min_count)
 
 
 def correlation_grid(
@@ -207,7 +194,7 @@ def top_films(
     if min_budget is not None:
         cond = cond & _present("roi", "budget") & (F.col("budget") >= F.lit(float(min_budget)))
     top = gold.where(cond).orderBy(F.desc(by), F.asc("id")).limit(limit)
-    return _rounded_select(top, TOP_FILM_COLUMNS, _TOP_FILM_ROUNDED)
+    return _rounded_select(top, K.TOP_FILM_COLUMNS, K.TOP_FILM_ROUNDED)
 
 
 def top_films_by_revenue(gold: DataFrame, limit=K.TOP_FILM_LIMIT, min_votes=K.TOP_FILM_MIN_VOTE_COUNT) -> DataFrame:
@@ -219,7 +206,7 @@ def top_films_by_roi(gold: DataFrame, limit=K.TOP_FILM_LIMIT, min_votes=K.TOP_FI
     return top_films(gold, "roi", limit, min_votes, min_budget)
 
 
-def build_aggregations(
+def aggregation_builders(
     gold: DataFrame,
     min_director: int = K.MIN_DIRECTOR_FILMS,
     min_keyword: int = K.MIN_KEYWORD_FILMS,
@@ -228,20 +215,23 @@ def build_aggregations(
     top_limit: int = K.TOP_FILM_LIMIT,
     top_min_votes: float = K.TOP_FILM_MIN_VOTE_COUNT,
     top_min_budget: float = K.TOP_FILM_MIN_BUDGET,
-) -> dict[str, DataFrame]:
-    """All eleven analytic tables, lazily, keyed by their output names. The keyword explode is
-    built once and shared by both keyword tables."""
-    kw = explode_keywords(gold)
+) -> dict[str, Callable[[], DataFrame]]:
+    """One function per analytic table, keyed by output name: a caller plans only the tables it asks for."""
     return {
-        "receita_por_genero": revenue_by_genre(gold),
-        "top_diretores": top_directors(gold, min_director),
-        "filmes_por_decada": movies_by_decade(gold),
-        "top_palavras_chave": top_keywords(gold, min_keyword, kw),
-        "correlacoes_sucesso": correlation_grid(gold),
-        "top_filmes_receita": top_films_by_revenue(gold, top_limit, top_min_votes),
-        "top_filmes_roi": top_films_by_roi(gold, top_limit, top_min_votes, top_min_budget),
-        "resumo_sucesso_por_genero": group_summary(gold, "primary_genre", min_genre),
-        "resumo_sucesso_por_diretor": group_summary(gold, "director", min_director),
-        "resumo_sucesso_por_decada": group_summary(gold, "decade", min_decade),
-        "resumo_sucesso_por_palavra_chave": keyword_summary(gold, min_keyword, kw),
+        "receita_por_genero": lambda: revenue_by_genre(gold),
+        "top_diretores": lambda: top_directors(gold, min_director),
+        "filmes_por_decada": lambda: movies_by_decade(gold),
+        "top_palavras_chave": lambda: top_keywords(gold, min_keyword),
+        "correlacoes_sucesso": lambda: correlation_grid(gold),
+        "top_filmes_receita": lambda: top_films_by_revenue(gold, top_limit, top_min_votes),
+        "top_filmes_roi": lambda: top_films_by_roi(gold, top_limit, top_min_votes, top_min_budget),
+        "resumo_sucesso_por_genero": lambda: group_summary(gold, "primary_genre", min_genre),
+        "resumo_sucesso_por_diretor": lambda: group_summary(gold, "director", min_director),
+        "resumo_sucesso_por_decada": lambda: group_summary(gold, "decade", min_decade),
+        "resumo_sucesso_por_palavra_chave": lambda: keyword_summary(gold, min_keyword),
     }
+
+
+def build_aggregations(gold: DataFrame, **thresholds) -> dict[str, DataFrame]:
+    """All eleven analytic tables, lazily, keyed by their output names (thresholds: see ``aggregation_builders``)."""
+    return {name: build() for name, build in aggregation_builders(gold, **thresholds).items()}

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldmart.constants import BRONZE_COLUMNS
 from goldmart.functions.numeric import to_double
 from goldmart.operators.quantiles import grouped_quantiles
 
 
-def _visible(columns: Sequence[str]) -> list[str]:
-    return [c for c in columns if not c.startswith("_")]
+def visible(columns: Sequence[str]) -> list[str]:
+    """The source's own columns: all but those that bronze landing adds."""
+    return [c for c in columns if c not in BRONZE_COLUMNS]
 
 
 def _null_counts(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
@@ -26,7 +28,7 @@ def _null_counts(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame
 def null_profile(raw: DataFrame, clean: DataFrame) -> DataFrame:
     """(coluna, raw, clean): missing values per shared column, before and after cleaning; only
     columns where either side has some; sorted by raw then clean, descending."""
-    shared = [c for c in _visible(raw.columns) if c in set(clean.columns)]
+    shared = [c for c in visible(raw.columns) if c in set(clean.columns)]
     joined = _null_counts(raw, shared, "raw").join(_null_counts(clean, shared, "clean"), "coluna")
     return (
         joined.where((F.col("raw") > 0) | (F.col("clean") > 0))
@@ -35,22 +37,22 @@ def null_profile(raw: DataFrame, clean: DataFrame) -> DataFrame:
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and not f.name.startswith("_")]
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in BRONZE_COLUMNS]
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(coluna, count, mean, std, min, p25, p50, p75, max) per numeric column: sample std and
     exact linearly interpolated quartiles (``percentile_approx``/``summary()`` are approximate).
-    The columns are unpivoted once, so all of them share one distributed quantile selection."""
+    The simple measures are one wide aggregate; the columns are unpivoted only for the quartiles, where they are
+    the groups of one distributed selection."""
     cols = list(columns) if columns else numeric_columns(df)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "coluna", "valor")
-    simple = long.groupBy("coluna").agg(
-        F.count("valor").alias("count"),
-        F.avg("valor").alias("mean"),
-        F.stddev_samp("valor").alias("std"),
-        F.min("valor").alias("min"),
-        F.max("valor").alias("max"),
-    )
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = wide.agg(*[fn(c).alias(f"{m}_{i}") for i, c in enumerate(cols) for m, fn in measures.items()])
+    simple = row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("coluna"), *[F.col(f"{m}_{i}").alias(m) for m in measures]) for i, c in enumerate(cols)
+    ])).alias("r")).select("r.*")
+    long = wide.unpivot([], cols, "coluna", "valor")
     quart = grouped_quantiles(long, ["coluna"], "valor", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     return simple.join(quart, "coluna", "left").select(
         "coluna", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
@@ -66,7 +68,7 @@ def shapes(frames: Mapping[str, DataFrame], files: Mapping[str, str] | None = No
             cols.append(F.lit(files.get(name)).alias("arquivo"))
         parts.append(
             df.agg(F.count(F.lit(1)).alias("linhas")).select(
-                *cols, "linhas", F.lit(len(_visible(df.columns))).cast("bigint").alias("colunas")
+                *cols, "linhas", F.lit(len(visible(df.columns))).cast("bigint").alias("colunas")
             )
         )
     out = parts[0]
@@ -109,16 +111,17 @@ def stage_counters(
          ("transformacao", "dataset_gold_colunas", len(gold.columns))],
         "etapa string, indicador string, valor bigint",
     )
-    total = None
-    for df in raw.values():
-        c = df.agg(F.count(F.lit(1)).alias("n"))
-        total = c if total is None else total.unionByName(c)
+    # one count per source; the total and the movies are read off these few rows
+    sources = shapes(raw).agg(
+        F.sum("linhas").cast("bigint").alias("total"), F.max(F.when(F.col("dataset") == movies_key, F.col("linhas"))).alias("movies")
+    )
+    lines = sources.select(F.explode(F.array(
+        F.struct(F.lit("ingestao").alias("etapa"), F.lit("total_linhas_brutas").alias("indicador"), F.col("total").alias("valor")),
+        F.struct(F.lit("transformacao").alias("etapa"), F.lit("movies_linhas_brutas").alias("indicador"), F.col("movies").alias("valor")),
+    )).alias("r")).select("r.*")
     parts = [
         fixed,
-        total.agg(F.sum("n").cast("bigint").alias("valor")).select(
-            F.lit("ingestao").alias("etapa"), F.lit("total_linhas_brutas").alias("indicador"), "valor"
-        ),
-        one("transformacao", "movies_linhas_brutas", raw[movies_key]),
+        lines,
         one("transformacao", "movies_linhas_apos_limpeza", clean_movies),
         one("transformacao", "diretores_extraidos", directors),
         one("transformacao", "filmes_com_palavras_chave", keywords, F.count_if(F.col("keyword_count") > 0)),
@@ -161,7 +164,7 @@ def raw_vs_gold(raw: DataFrame, gold: DataFrame, order_by: str = "id", raw_order
     """(campo, raw, gold): one movie side by side, raw text against gold values, joined on the
     field name (full outer: fields only one side has get a null on the other)."""
     pick = sample_id(gold, order_by)
-    raw_cols = _visible(raw.columns)
+    raw_cols = visible(raw.columns)
     raw_num = raw.withColumn("_num", to_double(raw, "id"))
     raw_row = (
         raw_num.join(F.broadcast(pick.select(F.col("id").cast("double").alias("_num"))), "_num", "left_semi")

@@ -1,16 +1,17 @@
-"""Exact quantiles per group without gathering a group in one task.
-
-Spark's exact ``percentile``/``median`` keeps a map of every distinct value of a group and merges
-it in one task, so a group holding a third of all rows lands on one executor. Here the same exact
-answer (linear interpolation between the two closest ranks) comes from a selection in stages:
-
-1. (keys, value) -> count, a partial aggregate: each distinct value is shipped once per task;
-2. per group: n and 2^L - 1 approximate equi-depth bounds over the distinct values
-   (``percentile_approx`` keeps a bounded sketch, whatever the group size);
-3. each distinct value gets its bucket by binary search over the bounds (L codegen'd steps);
-4. bucket sizes -> running totals per group (at most 2^L rows per group);
-5. only the buckets that contain a wanted rank are ranked exactly, each bucket in its own task
-   (partitioned by group *and* bucket), so the largest sort is about 1/2^L of a group's values.
+"""Exact quantiles per group (linear interpolation) without gathering a large group in one task.
+
+A group of at most ``local_rows`` rows is bounded, so its values are sorted as one array: one
+shuffle, however many such groups there are. A larger group is answered by selection in stages:
+
+1. approximate equi-depth bounds of the group straight from the scan (``percentile_approx`` is a
+   partial aggregate with a bounded sketch), distinct ones only;
+2. each row's bucket by binary search over the bounds (a fold over the step sizes);
+3. rows per bucket (partial aggregate), running totals, and with them the buckets that hold a wanted rank;
+4. only the values of these buckets, about 1/256 of the group each, are counted and ranked exactly,
+   every bucket in a task of its own.
+
+Rows meet the bounds of their group on (group, salt), so a group with a third of all rows is spread
+over ``SALTS`` tasks. Both ways are exact; which one a group takes depends on its own size only.
 """
 
 from __future__ import annotations
@@ -20,16 +21,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+LOCAL_ROWS = 100_000
+SALTS = 16
 _LEVELS = 8  # 256 buckets per group
 
 
 def _bucket_of(value: Column, bounds: Column, levels: int) -> Column:
-    """Number of bounds strictly below ``value`` (bounds sorted, length 2^levels - 1)."""
-    k = F.lit(0)
-    for level in reversed(range(levels)):
-        step = 1 << level
-        k = k + F.when(F.element_at(bounds, k + F.lit(step)) < value, F.lit(step)).otherwise(F.lit(0))
-    return k
+    """Number of bounds strictly below ``value`` (bounds sorted, at most 2^levels - 1)."""
+    steps = F.array(*[F.lit(1 << level) for level in reversed(range(levels))])
+    below = lambda k, step: F.coalesce(F.get(bounds, k + step - 1) < value, F.lit(False))
+    return F.aggregate(steps, F.lit(0), lambda k, step: k + F.when(below(k, step), step).otherwise(F.lit(0)))
 
 
 def _interpolate(lo: Column, hi: Column, n: Column, frac: float, midpoint_mean: bool) -> Column:
@@ -43,6 +44,39 @@ def _interpolate(lo: Column, hi: Column, n: Column, frac: float, midpoint_mean:
     return val.when(t < F.lit(0.5), lo + diff * t).otherwise(hi - diff * (F.lit(1.0) - t))
 
 
+def _selected(rows: DataFrame, keys: list[str], fracs, names, midpoint_mean: bool, levels: int, accuracy: int) -> DataFrame:
+    """(keys..., names...) of the large groups by selection."""
+    nb = (1 << levels) - 1
+    stats = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.array_distinct(F.percentile_approx("_v", [i / (nb + 1) for i in range(1, nb + 1)], accuracy)).alias("_b"),
+    )
+    salts = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
+    placed = salted.join(salts, keys + ["_salt"]).select(*keys, "_v", "_n", _bucket_of(F.col("_v"), F.col("_b"), levels).alias("_k"))
+
+    running = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = placed.groupBy(*keys, "_k").agg(F.count(F.lit(1)).alias("_bn"), F.max("_n").alias("_n"))
+    sizes = sizes.withColumn("_before", F.sum("_bn").over(running) - F.col("_bn"))
+    ranks = {}
+    for i, f in enumerate(fracs):
+        pos = (F.col("_n") - F.lit(1)) * F.lit(float(f))
+        ranks[f"_lo{i}"], ranks[f"_hi{i}"] = F.floor(pos).cast("bigint"), F.ceil(pos).cast("bigint")
+    inside = [(r >= F.col("_before")) & (r < F.col("_before") + F.col("_bn")) for r in ranks.values()]
+    targets = sizes.where(F.exists(F.array(*inside), lambda x: x)).select(*keys, "_k", "_before")
+
+    values = placed.join(targets, keys + ["_k"]).groupBy(*keys, "_k", "_v").agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"), F.max("_before").alias("_before")
+    )
+    within = Window.partitionBy(*keys, "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumn("_end", F.col("_before") + F.sum("_c").over(within)).withColumn("_start", F.col("_end") - F.col("_c"))
+    covers = [F.max(F.when((F.col("_start") <= r) & (r < F.col("_end")), F.col("_v"))).alias(name) for name, r in ranks.items()]
+    picked = values.groupBy(*keys).agg(F.max("_n").alias("_n"), *covers)
+    return picked.select(*keys, *[
+        _interpolate(F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col("_n"), f, midpoint_mean).alias(names[i]) for i, f in enumerate(fracs)
+    ])
+
+
 def grouped_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -50,70 +84,23 @@ def grouped_quantiles(
     fracs: Sequence[float],
     names: Sequence[str] | None = None,
     midpoint_mean: bool = False,
+    min_count: int = 1,
     levels: int = _LEVELS,
     accuracy: int = 10000,
+    local_rows: int = LOCAL_ROWS,
 ) -> DataFrame:
-    """(keys..., one column per fraction): exact quantiles of the non-null values per group,
-    linear between the two closest ranks. Groups without values are absent; with no keys the
-    result is one row."""
-    names = list(names) if names else [f"q{i}" for i in range(len(fracs))]
-    global_group = not keys
-    keys = list(keys) if keys else ["_g"]
-    nb = (1 << levels) - 1
-    base = df.select(*([F.lit(0).alias("_g")] if global_group else keys), F.col(value).cast("double").alias("_v"))
-    base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-
-    rank_cols = {}
-    for i, f in enumerate(fracs):
-        pos = (F.col("_n") - F.lit(1)) * F.lit(float(f))
-        rank_cols[f"_lo{i}"] = F.floor(pos).cast("bigint")
-        rank_cols[f"_hi{i}"] = F.ceil(pos).cast("bigint")
-    ranks = list(rank_cols)
-    carried = ranks + ["_n"]
-    stats = (
-        counts.groupBy(*keys)
-        .agg(
-            F.sum("_c").alias("_n"),
-            F.percentile_approx("_v", [i / (nb + 1) for i in range(1, nb + 1)], accuracy).alias("_b"),
-        )
-        .withColumns(rank_cols)
-    )
-    if global_group:  # one group: its stats are a scalar subquery, used as constants (no join)
-        packed = stats.select(F.struct(*[c for c in stats.columns if c != "_g"]).alias("s")).scalar()
-        with_bounds = counts.select("*", *[packed[c].alias(c) for c in stats.columns if c != "_g"])
-    else:
-        with_bounds = counts.join(stats, keys)
-    bucketed = with_bounds.select(
-        *keys, "_v", "_c", _bucket_of(F.col("_v"), F.col("_b"), levels).alias("_k"), *carried
-    )
-
-    sizes = bucketed.groupBy(*keys, "_k").agg(F.sum("_c").alias("_bn"), *[F.max(c).alias(c) for c in carried])
-    running = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = sizes.withColumn("_cb", F.sum("_bn").over(running) - F.col("_bn"))
-    hit = F.lit(False)
-    for r in ranks:
-        hit = hit | ((F.col(r) >= F.col("_cb")) & (F.col(r) < F.col("_cb") + F.col("_bn")))
-    targets = sizes.where(hit).select(*keys, "_k", "_cb")
-
-    cand = bucketed.join(targets, keys + ["_k"])
-    within = Window.partitionBy(*keys, "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cand = cand.withColumn("_end", F.col("_cb") + F.sum("_c").over(within))
-    cand = cand.withColumn("_start", F.col("_end") - F.col("_c"))
-
-    def covering(r: str) -> Column:
-        return F.max(F.when((F.col("_start") <= F.col(r)) & (F.col(r) < F.col("_end")), F.col("_v"))).alias(r)
-
-    picked = cand.groupBy(*keys).agg(F.max("_n").alias("_n"), *[covering(r) for r in ranks])
-    cols = [] if global_group else [F.col(k) for k in keys]
-    for i, f in enumerate(fracs):
-        cols.append(_interpolate(F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col("_n"), f, midpoint_mean).alias(names[i]))
-    out = picked.select(*cols)
-    if global_group:  # keep exactly one row, also for empty input
-        out = out.agg(*[F.max(n).alias(n) for n in names])
-    return out
-
-
-def grouped_median(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """(keys..., median): exact median per group; an even count averages the two middle values."""
-    return grouped_quantiles(df, keys, value, [0.5], ["median"], midpoint_mean=True)
+    """(keys..., one column per fraction): exact quantiles of the non-null values of each group with at
+    least ``min_count`` of them. Groups without values are absent."""
+    keys, names = list(keys), list(names) if names else [f"q{i}" for i in range(len(fracs))]
+    base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    # at most one key for every local_rows rows of the input
+    large = F.broadcast(sizes.where(F.col("_size") > F.lit(local_rows)).select(*keys))
+    small = base.join(large, keys, "left_anti").groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_all"))
+    small = small.withColumn("_n", F.size("_all").cast("bigint")).where(F.col("_n") >= F.lit(min_count))
+    at = lambda rank: F.get(F.col("_all"), rank((F.col("_n") - F.lit(1)) * F.lit(float(f))).cast("int"))
+    columns = []
+    for f, name in zip(fracs, names):
+        columns.append(_interpolate(at(F.floor), at(F.ceil), F.col("_n"), f, midpoint_mean).alias(name))
+    small = small.select(*keys, *columns)
+    return small.unionByName(_selected(base.join(large, keys, "left_semi"), keys, fracs, names, midpoint_mean, levels, accuracy))

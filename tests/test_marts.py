@@ -5,10 +5,11 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from goldmart.constants import GOLD_COLUMNS
 from goldmart.operators import marts
-from goldmart.operators.quantiles import grouped_median, grouped_quantiles
+from goldmart.operators.quantiles import _selected, grouped_quantiles
 
 GOLD_SCHEMA = (
     "id bigint, title string, primary_genre string, genres_list array<string>, director string, "
@@ -77,9 +78,9 @@ def test_group_summary_median_and_order(gold):
     assert marts.group_summary(gold, "director", 3).count() == 1
 
 
-def test_group_summary_median_levels(gold):
-    a = {r.director: r.receita_mediana_mi for r in marts.group_summary(gold, "director", 1, median_levels=2).collect()}
-    b = {r.director: r.receita_mediana_mi for r in marts.group_summary(gold, "director", 1, median_levels=10).collect()}
+def test_group_summary_selection_equals_local_sort(gold):
+    a = {r.director: r.receita_mediana_mi for r in marts.group_summary(gold, "director", 1, local_rows=0).collect()}
+    b = {r.director: r.receita_mediana_mi for r in marts.group_summary(gold, "director", 1).collect()}
     assert a == b == {"d1": 2000.0, "d2": 6500.0}
 
 
@@ -138,30 +139,50 @@ def test_build_aggregations_names(gold):
     ]
 
 
-def test_quantiles_fixture_values(spark):
+def _median(df, **kw):
+    return grouped_quantiles(df, ["k"], "v", [0.5], ["median"], midpoint_mean=True, **kw)
+
+
+@pytest.mark.parametrize("local_rows", [0, 3, 100])
+def test_quantiles_fixture_values(spark, local_rows):
     df = spark.createDataFrame([(1, v) for v in (1.0, 2.0, 4.0, 10.0)], "k int, v double")
-    row = grouped_quantiles(df, ["k"], "v", [0.25, 0.5, 0.75]).first()
+    row = grouped_quantiles(df, ["k"], "v", [0.25, 0.5, 0.75], local_rows=local_rows).first()
     assert (row.q0, row.q1, row.q2) == (1.75, 3.0, 5.5)
-    assert grouped_median(df, ["k"], "v").first().median == 3.0
+    assert _median(df, local_rows=local_rows).first().median == 3.0
+    assert _median(df, local_rows=local_rows, min_count=5).count() == (0 if local_rows >= 4 else 1)
 
 
-def test_quantiles_match_pandas_with_hot_key(spark):
+@pytest.mark.parametrize("local_rows", [0, 1000, 100_000])
+def test_quantiles_match_pandas_with_hot_key(spark, local_rows):
     rng = np.random.default_rng(7)
     n = 20000
     keys = np.where(rng.random(n) < 0.34, 0, rng.integers(1, 40, n))
     vals = np.round(rng.lognormal(8, 2, n), 2)
     vals[rng.random(n) < 0.05] = np.nan
+    vals[keys == 3] = 5.0  # a group of one value
     pdf = pd.DataFrame({"k": keys, "v": vals})
     df = spark.createDataFrame(pdf).repartition(6)
-    got = grouped_median(df, ["k"], "v").toPandas().set_index("k")["median"].sort_index()
+    got = _median(df, local_rows=local_rows).toPandas().set_index("k")["median"].sort_index()
     exp = pdf.groupby("k")["v"].median().sort_index()
     assert np.allclose(got.values, exp.values, rtol=0, atol=1e-9)
-    q = grouped_quantiles(df, [], "v", [0.1, 0.25, 0.75, 0.9]).first()
-    expq = pdf.v.quantile([0.1, 0.25, 0.75, 0.9]).tolist()
-    assert all(math.isclose(a, b, rel_tol=1e-12) for a, b in zip(q, expq))
-
-
-def test_quantiles_empty_global_group(spark):
-    df = spark.createDataFrame([], "v double")
-    rows = grouped_quantiles(df, [], "v", [0.5]).collect()
-    assert len(rows) == 1 and rows[0][0] is None
+    q = grouped_quantiles(df, ["k"], "v", [0.1, 0.25, 0.75, 0.9], local_rows=local_rows).where("k = 0").first()
+    expq = pdf[pdf.k == 0].v.quantile([0.1, 0.25, 0.75, 0.9]).tolist()
+    assert all(math.isclose(a, b, rel_tol=1e-12) for a, b in zip(q[1:], expq))
+
+
+def test_quantiles_with_many_small_groups_and_an_empty_table(spark):
+    df = spark.range(40_000).selectExpr("cast(id % 10000 as int) as k", "cast(id div 10000 as double) as v")
+    assert {r.median for r in _median(df).collect()} == {1.5} and _median(df).count() == 10_000
+    assert _median(df.limit(0)).count() == 0
+
+
+def test_quantile_plan_does_not_exchange_values_on_the_bare_group(spark):
+    df = spark.range(1000).selectExpr("cast(id % 3 as int) as k", "cast(id as double) as v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = df.select("k", F.col("v").alias("_v"))
+        plan = _selected(rows, ["k"], [0.5], ["m"], True, 8, 10000)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "_salt" in plan and len(plan) < 60_000
