@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from goldmart.constants import GOLD_COLUMNS
 from goldmart.functions.dates import decade, iso_day_text, lenient_date
-from goldmart.functions.literals import first_or_null, with_name_list
+from goldmart.functions.literals import first_or_null
 from goldmart.functions.numeric import rint_round
 from goldmart.functions.text import present_text
-from goldmart.operators.silver import ParseMetrics
+from goldmart.operators.silver import parse_genres
 
 _MOVIE_INPUTS = [
-    "id", "title", "genres", "budget", "revenue", "vote_average", "vote_count", "popularity",
+    "id", "title", "genres_list", "budget", "revenue", "vote_average", "vote_count", "popularity",
     "runtime", "original_language", "release_date", "belongs_to_collection", "overview", "status",
 ]
 
@@ -24,38 +24,28 @@ def roi_percent(revenue="revenue", budget="budget"):
     return F.when(b.isNotNull() & (b > F.lit(0.0)) & r.isNotNull(), rint_round((r - b) / b * F.lit(100.0), 2))
 
 
-def build_gold_dataset(
-    movies: DataFrame,
-    directors: DataFrame,
-    keywords: DataFrame,
-    ratings: DataFrame,
-    metrics: ParseMetrics | None = None,
-) -> DataFrame:
-    """Clean movies + parsed genres, left-joined to the three one-row-per-id side tables.
+def build_gold_dataset(movies: DataFrame, directors: DataFrame, keywords: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Clean movies (with a genres text or already with ``genres_list``), left-joined to the three one-row-per-id
+    side tables.
 
-    Every side table is unique on ``id`` (no fan-out) and already hash-partitioned on it by its
-    own dedup or aggregate, so the three joins reuse that partitioning; AQE turns a join into a
-    broadcast only when the measured side is below the broadcast threshold.
+    Genres are parsed first, so the joins carry the short list and not the text. Every side table is
+    unique on ``id`` (no fan-out) and already hash-partitioned on it by its own dedup or aggregate;
+    AQE turns a join into a broadcast only when the measured side is below the broadcast threshold.
     """
+    parsed = movies if "genres_list" in movies.columns else parse_genres(movies)
     joined = (
-        movies.select(*_MOVIE_INPUTS)
+        parsed.select(*_MOVIE_INPUTS)
         .join(directors, "id", "left")
         .join(keywords, "id", "left")
         .join(ratings, "id", "left")
     )
-    # parsed after the joins: the rows keep the id partitioning of the joins (a Python eval
-    # node does not report it, so parsing first would add an exchange); right keys are unique,
-    # so the joins neither add nor drop rows and the malformed count is the same
-    joined = with_name_list(joined, "genres", "_g")
-    if metrics is not None:
-        joined = metrics.observe(joined, "movies.genres", F.col("_g.malformed"))
     day = lenient_date("release_date")
     year = F.year(day)
     out = joined.select(
         F.col("id").cast("bigint").alias("id"),
         "title",
-        first_or_null(F.col("_g.names")).alias("primary_genre"),
-        F.col("_g.names").alias("genres_list"),
+        first_or_null(F.col("genres_list")).alias("primary_genre"),
+        "genres_list",
         "director",
         "primary_keyword",
         F.coalesce(F.col("keywords_list"), F.array().cast("array<string>")).alias("keywords_list"),

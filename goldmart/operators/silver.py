@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldmart.functions.literals import first_or_null, with_director, with_name_list
@@ -15,69 +14,55 @@ from goldmart.operators.dedup import keep_first
 from goldmart.sources.contracts import validate_columns
 
 
-class ParseMetrics:
-    """Malformed-row counters per parsed field, filled by the first action that runs the plan.
-
-    Counting rides along with the real work through ``DataFrame.observe``: no extra job.
-    Read ``counts()`` only after that action has finished.
-    """
-
-    def __init__(self):
-        self._observations: dict[str, Observation] = {}
-
-    def observe(self, df: DataFrame, field: str, malformed: Column) -> DataFrame:
-        obs = Observation(field.replace(".", "_"))
-        self._observations[field] = obs
-        return df.observe(obs, F.count_if(malformed).alias("malformed"))
-
-    def counts(self) -> dict[str, int]:
-        return {field: int(obs.get["malformed"]) for field, obs in self._observations.items()}
-
-    def warn(self) -> dict[str, int]:
-        counts = self.counts()
-        for field, n in counts.items():
-            if n:
-                warnings.warn(f"{field}: {n} rows with malformed content were ignored.", RuntimeWarning)
-        return counts
-
-
 def _valid_ids(df: DataFrame, column: str = "id") -> DataFrame:
     return df.withColumn(column, to_long_truncated(df, column)).where(F.col(column).isNotNull())
 
 
-def build_directors(
-    credits: DataFrame, order_by: Sequence[str] | None = None, metrics: ParseMetrics | None = None
-) -> DataFrame:
-    """(id, director): director of the first credits row per id; ids whose first row names no
-    director are dropped even when a later row does. The crew text is parsed map-side, so only
-    (id, order, director) crosses the dedup shuffle."""
+def parse_credits(credits: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+    """(id, order..., director, malformed): one row per credits row with a valid id. Parsing comes before the dedup
+    shuffle, so the crew text does not cross it."""
     validate_columns(credits, "credits")
     order = _order(credits, order_by)
     parsed = with_director(_valid_ids(credits).select("id", *order, "crew"), "crew", "_d")
-    if metrics is not None:
-        parsed = metrics.observe(parsed, "credits.crew", F.col("_d.malformed"))
-    narrow = parsed.select("id", *order, F.col("_d.director").alias("director"))
-    return keep_first(narrow, ["id"], order).where(F.col("director").isNotNull()).select("id", "director")
+    return parsed.select("id", *order, F.col("_d.director").alias("director"), F.col("_d.malformed").alias("malformed"))
 
 
-def build_keywords(
-    keywords: DataFrame, order_by: Sequence[str] | None = None, metrics: ParseMetrics | None = None
-) -> DataFrame:
-    """(id, keywords_list, primary_keyword, keyword_count) from the first row per id; empty
-    lists are kept."""
+def first_directors(parsed: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+    """(id, director) of the first row per id; ids whose first row names no director are dropped even
+    when a later row does."""
+    first = keep_first(parsed, ["id"], _order(parsed, order_by))
+    return first.where(F.col("director").isNotNull()).select("id", "director")
+
+
+def build_directors(credits: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+    return first_directors(parse_credits(credits, order_by), order_by)
+
+
+def parse_keywords(keywords: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+    """(id, order..., keywords_list, malformed): one row per keywords row with a valid id."""
     validate_columns(keywords, "keywords")
     order = _order(keywords, order_by)
     parsed = with_name_list(_valid_ids(keywords).select("id", *order, "keywords"), "keywords", "_k")
-    if metrics is not None:
-        parsed = metrics.observe(parsed, "keywords.keywords", F.col("_k.malformed"))
-    narrow = parsed.select(
-        "id",
-        *order,
-        F.col("_k.names").alias("keywords_list"),
-        first_or_null(F.col("_k.names")).alias("primary_keyword"),
-        F.size(F.col("_k.names")).cast("bigint").alias("keyword_count"),
+    return parsed.select("id", *order, F.col("_k.names").alias("keywords_list"), F.col("_k.malformed").alias("malformed"))
+
+
+def first_keywords(parsed: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+    """(id, keywords_list, primary_keyword, keyword_count) of the first row per id; empty lists are kept."""
+    first = keep_first(parsed, ["id"], _order(parsed, order_by))
+    return first.select(
+        "id", "keywords_list", first_or_null(F.col("keywords_list")).alias("primary_keyword"),
+        F.size("keywords_list").cast("bigint").alias("keyword_count"),
     )
-    return keep_first(narrow, ["id"], order).select("id", "keywords_list", "primary_keyword", "keyword_count")
+
+
+def build_keywords(keywords: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+    return first_keywords(parse_keywords(keywords, order_by), order_by)
+
+
+def parse_genres(movies: DataFrame) -> DataFrame:
+    """Clean movies with ``genres_list`` and ``genres_malformed``, read from the genres text."""
+    parsed = with_name_list(movies, "genres", "_g")
+    return parsed.withColumns({"genres_list": F.col("_g.names"), "genres_malformed": F.col("_g.malformed")}).drop("_g")
 
 
 def bridge_links(links: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:

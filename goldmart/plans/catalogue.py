@@ -7,7 +7,6 @@ rounded in the library where the contract says so; the rest is rounded here, ali
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +23,10 @@ from goldmart.operators.gold import build_gold_dataset
 from goldmart.operators.silver import build_directors, build_keywords, build_movie_ratings
 from goldmart.plans import frames as fr
 from goldmart.plans.frames import LINE_ORDER, THRESHOLDS as TH
-from goldmart.session import scratch_path
+from goldmart.plans.pipeline import run_frames, write_silver
+from goldmart.session import materialize, scratch_path
 from goldmart.sinks.writers import manifest, write_csv, write_parquet, write_tables
+from goldmart.sources.bronze import read_raw_csv
 
 
 # ----------------------------------------------------------------------------- shared builders
@@ -39,50 +40,28 @@ def raw_frames(spark: SparkSession, d: str, varied_ratings: bool = False) -> dic
     }
 
 
-def silver(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    raw = raw_frames(spark, d)
-    return {
-        "raw": raw,
-        "clean": clean_movies(raw["movies"]),
-        "directors": build_directors(raw["credits"], order_by=LINE_ORDER),
-        "keywords": build_keywords(raw["keywords"], order_by=LINE_ORDER),
-        "ratings": build_movie_ratings(raw["links"], raw["ratings"]),
-    }
-
-
 def order_gold(spark: SparkSession, d: str) -> DataFrame:
-    s = silver(spark, d)
-    return build_gold_dataset(s["clean"], s["directors"], s["keywords"], s["ratings"])
+    raw = raw_frames(spark, d)
+    return build_gold_dataset(
+        clean_movies(raw["movies"]), build_directors(raw["credits"], order_by=LINE_ORDER),
+        build_keywords(raw["keywords"], order_by=LINE_ORDER), build_movie_ratings(raw["links"], raw["ratings"]),
+    )
 
 
-_STORED_GOLD: dict[tuple[str, str], str] = {}
+def stored_gold(spark: SparkSession, d: str) -> DataFrame:
+    """The order mart's gold, written below ``spark.checkpoint.dir`` and read back: for callers that read
+    it more than once. Nothing is kept between calls."""
+    return materialize(order_gold(spark, d), "order-gold")
 
 
-def stored_gold(spark: SparkSession, d: str) -> DataFrame:
-    """The order mart's gold as a persisted table, the way the pipeline keeps it: the first
-    query of an application that needs it writes it below ``spark.checkpoint.dir``; later ones
-    read the Parquet (lineage cut there, no re-parsing, column-pruned scans)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(d))
-    path = _STORED_GOLD.get(key)
-    if path is None:
-        path = scratch_path(spark, "order-gold")
-        order_gold(spark, d).write.mode("overwrite").parquet(path)
-        _STORED_GOLD[key] = path
-    return spark.read.parquet(path)
+def order_builders(gold: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    names = ("min_director", "min_keyword", "min_genre", "min_decade", "top_limit", "top_min_votes", "top_min_budget")
+    return marts.aggregation_builders(gold, **{n: TH[n] for n in names})
 
 
 def order_tables(spark: SparkSession, d: str, gold: DataFrame | None = None) -> dict[str, DataFrame]:
     g = stored_gold(spark, d) if gold is None else gold
-    return marts.build_aggregations(
-        g,
-        min_director=TH["min_director"],
-        min_keyword=TH["min_keyword"],
-        min_genre=TH["min_genre"],
-        min_decade=TH["min_decade"],
-        top_limit=TH["top_limit"],
-        top_min_votes=TH["top_min_votes"],
-        top_min_budget=TH["top_min_budget"],
-    )
+    return {name: build() for name, build in order_builders(g).items()}
 
 
 def flat(df: DataFrame, sep: str = "|") -> DataFrame:
@@ -160,15 +139,21 @@ def q_gold_dataset(spark, d):
     return flat(order_gold(spark, d))
 
 
-def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark, d):
-        return order_tables(spark, d)[name]
-    run.__name__ = f"q_{name}"
+def _on_gold(build: Callable[[SparkSession, str, DataFrame], DataFrame]) -> Callable[..., DataFrame]:
+    """A query on gold: builds gold itself, or takes a stored one as ``gold``."""
+    def run(spark, d, gold=None):
+        return build(spark, d, stored_gold(spark, d) if gold is None else gold)
+    run.__name__, run.takes_gold = build.__name__, True
     return run
 
 
-def q_correlation_grid(spark, d):
-    return marts.correlation_grid(stored_gold(spark, d))
+def _table(name: str) -> Callable[..., DataFrame]:
+    return _on_gold(lambda spark, d, gold: order_builders(gold)[name]())
+
+
+@_on_gold
+def q_correlation_grid(spark, d, gold):
+    return marts.correlation_grid(gold)
 
 
 def q_null_profile(spark, d):
@@ -176,82 +161,148 @@ def q_null_profile(spark, d):
     return profile.null_profile(dirty, clean_movies(dirty, order_by=LINE_ORDER))
 
 
-def q_describe_numeric(spark, d):
-    desc = profile.describe_numeric(stored_gold(spark, d))
+@_on_gold
+def q_describe_numeric(spark, d, gold):
+    desc = profile.describe_numeric(gold)
     return desc.select("coluna", "count", *[rint_round(c, 6).alias(c) for c in
                                              ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
-def q_stage_counters(spark, d):
-    s = silver(spark, d)
-    return profile.stage_counters(s["raw"], s["clean"], s["directors"], s["keywords"], s["ratings"], stored_gold(spark, d))
+@_on_gold
+def q_stage_counters(spark, d, gold):
+    raw = raw_frames(spark, d)
+    s = write_silver(raw, scratch_path(spark, "silver"), {"credits": LINE_ORDER, "keywords": LINE_ORDER})
+    return profile.stage_counters(raw, s["clean"], s["directors"], s["keywords"], s["ratings"], gold)
+
+
+def q_pipeline_counters(spark, d):
+    """The counters that a whole run reports (bronze-shaped frames to written outputs)."""
+    result = run_frames(
+        spark, raw_frames(spark, d), scratch_path(spark, "run"), order_by={"credits": LINE_ORDER, "keywords": LINE_ORDER}, thresholds=TH,
+    )
+    lost = spark.createDataFrame([("malformadas", k, v) for k, v in result["malformed"].items()], "etapa string, indicador string, valor bigint")
+    return result["stage_counters"].unionByName(lost)
 
 
-def q_table_row_counts(spark, d):
-    return profile.table_row_counts(order_tables(spark, d))
+@_on_gold
+def q_table_row_counts(spark, d, gold):
+    return profile.table_row_counts({name: build() for name, build in order_builders(gold).items()})
 
 
-def q_raw_vs_gold_record(spark, d):
-    return profile.raw_vs_gold(fr.order_movies(spark, d), stored_gold(spark, d))
+@_on_gold
+def q_raw_vs_gold_record(spark, d, gold):
+    return profile.raw_vs_gold(fr.order_movies(spark, d), gold)
 
 
-def q_highlights(spark, d):
-    t = order_tables(spark, d)
-    return profile.highlights(t["receita_por_genero"], t["top_diretores"], t["filmes_por_decada"])
+@_on_gold
+def q_highlights(spark, d, gold):
+    t = order_builders(gold)
+    return profile.highlights(t["receita_por_genero"](), t["top_diretores"](), t["filmes_por_decada"]())
 
 
-def q_feed_genre_bars(spark, d):
-    return feeds.genre_bars(order_tables(spark, d)["receita_por_genero"])
+@_on_gold
+def q_feed_genre_bars(spark, d, gold):
+    return feeds.genre_bars(order_builders(gold)["receita_por_genero"]())
 
 
-def q_feed_decade_dual(spark, d):
-    return feeds.decade_dual(order_tables(spark, d)["filmes_por_decada"])
+@_on_gold
+def q_feed_decade_dual(spark, d, gold):
+    return feeds.decade_dual(order_builders(gold)["filmes_por_decada"]())
 
 
-def q_feed_cost_revenue(spark, d):
-    f = feeds.cost_revenue(stored_gold(spark, d), TH["feed_min_budget"], TH["feed_min_revenue"])
+@_on_gold
+def q_feed_cost_revenue(spark, d, gold):
+    f = feeds.cost_revenue(gold, TH["feed_min_budget"], TH["feed_min_revenue"])
     return f.select(*[rint_round(c, 6).alias(c) for c in f.columns])
 
 
-def q_feed_cost_revenue_max(spark, d):
-    return feeds.cost_revenue_max(stored_gold(spark, d), TH["feed_min_budget"], TH["feed_min_revenue"])
+@_on_gold
+def q_feed_cost_revenue_max(spark, d, gold):
+    return feeds.cost_revenue_max(gold, TH["feed_min_budget"], TH["feed_min_revenue"])
 
 
-def q_feed_cost_revenue_binned(spark, d):
-    f = feeds.cost_revenue_binned(stored_gold(spark, d), 20, TH["feed_min_budget"], TH["feed_min_revenue"])
+@_on_gold
+def q_feed_cost_revenue_binned(spark, d, gold):
+    f = feeds.cost_revenue_binned(gold, 20, TH["feed_min_budget"], TH["feed_min_revenue"])
     return f.select("faixa_orcamento", "faixa_receita", "qtd_filmes", rint_round("nota_media", 4).alias("nota_media"),
                     rint_round("largura_mi", 6).alias("largura_mi"))
 
 
-def q_feed_corr_matrix(spark, d):
-    return feeds.corr_matrix(marts.correlation_grid(stored_gold(spark, d)))
+@_on_gold
+def q_feed_corr_matrix(spark, d, gold):
+    return feeds.corr_matrix(marts.correlation_grid(gold))
 
 
 def q_raw_vs_clean_shape(spark, d):
-    dirty = _dirty(spark, d)
+    dirty = _dirty(spark, d).drop("_okey")
     return profile.shapes({"raw": dirty, "clean": clean_movies(dirty, order_by=LINE_ORDER)})
 
 
-def q_gold_preview(spark, d):
-    return flat(profile.preview(stored_gold(spark, d), 5, ["id"]))
+@_on_gold
+def q_gold_preview(spark, d, gold):
+    return flat(profile.preview(gold, 5, ["id"]))
+
+
+def q_dirty_dates(spark, d):
+    """Dates and collections of a raw export, through cleaning and gold."""
+    raw = raw_frames(spark, d)
+    gold = build_gold_dataset(
+        clean_movies(fr.dirty_dates(raw["movies"])), build_directors(raw["credits"], order_by=LINE_ORDER),
+        build_keywords(raw["keywords"], order_by=LINE_ORDER), build_movie_ratings(raw["links"], raw["ratings"]),
+    )
+    return gold.select("id", "release_date", "release_year", "decade", "has_collection")
+
+
+_DIRTY_TEXT = ["id", "title", "adult", "budget", "revenue", "runtime", "belongs_to_collection", "overview"]
+
 
+def q_csv_ingest(spark, d):
+    """Dirty rows written as CSV and read again by the raw reader: header contract, quoting, NA tokens."""
+    keys = ["l_linenumber", "l_partkey", "l_suppkey"]
+    path = write_csv(fr.dirty_movies(spark, d).select("_okey", *keys, *_DIRTY_TEXT), scratch_path(spark, "raw-csv"))
+    raw = read_raw_csv(spark, path, required=_DIRTY_TEXT)
+    return raw.select(F.col("_okey").cast("bigint").alias("l_orderkey"), *[F.col(k).cast("bigint").alias(k) for k in keys], *_DIRTY_TEXT)
 
-def q_output_manifest(spark, d):
+
+@_on_gold
+def q_output_manifest(spark, d, gold):
     out = scratch_path(spark, "catalogue-out")
-    g = stored_gold(spark, d)
-    write_csv(g, f"{out}/filmes_processados.csv")
-    write_tables(order_tables(spark, d, g), out)
-    return manifest(spark, out, "*.csv")
+    paths = [write_csv(gold, f"{out}/filmes_processados.csv"), write_parquet(gold, f"{out}/filmes_processados_parquet")]
+    tables = write_tables({name: build() for name, build in order_builders(gold).items()}, out)
+    return manifest(spark, [*paths, *tables.values()]).select("arquivo", (F.col("bytes") > 0).alias("preenchido"))
+
+
+@_on_gold
+def q_table_csvs(spark, d, gold):
+    """Every analytic table through the CSV sink and back: rows and columns of each file."""
+    paths = write_tables({name: build() for name, build in order_builders(gold).items()}, scratch_path(spark, "tables-csv"))
+    return profile.shapes({name: _read_csv(spark, path) for name, path in paths.items()}).withColumnRenamed("dataset", "tabela")
+
+
+def _read_csv(spark, path):
+    return spark.read.options(header="true", multiLine="true", quote='"', escape='"').csv(path)
+
+
+@_on_gold
+def q_csv_roundtrip(spark, d, gold):
+    """Gold through the CSV sink and back, every column cast to its type again, lists from their JSON text."""
+    back = _read_csv(spark, write_csv(gold, scratch_path(spark, "gold-csv")))
+    typed = [
+        F.from_json(f.name, f.dataType.simpleString()).alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name).cast(f.dataType)
+        for f in gold.schema.fields
+    ]
+    return flat(back.select(*typed))
 
 
-def q_gold_dtypes(spark, d):
-    return profile.gold_dtypes(stored_gold(spark, d))
+@_on_gold
+def q_gold_dtypes(spark, d, gold):
+    return profile.gold_dtypes(gold)
 
 
-def q_parquet_roundtrip(spark, d):
+@_on_gold
+def q_parquet_roundtrip(spark, d, gold):
     # gold through the Parquet sink (directory replaced on every run) and back
-    path = write_parquet(stored_gold(spark, d), scratch_path(spark, "gold-roundtrip"))
-    return flat(spark.read.parquet(path))
+    return flat(spark.read.parquet(write_parquet(gold, scratch_path(spark, "gold-roundtrip"))))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -293,6 +344,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_vs_clean_shape": q_raw_vs_clean_shape,
     "gold_preview": q_gold_preview,
     "output_manifest": q_output_manifest,
+    "dirty_dates": q_dirty_dates,
+    "csv_ingest": q_csv_ingest,
+    "csv_roundtrip": q_csv_roundtrip,
+    "table_csvs": q_table_csvs,
+    "pipeline_counters": q_pipeline_counters,
     "gold_dtypes": q_gold_dtypes,
     "parquet_roundtrip": q_parquet_roundtrip,
 }

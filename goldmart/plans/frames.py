@@ -1,11 +1,11 @@
 """Catalogue inputs derived from the TESTDATA star schema.
 
 The catalogue tables have the movie schema but are built by Spark from ``orders``, ``lineitem``,
-``customer``, ``nation`` and ``part``, so every operator runs on data that grows with the scale
+``customer`` and ``part``, so every operator runs on data that grows with the scale
 factor. Dirt is produced by CASE expressions on keys (a value rule per row, never a row filter).
 
 Order mart roles: id = order key, title = order status, genre = order priority, director = the
-customer's nation (from the order's first line, by the total line order below), keywords = the two
+customer's name (from the order's first line, by the total line order below), keywords = the two
 words of the first line's part name, budget = net line value, revenue = order total, runtime = days
 from order to last shipment, votes = line count, vote average = mean discount in quarter steps,
 user rating = half-step rating per order through a two-ids-per-order link bridge.
@@ -22,7 +22,7 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extende
 # Catalogue thresholds sized for the order mart (about 4 lines per order).
 THRESHOLDS = {
     "min_genre": 20,
-    "min_director": 3,
+    "min_director": 6,
     "min_decade": 20,
     "min_keyword": 10,
     "top_limit": 20,
@@ -33,27 +33,26 @@ THRESHOLDS = {
 }
 
 
-# The order key of the two fact tables.
-_ORDER_KEY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. A fact table stored in fewer files than the session has cores (the given
-    files hold one row group each) would put every stage before its first exchange into one task;
-    such a table is hash-partitioned by order key, which the per-order aggregate, the order joins
-    and the link ``distinct`` then reuse. A table spread over many files (the layout at scale) is
-    parallel from the scan and is left as it is: no extra shuffle."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = _ORDER_KEY.get(name)
-    if key and len(df.inputFiles()) < spark.sparkContext.defaultParallelism:
-        return df.repartition(key)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
+def dirty_dates(movies: DataFrame) -> DataFrame:
+    """The movies table with release dates and collections in the shapes a raw export holds, by order key % 10."""
+    k = F.col("_pos") % 10
+    text = (
+        F.when(k == 0, F.lit("1995-1-5")).when(k == 1, F.lit("1995-02-30")).when(k == 2, F.lit("1995"))
+        .when(k == 3, F.lit("1995-03-04 10:00:00")).when(k == 4, F.lit("")).when(k == 5, F.lit("1600-01-01"))
+        .when(k == 6, F.lit("2300-05-05")).when(k == 7, F.lit("2000-12-31")).otherwise(F.col("release_date"))
+    )
+    collection = F.when(k % 4 == 0, F.lit("  ")).when(k % 4 == 1, F.lit(" Saga ")).when(k % 4 == 2, F.lit("")).otherwise(F.col("belongs_to_collection"))
+    return movies.withColumns({"release_date": text, "belongs_to_collection": collection})
+
+
 def order_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movies-shaped raw table, one row per order."""
     li = table(spark, sf_dir, "lineitem")
@@ -95,20 +94,18 @@ def order_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     Python-only literal (k%7=3), a truncated literal (k%11=4), else producer + director."""
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     x = (
         li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
         .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     )
     pk = F.col("l_partkey")
     producer = F.concat(F.lit("{'job': 'Producer', 'name': 'P"), _s("l_suppkey"), F.lit("'}"))
-    director = F.concat(F.lit("{'job': 'Director', 'name': '"), F.col("n_name"), F.lit("'}"))
+    director = F.concat(F.lit("{'job': 'Director', 'name': '"), F.col("c_name"), F.lit("'}"))
     crew = (
         F.when(pk % 5 == 0, F.concat(F.lit("["), producer, F.lit("]")))
-        .when(pk % 7 == 3, F.concat(F.lit("[{'job': 'Director', 'name': '"), F.col("n_name"), F.lit("', 'adult': False}]")))
-        .when(pk % 11 == 4, F.concat(F.lit("[{'job': 'Director', 'name': '"), F.col("n_name"), F.lit("'")))
+        .when(pk % 7 == 3, F.concat(F.lit("[{'job': 'Director', 'name': '"), F.col("c_name"), F.lit("', 'adult': False}]")))
+        .when(pk % 11 == 4, F.concat(F.lit("[{'job': 'Director', 'name': '"), F.col("c_name"), F.lit("'")))
         .otherwise(F.concat(F.lit("["), producer, F.lit(", "), director, F.lit("]")))
     )
     return x.select(_s("l_orderkey").alias("id"), crew.alias("crew"), *LINE_ORDER)
@@ -261,13 +258,13 @@ def na_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def literal_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One literal per part, ten shapes chosen by part key % 10, built from the name's words."""
+    """One literal per part, twelve shapes chosen by part key % 12, built from the name's words."""
     part = table(spark, sf_dir, "part")
     words = F.split("p_name", " ")
     w1, w2 = F.get(words, 0), F.get(words, 1)
     k = _s("p_partkey")
     it = lambda w: F.concat(F.lit("{'id': "), k, F.lit(", 'name': '"), w, F.lit("'}"))
-    v = F.col("p_partkey") % 10
+    v = F.col("p_partkey") % 12
     lit_ = (
         F.when(v == 0, F.concat(F.lit("["), it(w1), F.lit(", "), it(w2), F.lit("]")))
         .when(v == 1, F.concat(F.lit("[{'id': "), k, F.lit(", 'name': \""), w1, F.lit("'s\", 'x': True}, "), it(w2), F.lit("]")))
@@ -278,6 +275,8 @@ def literal_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(v == 6, F.concat(F.lit("[{'name': '"), w1, F.lit("', 'name': '"), w2, F.lit("'}]")))
         .when(v == 7, F.concat(F.lit("{'name': '"), w1, F.lit("'}")))
         .when(v == 8, F.concat(F.lit("["), it(w1), F.lit(",]")))
+        .when(v == 10, F.concat(F.lit("[{'id': 1, 'name': \""), w1, F.lit("': None, "), w2, F.lit("\"}]")))
+        .when(v == 11, F.concat(F.lit("[{'id': None, 'name': \""), w1, F.lit("': None}\", 'x': None}]")))
         .otherwise(F.concat(F.lit("["), it(w1), F.lit(", "), it(w1), F.lit("]")))
     )
-    return part.select("p_partkey", "p_name", (F.col("p_partkey") % 10).cast("int").alias("variante"), lit_.alias("literal"))
+    return part.select("p_partkey", "p_name", (F.col("p_partkey") % 12).cast("int").alias("variante"), lit_.alias("literal"))

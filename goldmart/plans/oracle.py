@@ -44,12 +44,11 @@ mv AS (
   FROM orders o LEFT JOIN la ON la.l_orderkey = o.o_orderkey
 ),
 dr AS (
-  SELECT f.l_orderkey AS id, n.n_name AS director
+  SELECT f.l_orderkey AS id, c.c_name AS director
   FROM li_first f JOIN orders o ON o.o_orderkey = f.l_orderkey
   LEFT JOIN customer c ON c.c_custkey = o.o_custkey
-  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
   WHERE f.l_partkey % 5 <> 0 AND (f.l_partkey % 7 = 3 OR f.l_partkey % 11 <> 4)
-    AND n.n_name IS NOT NULL AND n.n_name <> ''
+    AND c.c_name IS NOT NULL AND c.c_name <> ''
 ),
 kw AS (
   SELECT f.l_orderkey AS id,
@@ -98,7 +97,7 @@ FROM gold WHERE revenue IS NOT NULL AND primary_genre IS NOT NULL GROUP BY prima
 TOP_DIRECTORS = f"""SELECT director, {r("sum(revenue) / 1e9")} AS receita_total_bi,
   {r("avg(vote_average)")} AS nota_metadata_media, {r("avg(user_rating_avg)")} AS nota_usuarios_media,
   count(id) AS qtd_filmes
-FROM gold WHERE revenue IS NOT NULL AND director IS NOT NULL GROUP BY director HAVING count(id) >= 3"""
+FROM gold WHERE revenue IS NOT NULL AND director IS NOT NULL GROUP BY director HAVING count(id) >= 6"""
 
 BY_DECADE = f"""SELECT decade, count(id) AS qtd_filmes, {r("avg(vote_average)")} AS nota_metadata_media,
   {r("avg(user_rating_avg)")} AS nota_usuarios_media, {r("avg(runtime)")} AS duracao_media
@@ -112,7 +111,7 @@ FROM kw_rows GROUP BY keyword HAVING count(id) >= 10"""
 def group_summary(key: str, minimum: int, source: str = "gold") -> str:
     return f"""SELECT {key}, count(id) AS qtd_filmes, {r("sum(revenue) / 1e9")} AS receita_total_bi,
   {r("avg(revenue) / 1e6")} AS receita_media_mi, {r("median(revenue) / 1e6")} AS receita_mediana_mi,
-  {r("avg(roi)")} AS roi_medio, {r("avg(vote_average)")} AS nota_metadata_media,
+  {r("sum(round_even(roi * 100::DOUBLE, 0)) / nullif(count(roi) * 100::DOUBLE, 0)")} AS roi_medio, {r("avg(vote_average)")} AS nota_metadata_media,
   {r("avg(user_rating_avg)")} AS nota_usuarios_media
 FROM {source} WHERE {key} IS NOT NULL AND revenue IS NOT NULL GROUP BY {key} HAVING count(id) >= {minimum}"""
 
@@ -145,7 +144,7 @@ TABLES = {
     "top_filmes_receita": TOP_BY_REVENUE,
     "top_filmes_roi": TOP_BY_ROI,
     "resumo_sucesso_por_genero": group_summary("primary_genre", 20),
-    "resumo_sucesso_por_diretor": group_summary("director", 3),
+    "resumo_sucesso_por_diretor": group_summary("director", 6),
     "resumo_sucesso_por_decada": group_summary("decade", 20),
     "resumo_sucesso_por_palavra_chave": group_summary("keyword", 10, "kw_rows"),
 }
@@ -226,15 +225,16 @@ NULL_PROFILE = (
 
 # ----------------------------------------------------------------------------- literals
 _WORDS = "(SELECT p_partkey, split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2 FROM part) p"
-PARSE_NAMES = f"""SELECT p_partkey, CAST(p_partkey % 10 AS INTEGER) AS variante,
-  CASE p_partkey % 10 WHEN 0 THEN w1 || '|' || w2 WHEN 1 THEN w1 || '''s|' || w2 WHEN 3 THEN w1 || '|' || w2
-    WHEN 6 THEN w2 WHEN 8 THEN w1 WHEN 9 THEN w1 || '|' || w1 ELSE '' END AS nomes,
-  CAST(CASE WHEN p_partkey % 10 IN (0, 1, 3, 9) THEN 2 WHEN p_partkey % 10 IN (6, 8) THEN 1 ELSE 0 END AS INTEGER) AS qtd_nomes,
-  (p_partkey % 10 IN (2, 7)) AS malformada
+PARSE_NAMES = f"""SELECT p_partkey, CAST(p_partkey % 12 AS INTEGER) AS variante,
+  CASE p_partkey % 12 WHEN 0 THEN w1 || '|' || w2 WHEN 1 THEN w1 || '''s|' || w2 WHEN 3 THEN w1 || '|' || w2
+    WHEN 6 THEN w2 WHEN 8 THEN w1 WHEN 9 THEN w1 || '|' || w1
+    WHEN 10 THEN w1 || ''': None, ' || w2 WHEN 11 THEN w1 || ''': None}}' ELSE '' END AS nomes,
+  CAST(CASE WHEN p_partkey % 12 IN (0, 1, 3, 9) THEN 2 WHEN p_partkey % 12 IN (6, 8, 10, 11) THEN 1 ELSE 0 END AS INTEGER) AS qtd_nomes,
+  (p_partkey % 12 IN (2, 7)) AS malformada
 FROM {_WORDS}"""
 
-MALFORMED_COUNT = """SELECT CAST(p_partkey % 10 AS INTEGER) AS variante, count(*) AS linhas,
-  count(*) FILTER (WHERE p_partkey % 10 IN (2, 7)) AS malformadas
+MALFORMED_COUNT = """SELECT CAST(p_partkey % 12 AS INTEGER) AS variante, count(*) AS linhas,
+  count(*) FILTER (WHERE p_partkey % 12 IN (2, 7)) AS malformadas
 FROM part GROUP BY 1"""
 
 FIRST_MATCHING_MEMBER = with_gold("SELECT id, director FROM dr")
@@ -365,6 +365,39 @@ UNION ALL SELECT 'clean', count(*), 21 FROM clean"""
 GOLD_PREVIEW = with_gold("SELECT " + ", ".join(GOLD_COLUMNS) + " FROM gold ORDER BY id LIMIT 5")
 
 
+DIRTY_DATES = with_gold("""SELECT id,
+  CASE id % 10 WHEN 0 THEN '1995-01-05' WHEN 7 THEN '2000-12-31' WHEN 8 THEN release_date WHEN 9 THEN release_date END AS release_date,
+  CAST(CASE id % 10 WHEN 0 THEN 1995 WHEN 7 THEN 2000 WHEN 8 THEN release_year WHEN 9 THEN release_year END AS INTEGER) AS release_year,
+  CAST(CASE id % 10 WHEN 0 THEN 1990 WHEN 7 THEN 2000 WHEN 8 THEN decade WHEN 9 THEN decade END AS INTEGER) AS decade,
+  CASE (id % 10) % 4 WHEN 1 THEN 1 WHEN 3 THEN has_collection ELSE 0 END AS has_collection FROM gold""")
+
+_OK = "CAST(l_orderkey AS VARCHAR)"
+CSV_INGEST = f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,
+  CASE WHEN l_orderkey % 7 = 0 THEN 'x' || {_OK} WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN '000' || {_OK}
+    WHEN l_orderkey % 17 = 0 THEN ' ' || {_OK} WHEN l_orderkey % 19 = 0 THEN {_OK} || '.0' ELSE {_OK} END AS id,
+  CASE l_linenumber % 4 WHEN 0 THEN '   ' WHEN 1 THEN '  ' || l_returnflag || '-' || l_linestatus || chr(9)
+    WHEN 3 THEN chr(160) || l_returnflag || chr(160) END AS title,
+  CASE l_partkey % 6 WHEN 0 THEN ' TRUE ' WHEN 1 THEN 'False' WHEN 3 THEN 'junk' WHEN 4 THEN 'true' WHEN 5 THEN 'FALSE' END AS adult,
+  CASE l_partkey % 5 WHEN 0 THEN '0' WHEN 1 THEN '1e3' WHEN 2 THEN ' ' || {Q} || ' ' WHEN 3 THEN {Q} || 'd' END AS budget,
+  CASE WHEN l_suppkey % 4 = 0 THEN '0' ELSE {Q} || '00' END AS revenue,
+  CASE l_suppkey % 6 WHEN 0 THEN '0' WHEN 1 THEN '-1' WHEN 2 THEN NULL WHEN 3 THEN 'abc' ELSE {Q} || '.5' END AS runtime,
+  CASE WHEN l_linenumber % 3 = 0 THEN ' ' END AS belongs_to_collection, NULL::VARCHAR AS overview
+FROM lineitem"""
+
+_TABLE_WIDTHS = {"receita_por_genero": 4, "top_diretores": 5, "filmes_por_decada": 5, "top_palavras_chave": 4, "correlacoes_sucesso": 4,
+                 "top_filmes_receita": 12, "top_filmes_roi": 12}
+TABLE_CSVS = with_gold("\nUNION ALL\n".join(
+    f"SELECT '{name}' AS tabela, count(*) AS linhas, CAST({_TABLE_WIDTHS.get(name, 8)} AS BIGINT) AS colunas FROM ({sql}) t" for name, sql in TABLES.items()
+))
+OUTPUT_MANIFEST = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS arquivo, true AS preenchido" for name in ["filmes_processados.csv", "filmes_processados_parquet", *[f"{t}.csv" for t in TABLES]]
+)
+PIPELINE_COUNTERS = STAGE_COUNTERS + """
+UNION ALL SELECT 'malformadas', 'credits.crew', (SELECT count(*) FROM lineitem WHERE l_partkey % 5 <> 0 AND l_partkey % 7 <> 3 AND l_partkey % 11 = 4)
+UNION ALL SELECT 'malformadas', 'keywords.keywords', (SELECT count(*) FROM lineitem WHERE l_partkey % 17 = 0)
+UNION ALL SELECT 'malformadas', 'movies.genres', 0"""
+
+
 SQL: dict[str, str] = {
     "na_tokens_to_null": NA_TOKENS,
     "source_summary": SOURCE_SUMMARY,
@@ -405,4 +438,10 @@ SQL: dict[str, str] = {
     "raw_vs_clean_shape": RAW_VS_CLEAN_SHAPE,
     "gold_preview": GOLD_PREVIEW,
     "gold_dtypes": GOLD_DTYPES,
+    "dirty_dates": DIRTY_DATES,
+    "csv_ingest": CSV_INGEST,
+    "csv_roundtrip": GOLD_DATASET,
+    "table_csvs": TABLE_CSVS,
+    "output_manifest": OUTPUT_MANIFEST,
+    "pipeline_counters": PIPELINE_COUNTERS,
 }

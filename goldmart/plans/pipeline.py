@@ -2,34 +2,57 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldmart import constants as K
 from goldmart.operators import feeds, marts, profile
 from goldmart.operators.clean import clean_movies
 from goldmart.operators.gold import build_gold_dataset
-from goldmart.operators.silver import ParseMetrics, build_directors, build_keywords, build_movie_ratings
+from goldmart.operators.silver import build_movie_ratings, first_directors, first_keywords, parse_credits, parse_genres, parse_keywords
 from goldmart.sinks.writers import manifest, write_csv, write_parquet, write_tables
 from goldmart.sources.bronze import load_raw_datasets
 
 
-class RowCounters:
-    """Row counts gathered by ``DataFrame.observe`` while the gold write runs: every counted
-    frame is part of that plan, so counting costs no extra job or scan."""
+def write_silver(
+    raw: Mapping[str, DataFrame], out_dir: str, order_by: Mapping[str, Sequence[str]] | None = None, null_title: str = "drop"
+) -> dict[str, DataFrame]:
+    """Write the silver stages below ``out_dir`` and read them back. ``credits`` and ``keyword_rows`` are the parsed
+    rows before the dedup, with their ``malformed`` flags: every counter is taken from a written table, so a
+    stage that runs again after a lost executor cannot count twice."""
+    by = dict(order_by or {})
+    out = out_dir.rstrip("/")
+    spark = raw["movies"].sparkSession
+
+    def written(name: str, df: DataFrame) -> DataFrame:
+        return spark.read.parquet(write_parquet(df, f"{out}/{name}"))
 
-    def __init__(self):
-        self._obs: dict[str, Observation] = {}
+    credits = written("credits", parse_credits(raw["credits"], by.get("credits")))
+    keyword_rows = written("keyword_rows", parse_keywords(raw["keywords"], by.get("keywords")))
+    return {
+        "clean": written("clean", parse_genres(clean_movies(raw["movies"], order_by=by.get("movies"), null_title=null_title))),
+        "credits": credits,
+        "keyword_rows": keyword_rows,
+        "directors": written("directors", first_directors(credits, by.get("credits"))),
+        "keywords": written("keywords", first_keywords(keyword_rows, by.get("keywords"))),
+        "ratings": written("ratings", build_movie_ratings(raw["links"], raw["ratings"], order_by=by.get("links"))),
+    }
 
-    def count(self, df: DataFrame, name: str, measure=None) -> DataFrame:
-        obs = Observation(f"rows_{name}")
-        self._obs[name] = obs
-        return df.observe(obs, (F.count(F.lit(1)) if measure is None else measure).cast("bigint").alias("n"))
 
-    def get(self, name: str) -> int:
-        return int(self._obs[name].get["n"])
+def malformed_counts(silver: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Malformed rows per parsed field, with a warning for each field that has some."""
+    flags = {
+        "credits.crew": (silver["credits"], "malformed"), "keywords.keywords": (silver["keyword_rows"], "malformed"),
+        "movies.genres": (silver["clean"], "genres_malformed"),
+    }
+    counts = {field: df.agg(F.count_if(flag)).first()[0] for field, (df, flag) in flags.items()}
+    for field, n in counts.items():
+        if n:
+            warnings.warn(f"{field}: {n} rows with malformed content were ignored.", RuntimeWarning)
+    return counts
 
 
 def save_outputs(out_dir: str, gold: DataFrame, tables: Mapping[str, DataFrame], gold_written: str | None = None) -> dict[str, str]:
@@ -78,23 +101,12 @@ def run_frames(
     """Build and write everything from raw (bronze) frames keyed movies/credits/keywords/links/
     ratings. Gold is written once and read back: its lineage is cut there, and the eleven tables
     read the Parquet (column-pruned) instead of recomputing joins and parsing."""
-    order_by = dict(order_by or {})
     th = dict(thresholds or {})
     out = out_dir.rstrip("/")
-    metrics = ParseMetrics()
-    rc = RowCounters()
-    src = {name: rc.count(df, f"raw_{name}") for name, df in raw.items()}
-    clean = rc.count(clean_movies(src["movies"], order_by=order_by.get("movies"), null_title=null_title), "clean")
-    directors = rc.count(build_directors(src["credits"], order_by=order_by.get("credits"), metrics=metrics), "directors")
-    keywords = rc.count(
-        build_keywords(src["keywords"], order_by=order_by.get("keywords"), metrics=metrics),
-        "keywords", F.count_if(F.col("keyword_count") > 0),
-    )
-    ratings = rc.count(build_movie_ratings(src["links"], src["ratings"], order_by=order_by.get("links")), "ratings")
-    gold_plan = rc.count(build_gold_dataset(clean, directors, keywords, ratings, metrics), "gold")
-
+    silver = write_silver(raw, f"{out}/silver", order_by, null_title)
+    gold_plan = build_gold_dataset(silver["clean"], silver["directors"], silver["keywords"], silver["ratings"])
     gold_path = write_parquet(gold_plan, f"{out}/filmes_processados_parquet")
-    malformed = metrics.warn()
+    malformed = malformed_counts(silver)
     gold = spark.read.parquet(gold_path)
 
     tables = marts.build_aggregations(
@@ -115,20 +127,13 @@ def run_frames(
                              th.get("feed_min_revenue", K.FEED_MIN_REVENUE))
         )
 
-    raw_rows = {name: rc.get(f"raw_{name}") for name in raw}
-    stage_summary: dict = {
-        "fontes": {"quantidade_arquivos": len(raw), "arquivos": list(K.REQUIRED_RAW_FILES.values())},
-        "ingestao": {"dataset_lidos": len(raw), "total_linhas_brutas": sum(raw_rows.values())},
-        "transformacao": {
-            "movies_linhas_brutas": raw_rows["movies"],
-            "movies_linhas_apos_limpeza": rc.get("clean"),
-            "diretores_extraidos": rc.get("directors"),
-            "filmes_com_palavras_chave": rc.get("keywords"),
-            "filmes_com_ratings": rc.get("ratings"),
-            "dataset_gold_linhas": rc.get("gold"),
-            "dataset_gold_colunas": len(gold.columns),
-        },
-    }
+    # The keys of the summaries below.
+    counted = profile.stage_counters(raw, silver["clean"], silver["directors"], silver["keywords"], silver["ratings"], gold)
+    raw_rows = {r["dataset"]: r["linhas"] for r in profile.shapes(raw).collect()}
+    stage_summary: dict = {}
+    for r in counted.collect():
+        stage_summary.setdefault(r["etapa"], {})[r["indicador"]] = r["valor"]
+    stage_summary["fontes"]["arquivos"] = list(K.REQUIRED_RAW_FILES.values())
     stage_summary["carregamento"] = {
         "csv_principal": paths["filmes_processados_csv"],
         "parquet_principal": paths["filmes_processados_parquet"],
@@ -147,14 +152,16 @@ def run_frames(
         "malformed": malformed,
         "source_summary": [
             {"dataset": name, "arquivo": K.REQUIRED_RAW_FILES.get(name), "linhas": raw_rows[name],
-             "colunas": len([c for c in df.columns if not c.startswith("_")])}
+             "colunas": len(profile.visible(df.columns))}
             for name, df in raw.items()
         ],
         "stage_summary": stage_summary,
+        "stage_counters": counted,
+        "silver": silver,
         "output_summary": {"processed_dir": out, "arquivos_saida": paths, "graficos": feed_paths},
         # inspection views, lazy: nothing runs unless a caller asks for them
         "views": {
-            "valores_ausentes": profile.null_profile(raw["movies"], clean),
+            "valores_ausentes": profile.null_profile(raw["movies"], silver["clean"]),
             "estatisticas_numericas": profile.describe_numeric(gold),
             "linhas_por_tabela": profile.table_row_counts(tables),
             "registro_bruto_vs_final": profile.raw_vs_gold(raw["movies"], gold),
@@ -168,5 +175,5 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, on_long_row: str = "fai
     """The whole pipeline from a folder holding the five raw CSVs."""
     raw = load_raw_datasets(spark, raw_dir, f"{out_dir.rstrip('/')}/bronze", on_long_row=on_long_row)
     result = run_frames(spark, raw, out_dir, **kwargs)
-    result["manifest"] = manifest(spark, out_dir, "*.csv")
+    result["manifest"] = manifest(spark, [p for p in result["paths"].values()])
     return result

@@ -33,7 +33,9 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     if single_file:
         out = out.coalesce(1)
     # RFC 4180 quoting: a quote inside a value is doubled, values with newlines are quoted
-    out.write.mode("overwrite").option("header", "true").option("quote", '"').option("escape", '"').csv(path)
+    # and blanks at either end of a value are kept
+    options = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    out.write.mode("overwrite").options(**options).csv(path)
     return path
 
 
@@ -45,14 +47,9 @@ def write_tables(tables: Mapping[str, DataFrame], out_dir: str, bounded: Iterabl
     }
 
 
-def manifest(spark: SparkSession, out_dir: str, pattern: str = "*") -> DataFrame:
-    """(arquivo, bytes) of every data file below ``out_dir``, largest first. Listing runs on the
-    cluster; file contents are never read (the content column is pruned)."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(out_dir)
-        .select(F.col("path").alias("arquivo"), F.col("length").alias("bytes"))
-    )
-    return files.orderBy(F.desc("bytes"), F.asc("arquivo"))
+def manifest(spark: SparkSession, outputs: Iterable[str]) -> DataFrame:
+    """(arquivo, bytes): one line per written output (a folder of part files) with its name and total size,
+    largest first. File contents are never read (the content column is pruned)."""
+    files = spark.read.format("binaryFile").load(list(outputs)).select("path", F.col("length").alias("bytes"))
+    name = F.regexp_extract("path", r"([^/]+)/[^/]+\z", 1)
+    return files.groupBy(name.alias("arquivo")).agg(F.sum("bytes").alias("bytes")).orderBy(F.desc("bytes"), F.asc("arquivo"))

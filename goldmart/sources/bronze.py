@@ -12,15 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldmart.constants import REQUIRED_RAW_FILES
+from goldmart.constants import BRONZE_COLUMNS, REQUIRED_RAW_FILES
 from goldmart.functions.text import normalize_na_tokens
 from goldmart.operators.profile import shapes
 from goldmart.sources.contracts import ContractError, missing_columns, require_files
 
 CORRUPT = "_corrupt"
 _CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-# a delimiter outside double quotes (an even number of quotes follows it up to the end)
-_FIELD_SEP = r',(?=(?:[^"]*"[^"]*")*[^"]*\z)'
+# a quoted part; possessive, so a record of any length is read once and without recursion
+_QUOTED = r'"[^"]*+"'
 
 
 class RaggedRowError(ValueError):
@@ -40,6 +40,9 @@ def read_raw_csv(spark: SparkSession, path: str, dataset_name: str | None = None
     position and silently swap reordered columns; ``enforceSchema=false`` re-checks every
     file's header against it."""
     header = csv_header(spark, path)
+    clash = sorted(set(header) & set(BRONZE_COLUMNS))
+    if clash:
+        raise ContractError(f"columns reserved for the landing: {', '.join(clash)}")
     if dataset_name is not None or required is not None:
         missing = missing_columns(header, dataset_name, required)
         if missing:
@@ -64,7 +67,9 @@ def read_raw_csv(spark: SparkSession, path: str, dataset_name: str | None = None
 
 
 def field_count(raw_record: str = CORRUPT) -> F.Column:
-    return F.regexp_count(F.col(raw_record), F.lit(_FIELD_SEP)) + F.lit(1)
+    """Fields of a raw record: its commas outside double quotes, plus one."""
+    bare = F.regexp_replace(F.col(raw_record), _QUOTED, "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + F.lit(1)
 
 
 def land_bronze(
@@ -80,9 +85,10 @@ def land_bronze(
     (``on_long_row='fail'``) or stay in the landed Parquet flagged ``_long`` and are left out of
     the returned frame (``'quarantine'``). The check is one aggregate over the landed table."""
     df = read_raw_csv(spark, path, dataset_name)
-    width = len([c for c in df.columns if not c.startswith("_")])
+    width = len(df.columns) - 2  # without the raw record and the position
     flagged = df.withColumn("_long", F.coalesce(F.col(CORRUPT).isNotNull() & (field_count() > F.lit(width)), F.lit(False)))
-    flagged.write.mode("overwrite").parquet(out_path)
+    # one task reads a whole file; the landed table is spread evenly for all that follows
+    flagged.hint("rebalance").write.mode("overwrite").parquet(out_path)
     landed = spark.read.parquet(out_path)
     n_long = landed.agg(F.count_if("_long").alias("n")).first()["n"]
     if n_long and on_long_row == "fail":

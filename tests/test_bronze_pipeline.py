@@ -50,6 +50,33 @@ def test_ragged_rows(spark, tmp_dir):
     assert flagged == 1
 
 
+def test_columns_that_begin_with_an_underscore_are_the_users(spark, tmp_dir):
+    from goldmart.operators import profile
+
+    p = os.path.join(tmp_dir, "u.csv")
+    write(p, "id,_n1,_n2,title\n1,n/a,NA,x\n2,a,b\n3,,c,d\n")
+    rows = land_bronze(spark, p, os.path.join(tmp_dir, "u"))
+    assert [(r.id, r["_n1"], r["_n2"], r.title) for r in rows.orderBy("_pos").collect()] == [
+        ("1", None, None, "x"), ("2", "a", "b", None), ("3", None, "c", "d")]
+    assert profile.shapes({"u": rows}).first()["colunas"] == 4
+    assert {r.coluna: r.raw for r in profile.null_profile(rows, rows).collect()} == {"_n1": 2, "_n2": 1, "title": 1}
+    write(os.path.join(tmp_dir, "c.csv"), "id,_pos\n1,2\n")
+    with pytest.raises(ContractError, match="_pos"):
+        read_raw_csv(spark, os.path.join(tmp_dir, "c.csv"))
+
+
+def test_a_very_long_quoted_record_is_counted_in_linear_time(spark, tmp_dir):
+    from goldmart.sources.bronze import field_count
+
+    record = ",".join(f'"v,{i} ""q"""' for i in range(100_000))
+    df = spark.createDataFrame([(record,), ('a,"b\nc",d',), ("a",)], "_corrupt string")
+    assert [r[0] for r in df.select(field_count()).collect()] == [100_000, 3, 1]
+    p = os.path.join(tmp_dir, "long.csv")
+    write(p, "a,b\n1,2\n" + ",".join(['"x,y"'] * 5000) + "\n")
+    with pytest.raises(RaggedRowError, match="1 rows"):
+        land_bronze(spark, p, os.path.join(tmp_dir, "bl"))
+
+
 def test_missing_files_named_together(spark, tmp_dir):
     os.makedirs(os.path.join(tmp_dir, "raw"))
     write(os.path.join(tmp_dir, "raw", "links.csv"), "movieId,tmdbId\n")
@@ -99,8 +126,9 @@ def test_end_to_end(spark, raw_dir, tmp_dir):
         assert os.path.isdir(res["paths"][name])
     csv_gold = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(res["paths"]["filmes_processados_csv"])
     assert csv_gold.count() == len(rows)
-    files = res["manifest"].collect()
-    assert files and all(f.bytes >= 0 for f in files)
+    files = {f.arquivo: f.bytes for f in res["manifest"].collect()}
+    assert set(files) == {"filmes_processados.csv", "filmes_processados_parquet", *[f"{t}.csv" for t in TABLE_NAMES]}
+    assert all(size > 0 for size in files.values())
     assert res["stage_summary"]["transformacao"]["dataset_gold_linhas"] == len(rows)
     assert res["stage_summary"]["transformacao"]["dataset_gold_colunas"] == 25
     assert [d["dataset"] for d in res["source_summary"]] == ["movies", "credits", "keywords", "links", "ratings"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from goldmart.functions.text import normalize_na_tokens
 from goldmart.operators.clean import clean_counters, clean_movies
 from goldmart.operators.dedup import keep_first
-from goldmart.operators.silver import ParseMetrics, build_directors, build_keywords, build_movie_ratings
+from goldmart.operators.silver import build_directors, build_keywords, build_movie_ratings, parse_credits, parse_keywords
 from goldmart.sources.contracts import ContractError, validate_columns
 from tests.conftest import CREDITS, KEYWORDS, LINKS, MOVIE_COLUMNS, MOVIES, RATINGS
 
@@ -85,22 +85,22 @@ def test_contract_error_lists_missing_sorted(spark):
 
 
 def test_directors_first_row_wins(spark):
-    metrics = ParseMetrics()
-    out = build_directors(frame(spark, CREDITS, ["id", "crew"]), metrics=metrics)
+    credits = frame(spark, CREDITS, ["id", "crew"])
+    out = build_directors(credits)
     got = {r.id: r.director for r in out.collect()}
     assert got == {1: "John Lasseter", 7: "Terence Young", 6: "Second D", 12: "Trunc"}
-    assert metrics.counts() == {"credits.crew": 1}
+    assert parse_credits(credits).where("malformed").count() == 1
 
 
 def test_keywords_table(spark):
-    metrics = ParseMetrics()
-    out = build_keywords(frame(spark, KEYWORDS, ["id", "keywords"]), metrics=metrics)
+    keywords = frame(spark, KEYWORDS, ["id", "keywords"])
+    out = build_keywords(keywords)
     got = {r.id: (list(r.keywords_list), r.primary_keyword, r.keyword_count) for r in out.collect()}
     assert got[1] == (["jealousy", "toy", "toy"], "jealousy", 3)
     assert got[6] == ([], None, 0)
     assert got[8] == (["Joe's"], "Joe's", 1)
     assert got[18] == ([], None, 0)
-    assert metrics.counts() == {"keywords.keywords": 1}
+    assert parse_keywords(keywords).where("malformed").count() == 1
 
 
 def test_rating_bridge(spark):
