@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldmart.llm import bpe, chat, fingerprints, langid, mixing, near_vectors, sharding, simhash, toxicity
+from goldmart.llm import bpe, chat, fingerprints, langid, licenses, mixing, near_vectors, sharding, simhash, toxicity
 from goldmart.llm.common import crc_fold, table
 
 
@@ -16,6 +16,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
+    best = F.array_max(F.transform("matches", lambda m: m["dice"]))
+    lines = F.size(F.filter("matches", lambda m: m["kind"] == "line"))
+    return found.select("doc_id", F.array_join(names, ",").alias("licenses"), lines.cast("long").alias("n_lines"), F.coalesce(best, F.lit(0.0)).alias("best_dice"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.assign(table(spark, sf_dir, "documents"), sharding.even_tree(2, 3, 4))
     return found.withColumnRenamed("id", "doc_id")
@@ -80,6 +88,19 @@ def _escaped(text: str) -> str:
     return out
 
 
+def _sql_words(text: str) -> str:
+    return f"list_filter(string_split_regex(regexp_replace(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), '[ \\n]+'), lambda w: w <> '')"
+
+
+def _sql_grams(words: str) -> str:
+    return f"CASE WHEN len({words}) < 2 THEN []::VARCHAR[] ELSE list_distinct(list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1])) END"
+
+
+def _sql_templates() -> str:
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    return ", ".join(f"({quote(name)}, {quote(body)})" for name, body in licenses.TEMPLATES)
+
+
 def _uniform(name: str) -> str:
     return f"((('0x' || substr(md5('{name}:' || k), 1, 13))::BIGINT)::DOUBLE + 0.5) / {float(1 << 52)!r}"
 
@@ -95,7 +116,7 @@ def _descend(node: dict, path: str) -> str:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op3_sharding, op4_embedding_near_dedup, op5_document_fingerprints, op6_source_mixing, op7_language_id, op8_chat_formatting,
+    op1_toxicity, op2_license_scan, op3_sharding, op4_embedding_near_dedup, op5_document_fingerprints, op6_source_mixing, op7_language_id, op8_chat_formatting,
     op9_simhash_near_dedup, op10_byte_bpe,
 )}
 
@@ -104,6 +125,19 @@ _MARKS = len(chat.OPEN) + len(chat.ROLE_END) + len(chat.CLOSE)
 _TREE = sharding.even_tree(2, 3, 4)
 
 SQL = {
+    "op2_license_scan": f"""
+        WITH t AS (SELECT license, {_sql_grams('w')} AS g FROM (SELECT license, {_sql_words('body')} AS w FROM (VALUES {_sql_templates()}) v(license, body))),
+        n AS (SELECT row_number() OVER () AS row_no, doc_id, regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') AS norm FROM documents),
+        u AS (SELECT row_no, 'text' AS kind, 0 AS unit, norm AS body FROM n
+              UNION ALL SELECT row_no, 'block', unnest(range(len(x))), unnest(x) FROM (SELECT row_no, string_split_regex(norm, '\\n *\\n[ \\n]*') AS x FROM n)
+              UNION ALL SELECT row_no, 'line', unnest(range(len(x))), unnest(x) FROM (SELECT row_no, string_split(norm, chr(10)) AS x FROM n)),
+        g AS (SELECT row_no, kind, unit, {_sql_grams('w')} AS g FROM (SELECT *, {_sql_words('body')} AS w FROM u)),
+        d AS (SELECT row_no, kind, unit, license, 2.0::DOUBLE * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) AS dice
+              FROM g JOIN t ON len(g.g) > 0 AND 2.0 * least(len(g.g), len(t.g)) >= 0.8 * (len(g.g) + len(t.g))),
+        m AS (SELECT row_no, kind, unit, max(dice) AS dice, arg_min(license, (-dice, license)) AS license FROM d WHERE dice >= 0.8 GROUP BY ALL),
+        r AS (SELECT row_no, array_to_string(list_sort(list_distinct(list(license))), ',') AS licenses, count(*) FILTER (kind = 'line') AS n_lines, max(dice) AS best_dice FROM m GROUP BY row_no)
+        SELECT doc_id, coalesce(licenses, '') AS licenses, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(best_dice, 0)::DOUBLE AS best_dice
+        FROM n LEFT JOIN r USING (row_no)""",
     "op3_sharding": f"""
         WITH crc(i, c) AS (
             SELECT i, list_reduce(list_concat([i], range(8)), lambda a, _: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)
