@@ -32,7 +32,7 @@ from goldmart.llm.chargrams import TokenCache, find, hashes, scored_texts, spell
 from goldmart.llm.common import appended, ship
 from goldmart.session import materialize
 
-PER_LANGUAGE, VOCABULARY, ORDER = 800, 100_000, 4
+PER_LANGUAGE, VOCABULARY, ORDER = 800, 40_000, 4
 _NO_LETTER = re.compile(r"[\W\d_]+")
 _OUT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
 
@@ -66,31 +66,31 @@ def fit(words: list[str], lang_of, counts, langs: list[str], order: int = ORDER)
     codes, owner, pos = spell(words)
     width = len(langs)
     lang, weight = np.asarray(lang_of)[owner], np.asarray(counts, np.float64)[owner]
-    hashed = {n: hashes(codes, n) for n in range(1, order + 1)}
     alphabet = len(np.unique(codes)) + 1
     grams, logp, contexts, logbow, lower = [], [], [], [], None
     floor = np.zeros(width)
+    shorter, now = None, hashes(codes, 1)  # hashes of the n-grams of orders n - 1 and n that end at each place
     for n in range(1, order + 1):
+        longer_now = hashes(codes, n + 1) if n < order else None
         here = np.flatnonzero(pos >= max(1, n - 1))
-        keys, first, inverse = np.unique(hashed[n][here], return_index=True, return_inverse=True)
+        keys, first, inverse = np.unique(now[here], return_index=True, return_inverse=True)
         count = np.zeros((len(keys), width))
         raw = (pos[here] == n - 1) if n < order else np.ones(len(here), bool)  # nothing precedes a word's begin
         np.add.at(count, (inverse[raw], lang[here[raw]]), weight[here[raw]])
         if n < order:
             longer = np.flatnonzero(pos >= n)
-            _, one = np.unique(np.stack([hashed[n + 1][longer], lang[longer].astype(np.uint64)]), axis=1, return_index=True) if width else (0, [])
-            kinds = longer[one]
-            kinds = kinds[pos[kinds] >= max(1, n - 1)]
-            np.add.at(count, (np.searchsorted(keys, hashed[n][kinds]), lang[kinds]), 1.0)
+            by_lang = longer_now[longer] + lang[longer].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            kinds = longer[np.unique(by_lang, return_index=True)[1]]
+            np.add.at(count, (np.searchsorted(keys, now[kinds]), lang[kinds]), 1.0)
         example = here[first]
-        context = hashed[n - 1][example - 1] if n > 1 else np.zeros(len(keys), np.uint64)
+        context = shorter[example - 1] if n > 1 else np.zeros(len(keys), np.uint64)
         context_keys, of = np.unique(context, return_inverse=True)
         total, kinds_after = _per_group(of, len(context_keys), count), _per_group(of, len(context_keys), (count > 0).astype(float))
         ones, twos = (count == 1).sum(axis=0), (count == 2).sum(axis=0)
         discount = np.where(ones > 0, ones / np.maximum(ones + 2 * twos, 1), 0.5)
         rest = np.where(total > 0, discount * kinds_after / np.maximum(total, 1e-300), 1.0)
         rest = np.maximum(rest, 1e-9)
-        below = lower[1][find(lower[0], hashed[n - 1][example])] if n > 1 else np.full((len(keys), width), 1.0 / alphabet)
+        below = lower[1][find(lower[0], shorter[example])] if n > 1 else np.full((len(keys), width), 1.0 / alphabet)
         p = np.where(total[of] > 0, np.maximum(count - discount, 0) / np.maximum(total[of], 1e-300), 0.0) + rest[of] * below
         if n == 1:
             floor = np.log(rest[0] / alphabet) if len(rest) else floor
@@ -98,7 +98,7 @@ def fit(words: list[str], lang_of, counts, langs: list[str], order: int = ORDER)
         logp.append(np.log(p).astype(np.float32))
         contexts.append(context_keys)
         logbow.append(np.log(rest).astype(np.float32))
-        lower = (keys, p)
+        lower, shorter, now = (keys, p), now, longer_now
     return Model(list(langs), order, grams, logp, contexts, logbow, floor)
 
 

@@ -139,10 +139,22 @@ def _windows(rows: DataFrame) -> DataFrame:
 
 
 def _words_by_doc(split, doc):
+    """The distinct words of each document, as an array of word numbers."""
+    import numpy as np
+
     found = {}
     for words, d in zip(split, doc):
         found.setdefault(d, set()).update(words)
-    return found.values()
+    return (np.fromiter(words, np.int64, len(words)) for words in found.values())
+
+
+def _spans(first, words):
+    """Places first[w] to first[w + 1] of each word, one after the other."""
+    import numpy as np
+
+    sizes = first[words + 1] - first[words]
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes) + np.repeat(first[words], sizes)
 
 
 class _Trainer:
@@ -157,24 +169,22 @@ class _Trainer:
         words = [_MARKS.sub("", w) for w in index]
         grams, of = _word_grams(words)
         per_word = np.bincount(of, minlength=len(words))
-        in_docs = [np.fromiter(x, np.int64, len(x)) for x in _words_by_doc(split, doc)]
-        keys, inverse = np.unique(grams, return_inverse=True)
-        first = np.searchsorted(of[np.argsort(of, kind="stable")], np.arange(len(words) + 1))
-        by_word = inverse[np.argsort(of, kind="stable")]
-        seen = np.zeros(len(keys), np.int64)
-        for own in in_docs:
-            spans = first[own + 1] - first[own]
-            ends = np.cumsum(spans)
-            at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - spans, spans) + np.repeat(first[own], spans)
-            seen[np.unique(by_word[at])] += 1
-        rank = np.cumsum(seen >= min_docs) - 1  # n-grams of a few documents would be learned by heart
-        use = seen[inverse] >= min_docs
-        self.grams, self.decay = keys[seen >= min_docs], decay
-        order = np.argsort(of[use], kind="stable")
-        self.flat, flat_of = rank[inverse[use]][order], of[use][order]
-        self.first = np.searchsorted(flat_of, np.arange(len(words) + 1))
+        order = np.argsort(of, kind="stable")
+        first = np.searchsorted(of[order], np.arange(len(words) + 1))
+        keys, by_word = np.unique(grams[order], return_inverse=True)
+        by_word = by_word.astype(np.int32)
+        del grams, of, order
+        seen = np.zeros(len(keys), np.int32)
+        for own in _words_by_doc(split, doc):
+            seen[np.unique(by_word[_spans(first, own)])] += 1
+        use = seen >= min_docs  # n-grams of a few documents would be learned by heart
+        rank = np.cumsum(use) - 1
+        self.grams, self.decay = keys[use], decay
+        kept = use[by_word]
+        self.flat = rank[by_word[kept]].astype(np.int32)
+        self.first = np.concatenate([[0], np.cumsum(kept)])[first]
         self.per_word, self.is_word = np.maximum(per_word, 1), per_word > 0
-        self.ids = [np.array(sorted({i for i in s if self.is_word[i]}), np.int64) for s in split]
+        self.ids = [np.array(sorted({i for i in s if self.is_word[i]}), np.int32) for s in split]
         self.vectors = self.rng.uniform(-1, 1, (len(self.grams), dim)) / dim
         self.soft, self.bias = self.rng.normal(0, 0.1, (dim, 2)), np.zeros(2)
         self.g_vectors, self.g_soft, self.g_bias = np.full(len(self.grams), start), np.full((dim, 2), start), np.full(2, start)
@@ -205,10 +215,8 @@ class _Trainer:
         window = np.repeat(np.arange(len(ids)), sizes)
         share = (1.0 / np.maximum(sizes, LEAST))[window]
         words, inverse = np.unique(flat, return_inverse=True)
-        spans = self.first[words + 1] - self.first[words]
-        gram_word = np.repeat(np.arange(len(words)), spans)
-        ends = np.cumsum(spans)
-        gram = self.flat[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - spans, spans) + np.repeat(self.first[words], spans)]
+        gram_word = np.repeat(np.arange(len(words)), self.first[words + 1] - self.first[words])
+        gram = self.flat[_spans(self.first, words)]
         scale = 1.0 / self.per_word[words]
         dim = self.vectors.shape[1]
         taken = self.vectors[gram]
