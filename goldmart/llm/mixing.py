@@ -7,7 +7,7 @@
    times at most ``EVIDENCE`` words, so long texts keep soft memberships.
 3. Nonnegative document rates r minimise the distance of the expected domain totals
    sum(tokens * r * p) from the targets by projected gradient on r. Document terms are scaled by tokens and the residual by the
-   Gram matrix of the domains, which makes the step size 1 safe; a step is r <- max(0, r - p . h)
+   Gram matrix of the domains, which makes the step size 1 safe; a step is r <- max(0, r - p . h), at most ``MAX_RATE``,
    with one vector h of all documents, so rates are a fold over the few h found so far and no rate table is rewritten. Each step is
    one distributed aggregate that returns as many sums as there are domains.
 
@@ -15,7 +15,7 @@ All work on rows is DataFrame functions. Words are exploded and added up per tex
 stage (partial aggregates), so the shuffle carries one row per text and task.
 
 Cases: null and blank texts have no tokens, posteriors equal to the prior, and take part with weight 0; null or
-unknown domains are not learned; repeated rows share posteriors and rate; without labels the posteriors are uniform;
+unknown domains are not learned; a target that no document can serve is approached as far as rates of ``MAX_RATE`` go; repeated rows share posteriors and rate; without labels the posteriors are uniform;
 an empty table gives an empty result; other columns are ignored by ``rates`` and kept by ``mix``.
 """
 
@@ -30,6 +30,7 @@ from goldmart.session import materialize
 
 BUCKETS, EVIDENCE, PER_DOMAIN = 1 << 13, 40, 2000
 MAX_STEPS, TOLERANCE = 40, 1e-4
+MAX_RATE = 16.0
 SMOOTHING = 0.5
 
 
@@ -96,7 +97,7 @@ def _rate(steps: list[list[float]], n: int) -> Column:
         return rate
     moves = F.array(*[F.array(*[F.lit(float(x)) for x in h]) for h in steps])
     dot = lambda h: reduce(Column.__add__, [F.col(f"p{i}") * F.get(h, i) for i in range(n)])
-    return F.aggregate(moves, rate, lambda r, h: F.greatest(F.lit(0.0), r - dot(h)))
+    return F.aggregate(moves, rate, lambda r, h: F.least(F.lit(MAX_RATE), F.greatest(F.lit(0.0), r - dot(h))))
 
 
 def _solve(gram, residual):

@@ -43,12 +43,19 @@ def test_expected_totals_match_targets_and_rates_are_the_projected_gradient(spar
         residual = p.T @ (m * r) - share * m.sum()
         if np.abs(residual).max() <= mixing.TOLERANCE * m.sum():
             break
-        r = np.maximum(0, r - p @ np.linalg.solve(gram, residual))
+        r = np.clip(r - p @ np.linalg.solve(gram, residual), 0, mixing.MAX_RATE)
     assert np.allclose(rate, r, atol=1e-6)
     tokens = {r["id"]: (r["tokens"], r["copies"]) for r in found}
     assert tokens[1000] == (0, 1) and tokens[1001] == (0, 1) and tokens[5] == (len(rows[5][1].split()), 2)
 
 
+def test_a_target_that_no_document_can_serve(spark):
+    rows, labels = corpus(60)
+    docs, known = frames(spark, rows, [(i, "news") for i, _ in labels])
+    found = mixing.rates(docs.where("doc_id = 0"), known, {"news": 0.1, "spam": 0.9}).collect()
+    assert len(found) == 1 and 0 <= found[0]["rate"] <= mixing.MAX_RATE
+
+
 def test_posteriors_equal_plain_naive_bayes(spark):
     import xxhash
 
