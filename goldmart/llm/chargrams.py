@@ -16,9 +16,9 @@ def spell(tokens, left: str = "\x02", right: str = "\x03"):
     joined = "".join([f"{left}{t}{right}" for t in tokens])
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64) + np.uint64(1)
     lengths = np.fromiter(map(len, tokens), np.int64, len(tokens)) + 2
-    owner = np.repeat(np.arange(len(tokens)), lengths)
+    owner = np.repeat(np.arange(len(tokens), dtype=np.int32), lengths)
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(tokens) else np.zeros(0, np.int64)
-    return codes, owner, np.arange(len(codes)) - starts[owner]
+    return codes, owner, np.arange(len(codes), dtype=np.int32) - starts.astype(np.int32)[owner]
 
 
 def hashes(codes, n: int):
@@ -87,7 +87,7 @@ class TokenCache:
             self._reset()
 
 
-def scored_texts(texts, cache: TokenCache, judge, words_a_chunk: int = 400_000):
+def scored_texts(texts, cache: TokenCache, judge, words_a_chunk: int = 100_000):
     """``judge(token numbers, score rows)`` of each text (null: empty), in order."""
     out, waiting, words_waiting = [], [], 0
 

@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from goldmart.llm.chargrams import TokenCache, find, hashes, scored_texts, spell
 from goldmart.llm.common import appended, ship
 
-WINDOW, LEAST, MAX_WINDOWS = 16, 16, 32
-MAX_TOXIC, MAX_CLEAN, DIM = 1500, 3000, 8
+WINDOW, LEAST, MAX_WINDOWS = 16, 16, 28
+MAX_TOXIC, MAX_CLEAN, DIM = 1500, 4000, 8
 ORDERS = (3, 4, 5)
 THRESHOLD = 0.7
 _MARKS = re.compile(r"[\W_]+")
@@ -169,11 +169,14 @@ class _Trainer:
         words = [_MARKS.sub("", w) for w in index]
         grams, of = _word_grams(words)
         per_word = np.bincount(of, minlength=len(words))
-        order = np.argsort(of, kind="stable")
-        first = np.searchsorted(of[order], np.arange(len(words) + 1))
-        keys, by_word = np.unique(grams[order], return_inverse=True)
-        by_word = by_word.astype(np.int32)
-        del grams, of, order
+        first = np.concatenate([[0], np.cumsum(per_word)])
+        grams = grams[np.argsort(of, kind="stable")]
+        del of
+        keys = np.unique(grams)
+        by_word = np.empty(len(grams), np.int32)
+        for at in range(0, len(grams), 1 << 20):
+            by_word[at:at + (1 << 20)] = np.searchsorted(keys, grams[at:at + (1 << 20)])
+        del grams
         seen = np.zeros(len(keys), np.int32)
         for own in _words_by_doc(split, doc):
             seen[np.unique(by_word[_spans(first, own)])] += 1
