@@ -22,6 +22,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldmart.llm.common import ship
 from goldmart.llm.components import connected_components
@@ -65,8 +66,8 @@ def _with_buckets(classes: DataFrame, tables: int, draws: int, width: float) ->
                 sig[own] = ((cells.reshape(len(own), tables, draws) + 1_000_003) * mix).sum(axis=2) + dim
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(sig), pa.list_(pa.int64()))], names=[*names, "sig"])
 
-    schema = classes.schema.simpleString()[len("struct<"):-1].replace(":", " ", 0)
-    return classes.mapInArrow(run, f"struct<{schema},sig:array<bigint>>")
+    schema = T.StructType(classes.schema.fields + [T.StructField("sig", T.ArrayType(T.LongType()))])
+    return classes.mapInArrow(run, schema)
 
 
 def _local_roots(a, b, ids):
