@@ -17,7 +17,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), passages=True)
     names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
     best = F.array_max(F.transform("matches", lambda m: m["dice"]))
     lines = F.size(F.filter("matches", lambda m: m["kind"] == "line"))
