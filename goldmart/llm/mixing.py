@@ -7,20 +7,24 @@
    times at most ``EVIDENCE`` words, so long texts keep soft memberships.
 3. Nonnegative document rates r minimise the distance of the expected domain totals
    sum(tokens * r * p) from the targets by projected gradient on r. Document terms are scaled by tokens and the residual by the
-   Gram matrix of the domains, which makes the step size 1 safe; a step is r <- max(0, r - p . h), at most ``MAX_RATE``,
-   with one vector h of all documents, so rates are a fold over the few h found so far and no rate table is rewritten. Each step is
-   one distributed aggregate that returns as many sums as there are domains.
+   Gram matrix of the domains, which makes the step size 1 safe; a step is r <- max(0, r - p . h),
+   with one vector h of all documents, so rates are a fold over the few h found so far; they are written once every
+   ``STEPS_A_TABLE`` steps. Targets that need long take larger steps, by the Gram matrix of the documents that are not at 0; one that
+   does not come nearer is taken back. Each step is one distributed aggregate that returns a sum for each domain. It ends when the totals meet the
+   targets within ``TOLERANCE``, or when a step moves next to nothing (the least distance that nonnegative rates reach);
+   a residual above the tolerance is given with a warning. A caller may bound rates by ``max_rate``; none is set.
 
 All work on rows is DataFrame functions. Words are exploded and added up per text at once in the scan
 stage (partial aggregates), so the shuffle carries one row per text and task.
 
 Cases: null and blank texts have no tokens, posteriors equal to the prior, and take part with weight 0; null or
-unknown domains are not learned; a target that no document can serve is approached as far as rates of ``MAX_RATE`` go; repeated rows share posteriors and rate; without labels the posteriors are uniform;
+unknown domains are not learned; a target that no document can serve is approached as far as nonnegative rates go, with a warning; repeated rows share posteriors and rate; without labels the posteriors are uniform;
 an empty table gives an empty result; other columns are ignored by ``rates`` and kept by ``mix``.
 """
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,8 +33,12 @@ from pyspark.sql import functions as F
 from goldmart.session import materialize
 
 BUCKETS, EVIDENCE, PER_DOMAIN = 1 << 13, 40, 2000
-MAX_STEPS, TOLERANCE = 40, 1e-4
-MAX_RATE = 16.0
+MAX_STEPS, TOLERANCE = 1000, 1e-4
+# A step that moves less of the tokens than this is the end: no nonnegative rates come nearer.
+LEAST_MOVE, STEPS_A_TABLE = 1e-7, 25
+# After so many plain steps, steps by the Gram matrix of the documents with a rate above 0 are tried first.
+PLAIN_STEPS = 40
+MAX_RATE = float("inf")
 SMOOTHING = 0.5
 
 
@@ -90,57 +98,71 @@ def posteriors(docs: DataFrame, model: DataFrame, domains: list[str], id_col: st
     return materialize(out, "mixing-posteriors")
 
 
-def _rate(steps: list[list[float]], n: int) -> Column:
-    """The rate after the given steps, from 1."""
-    rate = F.lit(1.0)
+def _rate(steps: list[list[float]], n: int, max_rate: float = MAX_RATE) -> Column:
+    """(rate, was): the rate in ``rate`` after the given steps and before the last of them."""
+    start = F.struct(F.col("rate"), F.col("rate").alias("was"))
     if not steps:
-        return rate
-    moves = F.array(*[F.array(*[F.lit(float(x)) for x in h]) for h in steps])
+        return start
+    moves = F.expr("array(" + ", ".join("array(" + ", ".join(f"{float(x)!r}D" for x in h) + ")" for h in steps) + ")")
     dot = lambda h: reduce(Column.__add__, [F.col(f"p{i}") * F.get(h, i) for i in range(n)])
-    return F.aggregate(moves, rate, lambda r, h: F.least(F.lit(MAX_RATE), F.greatest(F.lit(0.0), r - dot(h))))
+    bounded = (lambda r: F.least(F.lit(max_rate), r)) if max_rate < float("inf") else (lambda r: r)
+    return F.aggregate(moves, start, lambda s, h: F.struct(bounded(F.greatest(F.lit(0.0), s["rate"] - dot(h))).alias("rate"), s["rate"].alias("was")))
 
 
 def _solve(gram, residual):
-    """gram^-1 residual for a small symmetric matrix (a list of rows), slightly regularised."""
-    n = len(residual)
-    ridge = 1e-9 * (sum(gram[i][i] for i in range(n)) / n or 1.0) + 1e-30
-    rows = [[gram[i][j] + (ridge if i == j else 0.0) for j in range(n)] + [residual[i]] for i in range(n)]
-    for i in range(n):
-        best = max(range(i, n), key=lambda k: abs(rows[k][i]))
-        rows[i], rows[best] = rows[best], rows[i]
-        for k in range(n):
-            if k != i:
-                f = rows[k][i] / rows[i][i]
-                rows[k] = [a - f * b for a, b in zip(rows[k], rows[i])]
-    return [rows[i][n] / rows[i][i] for i in range(n)]
-
-
-def fit_rates(members: DataFrame, shares: list[float], max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE) -> list[list[float]]:
-    """The step vectors of the projected gradient; the targets are ``shares`` of all tokens."""
+    """gram^+ residual for a small symmetric matrix: directions without documents are left out, so h stays small along them."""
+    import numpy as np
+
+    size, axes = np.linalg.eigh(np.array(gram, float))
+    real = size > 1e-9 * max(float(size.max()), 0.0)
+    return (axes[:, real] @ ((axes[:, real].T @ np.array(residual, float)) / size[real])).tolist()
+
+
+def fit_rates(
+    members: DataFrame, shares: list[float], max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE, max_rate: float = MAX_RATE
+) -> tuple[DataFrame, float]:
+    """``members`` with their ``rate`` by projected gradient, and the largest distance of a total from its target as a share of
+    all tokens; the targets are ``shares`` of all tokens."""
     n = len(shares)
     mass = F.col("copies") * F.col("tokens")
     sums = members.agg(F.coalesce(F.sum(mass), F.lit(0)).alias("all"), *[F.coalesce(F.sum(mass * F.col(f"p{i}") * F.col(f"p{j}")), F.lit(0.0)).alias(f"g{i}_{j}") for i in range(n) for j in range(n)]).first()
     gram = [[sums[f"g{i}_{j}"] for j in range(n)] for i in range(n)]
     total = float(sums["all"])
-    steps: list[list[float]] = []
-    while total and len(steps) < max_steps:
-        rate = _rate(steps, n)
-        now = members.select(mass.alias("m"), rate.alias("r"), *[f"p{i}" for i in range(n)])
-        now = now.agg(*[F.sum(F.col("m") * F.col("r") * F.col(f"p{i}")).alias(f"t{i}") for i in range(n)]).first()
+    base, steps, taken, left = members.withColumn("rate", F.lit(1.0)), [], 0, 0.0
+    bold, last, last_gap = False, None, float("inf")
+    rated = lambda: base.withColumn("rate", _rate(steps, n, max_rate)["rate"])
+    while total:
+        now = base.select(mass.alias("m"), _rate(steps, n, max_rate).alias("s"), *[f"p{i}" for i in range(n)])
+        free = F.when(F.col("s.rate") > 0, F.col("m")).otherwise(0.0)
+        now = now.agg(
+            F.sum(F.col("m") * F.abs(F.col("s.rate") - F.col("s.was"))).alias("moved"), *[F.sum(F.col("m") * F.col("s.rate") * F.col(f"p{i}")).alias(f"t{i}") for i in range(n)],
+            *[F.sum(free * F.col(f"p{i}") * F.col(f"p{j}")).alias(f"f{i}_{j}") for i in range(n) for j in range(n)],
+        ).first()
         residual = [now[f"t{i}"] - shares[i] * total for i in range(n)]
-        if max(abs(x) for x in residual) <= tolerance * total:
+        gap = sum(a * b for a, b in zip(residual, _solve(gram, residual)))
+        if bold and gap >= last_gap:
+            steps[-1], bold = _solve(gram, last), False
+            taken += 1
+            continue
+        left = max(abs(x) for x in residual) / total
+        if left <= tolerance or taken >= max_steps or steps and not bold and now["moved"] <= LEAST_MOVE * total:
             break
-        steps.append(_solve(gram, residual))
-    return steps
+        bold, last, last_gap = taken >= PLAIN_STEPS, residual, gap
+        if len(steps) == STEPS_A_TABLE:
+            base, steps = materialize(rated(), "mixing-rates"), []
+        steps.append(_solve([[now[f"f{i}_{j}"] for j in range(n)] for i in range(n)] if bold else gram, residual))
+        taken += 1
+    if left > tolerance:
+        warnings.warn(f"mixing: after {taken} steps a domain's total is off its target by {left:.4g} of all tokens", stacklevel=2)
+    return rated(), left
 
 
-def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text: str = "text", per_domain: int = PER_DOMAIN) -> DataFrame:
+def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text: str = "text", per_domain: int = PER_DOMAIN, max_rate: float = MAX_RATE) -> DataFrame:
     """(id, text_key, copies, tokens, p0.., rate): one row per distinct (id, text); domains in the order of ``targets``."""
     domains = list(targets)
     whole = sum(targets.values())
     members = posteriors(docs, classifier(docs, labels, domains, id_col, text, per_domain), domains, id_col, text)
-    steps = fit_rates(members, [targets[d] / whole for d in domains])
-    return members.withColumn("rate", _rate(steps, len(domains)))
+    return fit_rates(members, [targets[d] / whole for d in domains], max_rate=max_rate)[0]
 
 
 def mix(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

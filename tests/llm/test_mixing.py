@@ -101,3 +101,31 @@ def test_empty_tables(spark, empty):
     assert found.count() == (0 if empty == "docs" else 30)
     if empty == "labels":
         assert all(abs(r["p0"] - 1 / 3) < 1e-9 for r in found.collect())
+
+
+def skewed(spark, share, n=300, sharp=0.999):
+    """One document of the first domain with ``share`` of the tokens, the rest of the second."""
+    m = [round(share * 100_000)] + [100_000 // n] * n
+    p = [sharp] + [1 - sharp * (0.9 + 0.1 * i / n) if i % 2 else 1 - sharp for i in range(n)]
+    return spark.createDataFrame([(i, 1, x, q, 1 - q) for i, (x, q) in enumerate(zip(m, p))], "id long, copies long, tokens long, p0 double, p1 double")
+
+
+@pytest.mark.parametrize("share", [0.05, 0.005, 0.0005])
+def test_a_rare_domain_meets_its_target(spark, share):
+    members = skewed(spark, share, sharp=1.0)
+    found, left = mixing.fit_rates(members, [0.9, 0.1])
+    assert left <= mixing.TOLERANCE
+    rows = found.collect()
+    total = sum(r["tokens"] for r in rows)
+    assert abs(sum(r["tokens"] * r["rate"] * r["p0"] for r in rows) / total - 0.9) <= 2 * mixing.TOLERANCE
+    assert all(r["rate"] >= 0 for r in rows) and max(r["rate"] for r in rows) > 16
+
+
+def test_the_residual_is_told_and_rates_are_bounded_on_request(spark):
+    members = skewed(spark, 0.005)
+    with pytest.warns(UserWarning, match="off its target"):
+        found, left = mixing.fit_rates(members, [0.9, 0.1], max_rate=4.0)
+    assert left > 0.1 and max(r["rate"] for r in found.collect()) <= 4.0
+    only = members.where("id > 0").withColumns({"p0": F.lit(0.0), "p1": F.lit(1.0)})
+    with pytest.warns(UserWarning, match="off its target"):
+        assert mixing.fit_rates(only, [0.9, 0.1])[1] > 0.8
