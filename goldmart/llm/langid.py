@@ -7,7 +7,8 @@ A language without an n-gram has its interpolated probability there, so one sear
 
 A text gets the language of the lowest cross-entropy per letter. ``score`` is the softmax of the negative
 cross-entropies at a sharpness fitted on held-back sample documents, and ``rejected`` tells a
-text that is worse than those documents of its language by more than a margin that widens for short texts.
+text that is worse than nine in ten of those documents of its language by more than a margin that widens for short texts, so that
+a few mislabelled documents do not loosen it.
 
 Learning uses at most ``per_language`` documents of each language (those with the smallest hash of
 doc_id) and of these the ``vocabulary`` most frequent words: a documented bound on the driver's work.
@@ -33,6 +34,8 @@ from goldmart.llm.common import appended, ship
 from goldmart.session import materialize
 
 PER_LANGUAGE, VOCABULARY, ORDER = 800, 40_000, 4
+# A language's limit is this quantile of its held-back entropies and a margin: mislabelled documents up to the rest do not move it.
+LIMIT_QUANTILE, LIMIT_MARGIN = 0.9, 1.25
 _NO_LETTER = re.compile(r"[\W\d_]+")
 _OUT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
 
@@ -200,14 +203,15 @@ def learn(
     if not langs:
         return Model([], order, [], [], [], [], np.zeros(0), limits=np.zeros(0))
     model = fit(table["word"].tolist(), table["lang"].map({l: i for i, l in enumerate(langs)}).to_numpy(np.int64), table["n"].to_numpy(), langs, order)
-    model.limits = np.full(len(langs), np.inf)
+    model.limits = np.full(len(langs), np.log(len(model.grams[0]) + 1.0))  # without held-back documents: no better than chance
     _calibrate(model, sample.where(held).select("lang", "text"))
     return model
 
 
 def _calibrate(model: Model, held: DataFrame) -> None:
-    """Set the sharpness (greatest likelihood on a grid) and each language's limit: the largest
-    cross-entropy of its held-back documents of 20 characters or more, plus a quarter."""
+    """Set the sharpness (greatest likelihood on a grid) and each language's limit: a high quantile of the
+    cross-entropies of its held-back documents of 20 characters or more, plus a quarter; for a language without one, the median
+    of the others' limits."""
     import numpy as np
 
     def run(batches):
@@ -234,7 +238,10 @@ def _calibrate(model: Model, held: DataFrame) -> None:
     for k in range(len(model.langs)):
         own = xe[(right == k) & (size >= 20), k]
         if len(own):
-            model.limits[k] = own.max() * 1.25
+            model.limits[k] = np.quantile(own, LIMIT_QUANTILE) * LIMIT_MARGIN
+    known = np.isin(np.arange(len(model.langs)), right[size >= 20])
+    if known.any():
+        model.limits[~known] = np.median(model.limits[known])
 
 
 ship(__name__)

@@ -84,3 +84,18 @@ def test_held_out_accuracy_on_given_tables(spark):
     seen = rows.join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
     assert seen.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.99
     assert rows.where("rejected").count() <= 0.01 * rows.count()
+
+
+def test_mislabelled_documents_do_not_lift_the_limit(spark):
+    other = ["кот", "дом", "река", "небо", "зима"]
+    draw = lambda i, words: " ".join(np.random.default_rng(i).choice(words, 40))
+    train = [(i, draw(i, A if i % 2 else B), "a" if i % 2 else "b") for i in range(800)]
+    train += [(1000 + i, draw(1000 + i, B), "a") for i in range(8)] + [(2000 + i, draw(2000 + i, A), "b") for i in range(8)]
+    train += [(3000, "kurz", "c")]
+    model = langid.learn(spark.createDataFrame(train, "doc_id long, text string, lang string"), F.lit(True))
+    assert np.isfinite(model.limits).all()
+    clean = langid.learn(spark.createDataFrame(train[:800], "doc_id long, text string, lang string"), F.lit(True))
+    assert np.allclose(model.limits[:2], clean.limits, rtol=0.3)
+    rows = spark.createDataFrame([(draw(5000 + i, w),) for i in range(40) for w in (A, B, other)], "text string")
+    got = langid.predict(rows, model).collect()
+    assert all(r["rejected"] == (r["text"].split()[0] in other) for r in got)
