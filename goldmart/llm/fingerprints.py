@@ -1,5 +1,10 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraphs.
 
+Beside the paragraphs below, texts are compared by content pieces, which do not depend on places: the words of a text (a run of
+more than ``RUN`` characters: its characters) are cut after each one whose hash with the next is a multiple of ``GROUP``, so an insertion
+changes the pieces around it only. Where either text is shorter than ``SHORT`` characters, both are compared by pairs of neighbouring
+characters, the first with a begin mark.
+
 A text is cut into paragraphs: lines, long lines every ``PIECE`` characters, and the text's head also at 16, 32, 64
 and 128 characters, so that a short text has several. Each distinct paragraph is a 64-bit digest. A sketch has three rows of
 cells; a digest goes to one cell of each row, where counts add up and digests and their check
@@ -31,6 +36,7 @@ BASE_WIDTH = 4
 FIRST_WIDTH, ATTEMPTS = 8, 5
 ROWS_A_BUCKET, MAX_BUCKETS = 5000, 100_000
 _ROWS = 3
+GROUP, RUN, SHORT = 8, 32, 64
 # Where the head of a text is cut; from the last on, every PIECE characters.
 _HEAD = (0, 16, 32, 64, 128)
 
@@ -49,6 +55,25 @@ def paragraphs(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(found, lambda p: F.xxhash64(p))))
 
 
+def content_pieces(text: Column) -> Column:
+    """Sorted distinct digests of groups of words, cut by content."""
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    units = F.flatten(F.transform(words, lambda w: F.when(F.char_length(w) <= RUN, F.array(w)).otherwise(F.split(w, ""))))
+
+    def cut(u):
+        ends = F.filter(F.sequence(F.lit(1), F.size(u)), lambda i: (i == F.size(u)) | (F.pmod(F.xxhash64(F.get(u, i - 1), F.get(u, i)), F.lit(GROUP)) == 0))
+        return let(ends, lambda e: F.transform(e, lambda end, k: F.xxhash64(let(F.when(k > 0, F.get(e, k - 1)).otherwise(0), lambda start: F.slice(u, start + 1, end - start)))))
+
+    return let(units, lambda u: F.when(F.size(u) > 0, F.array_sort(F.array_distinct(cut(u)))).otherwise(F.array().cast("array<bigint>")))
+
+
+def character_pairs(text: Column) -> Column:
+    """Sorted distinct digests of neighbouring characters, the first with a begin mark."""
+    pairs = lambda c: F.transform(c, lambda x, i: F.xxhash64(F.when(i > 0, F.get(c, i - 1)).otherwise(F.lit("\x02")), x))
+    found = let(F.split(text, ""), lambda c: F.array_sort(F.array_distinct(pairs(c))))
+    return F.when(F.char_length(text) > 0, found).otherwise(F.array().cast("array<bigint>"))
+
+
 def _check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit("check"))
 
@@ -172,14 +197,26 @@ def with_successor(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
 
 def compare_versions(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next): one row per input
-    row. The edited text has its last floor(n_chars / 2) code points replaced by the first as many of the next."""
+    """(id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next, content_edited, content_next): one row per input
+    row; near by paragraphs, content by content pieces. The edited text has its last floor(n_chars / 2) code points replaced by the first as many of the next."""
     rows = with_successor(docs, id_col, text).withColumn("n_chars", F.char_length("body").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("body"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring(F.col("next_body"), F.lit(1), half))
     rows = rows.withColumn("edited", edited)
-    rows = rows.select("id", "n_chars", "edited", paragraphs(F.col("body")).alias("own"), paragraphs(F.col("edited")).alias("new"), paragraphs(F.col("next_body")).alias("next"))
-    return rows.select(
+
+    def by_content(other):
+        short = F.least(F.char_length("body"), F.char_length(other)) < SHORT
+        pieces = lambda name: F.when(short, character_pairs(F.col(name))).otherwise(content_pieces(F.col(name)))
+        return F.struct(pieces("body").alias("a"), pieces(other).alias("b"))
+
+    rows = rows.select(
+        "id", "n_chars", "edited", paragraphs(F.col("body")).alias("own"), paragraphs(F.col("edited")).alias("new"), paragraphs(F.col("next_body")).alias("next"),
+        F.array(by_content("edited"), by_content("next_body")).alias("pieces"),
+    )
+    pairs = F.concat(F.transform(F.array("new", "next"), lambda other: F.struct(F.col("own").alias("a"), other.alias("b"))), F.col("pieces"))
+    rows = rows.select(
         "id", "n_chars", "edited", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("new")).alias("edited_fingerprint"),
-        F.transform(F.array("new", "next"), lambda other: likeness(F.col("own"), other)).alias("near"),
-    ).select("id", "n_chars", "edited", "fingerprint", "edited_fingerprint", F.col("near")[0].alias("near_edited"), F.col("near")[1].alias("near_next"))
+        F.transform(pairs, lambda p: likeness(p["a"], p["b"])).alias("near"),
+    )
+    names = ["near_edited", "near_next", "content_edited", "content_next"]
+    return rows.select("id", "n_chars", "edited", "fingerprint", "edited_fingerprint", *[F.col("near")[i].alias(n) for i, n in enumerate(names)])

@@ -37,7 +37,7 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints.compare_versions(table(spark, sf_dir, "documents"))
     return found.select(
         F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        "near_edited", "near_next",
+        "near_edited", "near_next", "content_edited", "content_next",
     )
 
 

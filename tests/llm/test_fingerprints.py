@@ -95,3 +95,16 @@ def test_registered_query(spark):
     for r in got:
         by_print.setdefault(r["fingerprint"], set()).add(text[r["doc_id"]])
     assert all(len(v) == 1 for v in by_print.values()) and len(by_print) == len(set(text.values()))
+
+
+def test_content_pieces_stand_an_insertion_and_short_texts(spark):
+    rng = random.Random(9)
+    plain = " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(1200))
+    run = "".join(rng.choices("abcdefgh", k=4000))
+    pairs = [(plain, plain[:5] + "X" + plain[5:]), (run, run[:5] + "X" + run[5:]), (plain, plain), ("", "")]
+    for a, b in pairs:
+        got = fingerprints.compare_versions(spark.createDataFrame([(2, a), (1, b)], "doc_id long, text string")).where("id = 2").first()
+        assert got["content_next"] >= (0.95 if a == plain or not a else 0.9)
+    short = [(n, "".join(rng.choices("klmnopqrstuvw", k=n))) for n in range(2, 31)]
+    found = fingerprints.compare_versions(spark.createDataFrame([(n, t) for n, t in short] + [(1, "0123456789 !?%&()[]+*#-=;:,.<>")], "doc_id long, text string")).where("id > 1").collect()
+    assert all(r["content_edited"] > 0 for r in found) and all(r["content_next"] < r["content_edited"] for r in found if r["n_chars"] > 12)
