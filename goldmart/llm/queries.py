@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldmart.llm import bpe, chat, fingerprints, langid, licenses, mixing, near_vectors, sharding, simhash, toxicity
+from goldmart.llm import bpe, chat, divergence, fertility, fingerprints, infill, langid, licenses, mixing, near_vectors, sharding, simhash, toxicity
 from goldmart.llm.common import crc_fold, table
 
 
@@ -81,6 +81,27 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"), least_docs=30, top=50)
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = fertility.model_bytes(public_tokenizers.path("piece_bpe_32k.model"))
+    judged = fertility.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept", "script", *fertility.FIGURES)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = infill.transform(docs, draw=infill.Draw(seed="7", share=100, spm=50), restore_too=True)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 def _escaped(text: str) -> str:
     out = f"replace({text}, '\\', '\\\\')"
     for mark in chat.CONTROL:
@@ -117,7 +138,7 @@ def _descend(node: dict, path: str) -> str:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_license_scan, op3_sharding, op4_embedding_near_dedup, op5_document_fingerprints, op6_source_mixing, op7_language_id, op8_chat_formatting,
-    op9_simhash_near_dedup, op10_byte_bpe,
+    op9_simhash_near_dedup, op10_byte_bpe, op11_source_divergence, op12_quality_rules, op13_fill_in_middle,
 )}
 
 _MARKS = len(chat.OPEN) + len(chat.ROLE_END) + len(chat.CLOSE)
@@ -172,4 +193,36 @@ SQL = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                sum(length({_escaped('role')}) + length({_escaped('text')}) + {_MARKS})::BIGINT AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op11_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+        o AS (SELECT r, lang, source, unnest(t) AS term FROM d),
+        kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+        g AS (SELECT lang, source, coalesce(v, 0) AS v, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d)
+              LEFT JOIN v USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source)),
+        p AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p
+              FROM g JOIN kept ON kept.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+        q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS q
+              FROM (SELECT lang, term, sum(n) AS n FROM p GROUP BY ALL) JOIN (SELECT lang, any_value(v) AS v, sum(total) AS total FROM g GROUP BY lang) USING (lang)),
+        f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+        pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+        ts AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM ts))
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
+    "op13_fill_in_middle": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        l AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS u FROM d),
+        k AS (SELECT *, len(u) AS n, [('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1), ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1)] AS cuts,
+                     CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 100 THEN 'plain'
+                          WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+        s AS (SELECT *, array_to_string(u[1:list_min(cuts)], '') AS a, array_to_string(u[list_min(cuts) + 1:list_max(cuts)], '') AS m,
+                     array_to_string(u[list_max(cuts) + 1:], '') AS z FROM k)
+        SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(a) END::BIGINT AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256 FROM s""",
 }
