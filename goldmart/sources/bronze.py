@@ -1,7 +1,7 @@
 """Bronze ingest: raw CSV exports -> typed-as-text Parquet with a stable input position.
 
-Multi-line CSV (quoted fields with newlines) cannot be split, so each file is read by one task;
-landing it once as Parquet makes every later stage parallel and lets a lost executor recompute
+Multi-line CSV (quoted fields with newlines) is read in byte ranges with their quote states, so one large file
+takes many tasks; landing it once as Parquet lets a lost executor recompute
 from Parquet instead of re-reading the CSV. ``_pos`` (file, block, row) is fixed at the scan,
 before any shuffle, and stored, so keep-first means input order on every run.
 """
@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from goldmart.constants import BRONZE_COLUMNS, REQUIRED_RAW_FILES
 from goldmart.functions.text import normalize_na_tokens
 from goldmart.operators.profile import shapes
+from goldmart.sources.csv_ranges import read_records
 from goldmart.sources.contracts import ContractError, missing_columns, require_files
 
 CORRUPT = "_corrupt"
@@ -36,9 +36,8 @@ def read_raw_csv(spark: SparkSession, path: str, dataset_name: str | None = None
     """All columns as text in header order, plus ``_corrupt`` (raw text of ragged rows) and
     ``_pos``; NA tokens become null. The contract is checked on the header before any scan.
 
-    The schema is built from the header itself: a hand-written schema would be bound by
-    position and silently swap reordered columns; ``enforceSchema=false`` re-checks every
-    file's header against it."""
+    A file is read by as many tasks as it has byte ranges (``goldmart.sources.csv_ranges``); every file must begin with the
+    same header."""
     header = csv_header(spark, path)
     clash = sorted(set(header) & set(BRONZE_COLUMNS))
     if clash:
@@ -47,22 +46,10 @@ def read_raw_csv(spark: SparkSession, path: str, dataset_name: str | None = None
         missing = missing_columns(header, dataset_name, required)
         if missing:
             raise ContractError(f"dataset '{dataset_name}' lacks required columns: {', '.join(missing)}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header] + [T.StructField(CORRUPT, T.StringType())])
-    df = (
-        spark.read.schema(schema)
-        .options(**_CSV_OPTIONS)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("enforceSchema", "false")
-        .csv(path)
-    )
-    df = df.withColumn(
-        "_pos",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-    )
+    fields = ["`" + c.replace("`", "``") + "` string" for c in [*header, CORRUPT]]
+    options = {k: v for k, v in _CSV_OPTIONS.items() if k != "header"}
+    parsed = F.from_csv("_record", ", ".join(fields), {**options, "columnNameOfCorruptRecord": CORRUPT})
+    df = read_records(spark, path).select(parsed.alias("_r"), "_pos").select("_r.*", "_pos")
     return normalize_na_tokens(df, columns=header)
 
 
@@ -87,7 +74,6 @@ def land_bronze(
     df = read_raw_csv(spark, path, dataset_name)
     width = len(df.columns) - 2  # without the raw record and the position
     flagged = df.withColumn("_long", F.coalesce(F.col(CORRUPT).isNotNull() & (field_count() > F.lit(width)), F.lit(False)))
-    # one task reads a whole file; the landed table is spread evenly for all that follows
     flagged.hint("rebalance").write.mode("overwrite").parquet(out_path)
     landed = spark.read.parquet(out_path)
     n_long = landed.agg(F.count_if("_long").alias("n")).first()["n"]
