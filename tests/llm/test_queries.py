@@ -23,6 +23,6 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_has_a_query_and_every_document_a_row(spark):
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     assert QUERIES["op6_source_mixing"](spark, SF).count() == n
