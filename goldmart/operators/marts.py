@@ -1,8 +1,9 @@
 """The analytic tables built on gold: grouped summaries, rankings and the correlation grid.
 
 Every table is a lazy, ordered DataFrame. Measures are partial aggregates (map-side combine), so a
-group holding a third of all rows ships one partial row per map task; the exact median is the one
-measure that needs more, see ``goldmart.operators.quantiles``.
+group holding a third of all rows ships a few partial rows per map task; sums and means are exact up to one final rounding
+(``goldmart.operators.exact``), so they do not depend on the order of rows. The exact median needs more, see
+``goldmart.operators.quantiles``.
 """
 
 from __future__ import annotations
@@ -14,8 +15,16 @@ from pyspark.sql import functions as F
 
 from goldmart import constants as K
 from goldmart.functions.numeric import rint_round, scaled
+from goldmart.operators.exact import exact_groups
 from goldmart.operators.quantiles import LOCAL_ROWS, grouped_quantiles
 
+_RATINGS = {"_vote": "vote_average", "_user": "user_rating_avg"}
+
+
+def _rating_means() -> list[Column]:
+    return [F.col("_vote.mean").alias("nota_metadata_media"), F.col("_user.mean").alias("nota_usuarios_media")]
+
+
 def _present(*cols: str) -> Column:
     cond = F.lit(True)
     for c in cols:
@@ -31,13 +40,8 @@ def revenue_by_genre(gold: DataFrame, key: str = "primary_genre") -> DataFrame:
     """Total revenue (billions), mean revenue (millions) and count per genre; sorted by the
     unrounded total, descending, then rounded."""
     agg = (
-        gold.where(_present("revenue", key))
-        .groupBy(key)
-        .agg(
-            scaled(F.sum("revenue"), 1e9).alias("receita_total_bi"),
-            scaled(F.avg("revenue"), 1e6).alias("receita_media_mi"),
-            F.count("id").alias("qtd_filmes"),
-        )
+        exact_groups(gold.where(_present("revenue", key)), [key], {"_revenue": "revenue"}, {"qtd_filmes": "id"})
+        .select(key, scaled("_revenue.total", 1e9).alias("receita_total_bi"), scaled("_revenue.mean", 1e6).alias("receita_media_mi"), "qtd_filmes")
         .orderBy(F.desc("receita_total_bi"), F.asc(key))
     )
     return _rounded_select(agg, [key, "receita_total_bi", "receita_media_mi", "qtd_filmes"],
@@ -47,15 +51,9 @@ def revenue_by_genre(gold: DataFrame, key: str = "primary_genre") -> DataFrame:
 def top_directors(gold: DataFrame, min_count: int = K.MIN_DIRECTOR_FILMS, key: str = "director") -> DataFrame:
     """Directors with at least ``min_count`` movies with revenue; no row limit."""
     agg = (
-        gold.where(_present("revenue", key))
-        .groupBy(key)
-        .agg(
-            scaled(F.sum("revenue"), 1e9).alias("receita_total_bi"),
-            F.avg("vote_average").alias("nota_metadata_media"),
-            F.avg("user_rating_avg").alias("nota_usuarios_media"),
-            F.count("id").alias("qtd_filmes"),
-        )
+        exact_groups(gold.where(_present("revenue", key)), [key], {"_revenue": "revenue", **_RATINGS}, {"qtd_filmes": "id"})
         .where(F.col("qtd_filmes") >= F.lit(min_count))
+        .select(key, scaled("_revenue.total", 1e9).alias("receita_total_bi"), *_rating_means(), "qtd_filmes")
         .orderBy(F.desc("receita_total_bi"), F.asc(key))
     )
     cols = [key, "receita_total_bi", "nota_metadata_media", "nota_usuarios_media", "qtd_filmes"]
@@ -65,14 +63,8 @@ def top_directors(gold: DataFrame, min_count: int = K.MIN_DIRECTOR_FILMS, key: s
 def movies_by_decade(gold: DataFrame, key: str = "decade") -> DataFrame:
     """Count and mean vote, user rating and runtime per decade (revenue not required)."""
     agg = (
-        gold.where(_present(key))
-        .groupBy(key)
-        .agg(
-            F.count("id").alias("qtd_filmes"),
-            F.avg("vote_average").alias("nota_metadata_media"),
-            F.avg("user_rating_avg").alias("nota_usuarios_media"),
-            F.avg("runtime").alias("duracao_media"),
-        )
+        exact_groups(gold.where(_present(key)), [key], {**_RATINGS, "_runtime": "runtime"}, {"qtd_filmes": "id"})
+        .select(key, "qtd_filmes", *_rating_means(), F.col("_runtime.mean").alias("duracao_media"))
         .orderBy(F.asc(key))
     )
     cols = [key, "qtd_filmes", "nota_metadata_media", "nota_usuarios_media", "duracao_media"]
@@ -87,14 +79,11 @@ def explode_keywords(gold: DataFrame, measures: Sequence[str] = ("id", "revenue"
 
 def top_keywords(gold: DataFrame, min_count: int = K.MIN_KEYWORD_FILMS) -> DataFrame:
     """Count, mean revenue (millions) and mean user rating per keyword (revenue not required)."""
+    measures = {"_revenue": "revenue", "_user": "user_rating_avg"}
     agg = (
-        explode_keywords(gold).groupBy("keyword")
-        .agg(
-            F.count("id").alias("qtd_filmes"),
-            scaled(F.avg("revenue"), 1e6).alias("receita_media_mi"),
-            F.avg("user_rating_avg").alias("nota_usuarios_media"),
-        )
+        exact_groups(explode_keywords(gold), ["keyword"], measures, {"qtd_filmes": "id"})
         .where(F.col("qtd_filmes") >= F.lit(min_count))
+        .select("keyword", "qtd_filmes", scaled("_revenue.mean", 1e6).alias("receita_media_mi"), F.col("_user.mean").alias("nota_usuarios_media"))
         .orderBy(F.desc("qtd_filmes"), F.desc_nulls_last("receita_media_mi"), F.asc("keyword"))
     )
     cols = ["keyword", "qtd_filmes", "receita_media_mi", "nota_usuarios_media"]
@@ -110,17 +99,15 @@ def group_summary(df: DataFrame, group_column: str, min_count: int, median: str
     distributed selection (``grouped_quantiles``); ``median='approx'`` uses ``percentile_approx``.
     """
     base = df.where(_present(group_column, "revenue"))
-    agg = base.groupBy(group_column).agg(
-        F.count("id").alias("qtd_filmes"),
-        F.sum("revenue").alias("_sum"),
-        F.avg("revenue").alias("_avg"),
-        # roi has two decimals: summed as whole hundredths, so the mean does not depend on the order of rows
-        F.try_divide(F.sum(F.rint(F.col("roi") * F.lit(100.0))), F.count("roi") * F.lit(100.0)).alias("roi_medio"),
-        F.avg("vote_average").alias("nota_metadata_media"),
-        F.avg("user_rating_avg").alias("nota_usuarios_media"),
-        *([F.percentile_approx("revenue", 0.5, 10000).cast("double").alias("_median")] if median == "approx" else []),
-    ).where(F.col("qtd_filmes") >= F.lit(min_count))
-    if median != "approx":
+    # roi has two decimals: its mean is taken over whole hundredths
+    measures = {"_revenue": "revenue", "_roi": F.rint(F.col("roi") * F.lit(100.0)), **_RATINGS}
+    agg = exact_groups(base, [group_column], measures, {"qtd_filmes": "id", "_n_roi": "roi"}).where(F.col("qtd_filmes") >= F.lit(min_count)).select(
+        group_column, "qtd_filmes", F.col("_revenue.total").alias("_sum"), F.col("_revenue.mean").alias("_avg"),
+        F.try_divide(F.col("_roi.total"), F.col("_n_roi") * F.lit(100.0)).alias("roi_medio"), *_rating_means(),
+    )
+    if median == "approx":
+        agg = agg.join(base.groupBy(group_column).agg(F.percentile_approx("revenue", 0.5, 10000).cast("double").alias("_median")), group_column, "left")
+    else:
         med = grouped_quantiles(base, [group_column], "revenue", [0.5], ["_median"], midpoint_mean=True, min_count=min_count, local_rows=local_rows)
         agg = agg.join(med, group_column, "left")
     cols = [

@@ -11,6 +11,7 @@ from goldmart.functions.literals import first_or_null, with_director, with_name_
 from goldmart.functions.numeric import rint_round, to_double, to_long_truncated
 from goldmart.operators.clean import _order
 from goldmart.operators.dedup import keep_first
+from goldmart.operators.exact import limb_sums, merged_scales, scale_of, whole_of
 from goldmart.sources.contracts import validate_columns
 
 
@@ -84,27 +85,15 @@ def build_movie_ratings(
     per tmdbId (rounded half-even to 2). Several movieIds may share one tmdbId.
 
     Ratings are pre-aggregated per movieId (map-side combine) before the join, so the join and
-    the second aggregate see one row per movie instead of one per rating, and a movie holding a
-    third of all ratings costs one row per map task.
+    the second aggregate see a row or two per movie instead of one per rating, and a movie holding a
+    third of all ratings costs as few per map task. The sums are exact, so the mean does not depend on the order of ratings.
     """
     validate_columns(ratings, "ratings")
     bridge = bridge_links(links, order_by)
-    per_movie = (
-        ratings.select(
-            to_long_truncated(ratings, "movieId").alias("movieId"),
-            to_double(ratings, "rating").alias("rating"),
-        )
-        .where(F.col("movieId").isNotNull() & F.col("rating").isNotNull())
-        .groupBy("movieId")
-        .agg(F.sum("rating").alias("_sum"), F.count("rating").alias("_n"))
-    )
-    return (
-        per_movie.join(bridge, "movieId", "inner")
-        .groupBy("tmdbId")
-        .agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("user_rating_count"))
-        .select(
-            F.col("tmdbId").alias("id"),
-            rint_round(F.col("_sum") / F.col("user_rating_count"), 2).alias("user_rating_avg"),
-            F.col("user_rating_count").cast("bigint").alias("user_rating_count"),
-        )
-    )
+    rated = ratings.select(to_long_truncated(ratings, "movieId").alias("movieId"), to_double(ratings, "rating").alias("rating"))
+    rated = rated.where(F.col("movieId").isNotNull() & F.col("rating").isNotNull()).withColumn("_scale", scale_of(F.col("rating")))
+    whole = whole_of(F.col("rating"), F.col("_scale"))
+    per_movie = rated.groupBy("movieId", "_scale").agg(*[agg.alias(part) for part, agg in limb_sums(whole, F.col("rating")).items()])
+    joined = per_movie.join(bridge, "movieId", "inner").withColumnRenamed("tmdbId", "id")
+    found = merged_scales(joined, ["id"], count="user_rating_count")
+    return found.select("id", rint_round("_exact.mean", 2).alias("user_rating_avg"), F.col("user_rating_count").cast("bigint").alias("user_rating_count"))

@@ -1,0 +1,102 @@
+"""Exact sums and means: bit-equal over any order and partitioning, against plain exact arithmetic."""
+
+import math
+import random
+import struct
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from goldmart.operators import marts
+from goldmart.operators.exact import exact_groups
+from goldmart.operators.silver import build_movie_ratings
+
+
+def bits(x):
+    return None if x is None else struct.pack("<d", x)
+
+
+def exact(values):
+    values = [v for v in values if v is not None]
+    if not values:
+        return None, None
+    total = sum(map(Fraction, values))
+    return math.fsum(values), float(total / len(values))
+
+
+def doubles(rng, n, kind):
+    if kind == "money":
+        return [rng.randrange(1, 10**9) / 100 for _ in range(n)]
+    if kind == "mixed":
+        return [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-20, 20) for _ in range(n)]
+    if kind == "powers":
+        return [math.ldexp(rng.choice([1.0, -1.0, math.nextafter(1, 2), math.nextafter(1, 0)]), rng.randint(-60, 60)) for _ in range(n)]
+    if kind == "tiny":
+        return [rng.choice([5e-324, 2.2250738585072014e-308, -1e-310, 1e-300, 0.0, -0.0]) for _ in range(n)]
+    return [rng.choice([1.7e308, -1.7e308, 8e307, 1.0]) for _ in range(n)]
+
+
+@pytest.mark.parametrize("kind", ["money", "mixed", "powers", "tiny"])
+def test_bits_do_not_depend_on_the_order(spark, kind):
+    rng = random.Random(kind)
+    rows = [(k, v) for k in range(6) for v in [None, *doubles(rng, 400 if k else 1, kind)]]
+    want = {k: exact([v for g, v in rows if g == k]) for k in range(6)}
+    for parts in (1, 3, 7):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "k int, v double").repartition(parts)
+        got = exact_groups(df, ["k"], {"v": "v"}, {"n": "v"}).collect()
+        assert {r["k"]: (bits(r["v"]["total"]), bits(r["v"]["mean"])) for r in got} == {k: (bits(t + 0.0), bits(m + 0.0)) for k, (t, m) in want.items()}
+        assert all(r["n"] == sum(v is not None for g, v in rows if g == r["k"]) for r in got)
+
+
+def test_large_values_cancel_before_the_rounding(spark):
+    df = spark.createDataFrame([(1, v) for v in (1.7e308, 1.7e308, -1.7e308, 1.0, -1.7e308)] + [(2, 1.7e308)] * 3, "k int, v double")
+    got = {r["k"]: r["v"] for r in exact_groups(df, ["k"], {"v": "v"}).collect()}
+    assert (got[1]["total"], got[1]["mean"]) == (1.0, 0.2)
+    assert got[2]["total"] == math.inf and got[2]["mean"] == 1.7e308
+
+
+def test_values_that_are_not_finite_and_groups_without_values(spark):
+    inf, nan = math.inf, math.nan
+    rows = [("inf", inf), ("inf", 1.0), ("both", inf), ("both", -inf), ("nan", nan), ("nan", 2.0), ("none", None), ("zero", -0.0)]
+    got = {r["k"]: r["v"]["total"] for r in exact_groups(spark.createDataFrame(rows, "k string, v double"), ["k"], {"v": "v"}).collect()}
+    assert got["inf"] == inf and math.isnan(got["both"]) and math.isnan(got["nan"]) and got["none"] is None and got["zero"] == 0.0
+
+
+def test_empty_table_and_several_measures(spark):
+    assert exact_groups(spark.createDataFrame([], "k int, v double"), ["k"], {"v": "v"}).count() == 0
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id / 7 AS a", "if(id % 5 = 0, null, id * 0.1D) AS b")
+    got = exact_groups(df, ["k"], {"a": "a", "b": F.col("b") * 2}, {"n": "b"}).collect()
+    for r in got:
+        ids = range(int(r["k"]), 1000, 3)
+        assert bits(r["a"]["total"]) == bits(math.fsum(i / 7 for i in ids)) and r["n"] == sum(i % 5 > 0 for i in ids)
+        assert bits(r["b"]["mean"]) == bits(exact([i * 0.1 * 2 for i in ids if i % 5])[1])
+
+
+def test_marts_are_the_same_over_any_partitioning(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice("abc"), rng.random() * 1e9, rng.choice("xyz"), rng.randint(0, 9) / 3, rng.random() * 5, 1990 + 10 * rng.randint(0, 2), rng.random() * 200, rng.random() * 9)
+            for i in range(3000)]
+    schema = "id long, primary_genre string, revenue double, director string, vote_average double, user_rating_avg double, decade int, runtime double, roi double"
+    builders = [marts.revenue_by_genre, lambda g: marts.top_directors(g, 1), marts.movies_by_decade, lambda g: marts.group_summary(g, "director", 1)]
+    seen = [set() for _ in builders]
+    for parts in (1, 2, 5, 8):
+        rng.shuffle(rows)
+        gold = spark.createDataFrame(rows, schema).repartition(parts)
+        for build, found in zip(builders, seen):
+            found.add(tuple(map(tuple, build(gold).collect())))
+    assert [len(s) for s in seen] == [1] * len(builders)
+
+
+def test_rating_bridge_equals_exact_means(spark):
+    rng = random.Random(6)
+    ratings = [(str(rng.randrange(40)), f"{rng.random() * 5:.3f}") for _ in range(2000)]
+    links = [(str(m), str(m % 9)) for m in range(40)]
+    got = build_movie_ratings(
+        spark.createDataFrame([(m, t, i) for i, (m, t) in enumerate(links)], "movieId string, tmdbId string, _pos int"),
+        spark.createDataFrame([("1", m, r, "0") for m, r in ratings], "userId string, movieId string, rating string, timestamp string"),
+    ).collect()
+    for r in got:
+        own = [float(x) for m, x in ratings if int(m) % 9 == r["id"]]
+        assert r["user_rating_count"] == len(own) and r["user_rating_avg"] == round(float(sum(map(Fraction, own)) / len(own)) * 100) / 100
