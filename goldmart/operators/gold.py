@@ -24,23 +24,31 @@ def roi_percent(revenue="revenue", budget="budget"):
     return F.when(b.isNotNull() & (b > F.lit(0.0)) & r.isNotNull(), rint_round((r - b) / b * F.lit(100.0), 2))
 
 
+def movie_columns(movies: DataFrame) -> DataFrame:
+    """Clean movies with the gold columns that need no other table: money, dates, decade and collection."""
+    day = lenient_date("release_date")
+    year = F.year(day)
+    return movies.withColumns({
+        "profit": F.col("revenue") - F.col("budget"), "roi": roi_percent(), "release_date": iso_day_text(day), "release_year": year.cast("int"),
+        "decade": decade(year), "has_collection": present_text("belongs_to_collection"),
+    })
+
+
 def build_gold_dataset(movies: DataFrame, directors: DataFrame, keywords: DataFrame, ratings: DataFrame) -> DataFrame:
     """Clean movies (with a genres text or already with ``genres_list``), left-joined to the three one-row-per-id
     side tables.
 
     Genres are parsed first, so the joins carry the short list and not the text. Every side table is
-    unique on ``id`` (no fan-out) and already hash-partitioned on it by its own dedup or aggregate;
-    AQE turns a join into a broadcast only when the measured side is below the broadcast threshold.
+    unique on ``id`` (no fan-out) and already hash-partitioned on it by its own dedup or aggregate, or stored in buckets by id
+    (``write_bucketed``); then the joins need no exchange. AQE turns a join into a broadcast only when the measured side is below the broadcast threshold.
     """
     parsed = movies if "genres_list" in movies.columns else parse_genres(movies)
     joined = (
-        parsed.select(*_MOVIE_INPUTS)
+        movie_columns(parsed.select(*_MOVIE_INPUTS))
         .join(directors, "id", "left")
         .join(keywords, "id", "left")
         .join(ratings, "id", "left")
     )
-    day = lenient_date("release_date")
-    year = F.year(day)
     out = joined.select(
         F.col("id").cast("bigint").alias("id"),
         "title",
@@ -52,8 +60,8 @@ def build_gold_dataset(movies: DataFrame, directors: DataFrame, keywords: DataFr
         F.coalesce(F.col("keyword_count"), F.lit(0)).cast("bigint").alias("keyword_count"),
         "budget",
         "revenue",
-        (F.col("revenue") - F.col("budget")).alias("profit"),
-        roi_percent().alias("roi"),
+        "profit",
+        "roi",
         "vote_average",
         "vote_count",
         "user_rating_avg",
@@ -61,10 +69,10 @@ def build_gold_dataset(movies: DataFrame, directors: DataFrame, keywords: DataFr
         "popularity",
         "runtime",
         "original_language",
-        iso_day_text(day).alias("release_date"),
-        year.cast("int").alias("release_year"),
-        decade(year).alias("decade"),
-        present_text("belongs_to_collection").alias("has_collection"),
+        "release_date",
+        "release_year",
+        "decade",
+        "has_collection",
         "overview",
         "status",
     )

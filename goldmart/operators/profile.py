@@ -99,8 +99,9 @@ def stage_counters(
     ratings: DataFrame,
     gold: DataFrame,
     movies_key: str = "movies",
+    raw_rows: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """(etapa, indicador, valor): the pipeline's stage counters as rows."""
+    """(etapa, indicador, valor): the pipeline's stage counters as rows. ``raw_rows``: rows per source, if they are known already."""
     def one(etapa: str, name: str, df: DataFrame, measure=None) -> DataFrame:
         m = F.count(F.lit(1)) if measure is None else measure
         return df.agg(m.cast("bigint").alias("valor")).select(F.lit(etapa).alias("etapa"), F.lit(name).alias("indicador"), "valor")
@@ -112,7 +113,8 @@ def stage_counters(
         "etapa string, indicador string, valor bigint",
     )
     # one count per source; the total and the movies are read off these few rows
-    sources = shapes(raw).agg(
+    counts = shapes(raw) if raw_rows is None else spark.createDataFrame(list(raw_rows.items()), "dataset string, linhas bigint")
+    sources = counts.agg(
         F.sum("linhas").cast("bigint").alias("total"), F.max(F.when(F.col("dataset") == movies_key, F.col("linhas"))).alias("movies")
     )
     lines = sources.select(F.explode(F.array(

@@ -19,13 +19,14 @@ from goldmart.functions.numeric import rint_round, to_double, to_long_truncated
 from goldmart.functions.text import blank_to_null, normalize_na_tokens
 from goldmart.operators import feeds, marts, profile
 from goldmart.operators.clean import adult_flag, clean_counters, clean_movies
-from goldmart.operators.gold import build_gold_dataset
+from goldmart.operators.exact import exact_groups
+from goldmart.operators.gold import build_gold_dataset, movie_columns
 from goldmart.operators.silver import build_directors, build_keywords, build_movie_ratings
 from goldmart.plans import frames as fr
 from goldmart.plans.frames import LINE_ORDER, THRESHOLDS as TH
-from goldmart.plans.pipeline import run_frames, write_silver
+from goldmart.plans.pipeline import run_frames, silver_tables
 from goldmart.session import materialize, scratch_path
-from goldmart.sinks.writers import manifest, write_csv, write_parquet, write_tables
+from goldmart.sinks.writers import manifest, write_bucketed, write_csv, write_parquet, write_tables
 from goldmart.sources.bronze import read_raw_csv
 
 
@@ -135,6 +136,14 @@ def q_rating_bridge(spark, d):
     return build_movie_ratings(fr.order_links(spark, d), fr.order_ratings(spark, d, varied=True))
 
 
+def q_exact_sums(spark, d):
+    """Sums and means of ordinary doubles, to the last bit: charged amounts per supplier."""
+    li = fr.table(spark, d, "lineitem")
+    charged = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) * (F.lit(1.0) + F.col("l_tax"))
+    found = exact_groups(li, ["l_suppkey"], {"_charged": charged}, {"linhas": "l_orderkey"})
+    return found.select("l_suppkey", "linhas", F.col("_charged.total").alias("total"), F.col("_charged.mean").alias("media"))
+
+
 def q_gold_dataset(spark, d):
     return flat(order_gold(spark, d))
 
@@ -174,13 +183,19 @@ def q_describe_numeric(spark, d, gold):
                                              ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
-@_on_gold
-def q_stage_counters(spark, d, gold):
+def q_stage_counters(spark, d, gold=None):
+    """Counts of the stages. Gold is built from the same silver, unless it is handed in: each source is parsed once."""
     raw = raw_frames(spark, d)
-    s = write_silver(raw, scratch_path(spark, "silver"), {"credits": LINE_ORDER, "keywords": LINE_ORDER})
+    s = silver_tables(raw, {"credits": LINE_ORDER, "keywords": LINE_ORDER})
+    if gold is None:
+        s = {name: write_bucketed(df, scratch_path(spark, f"silver-{name}"), "id") for name, df in s.items()}
+        gold = build_gold_dataset(s["clean"], s["directors"], s["keywords"], s["ratings"])
     return profile.stage_counters(raw, s["clean"], s["directors"], s["keywords"], s["ratings"], gold)
 
 
+q_stage_counters.takes_gold = True
+
+
 def q_pipeline_counters(spark, d):
     """The counters that a whole run reports (bronze-shaped frames to written outputs)."""
     result = run_frames(
@@ -250,22 +265,18 @@ def q_gold_preview(spark, d, gold):
 
 
 def q_dirty_dates(spark, d):
-    """Dates and collections of a raw export, through cleaning and gold."""
-    raw = raw_frames(spark, d)
-    gold = build_gold_dataset(
-        clean_movies(fr.dirty_dates(raw["movies"])), build_directors(raw["credits"], order_by=LINE_ORDER),
-        build_keywords(raw["keywords"], order_by=LINE_ORDER), build_movie_ratings(raw["links"], raw["ratings"]),
-    )
-    return gold.select("id", "release_date", "release_year", "decade", "has_collection")
+    """Dates and collections of a raw export, through cleaning and gold's movie columns."""
+    return movie_columns(clean_movies(fr.dirty_dates(fr.order_movies(spark, d)))).select("id", "release_date", "release_year", "decade", "has_collection")
 
 
 _DIRTY_TEXT = ["id", "title", "adult", "budget", "revenue", "runtime", "belongs_to_collection", "overview"]
 
 
 def q_csv_ingest(spark, d):
-    """Dirty rows written as CSV and read again by the raw reader: header contract, quoting, NA tokens."""
+    """Dirty rows written as CSV and read again by the raw reader: header contract, NA tokens, and quotes, commas and line ends in
+    fields, the files read in byte ranges."""
     keys = ["l_linenumber", "l_partkey", "l_suppkey"]
-    path = write_csv(fr.dirty_movies(spark, d).select("_okey", *keys, *_DIRTY_TEXT), scratch_path(spark, "raw-csv"))
+    path = write_csv(fr.quoted_titles(fr.dirty_movies(spark, d)).select("_okey", *keys, *_DIRTY_TEXT), scratch_path(spark, "raw-csv"))
     raw = read_raw_csv(spark, path, required=_DIRTY_TEXT)
     return raw.select(F.col("_okey").cast("bigint").alias("l_orderkey"), *[F.col(k).cast("bigint").alias(k) for k in keys], *_DIRTY_TEXT)
 
@@ -280,9 +291,27 @@ def q_output_manifest(spark, d, gold):
 
 @_on_stored_gold
 def q_table_csvs(spark, d, gold):
-    """Every analytic table through the CSV sink and back: rows and columns of each file."""
-    paths = write_tables({name: build() for name, build in order_builders(gold).items()}, scratch_path(spark, "tables-csv"))
-    return profile.shapes({name: _read_csv(spark, path) for name, path in paths.items()}).withColumnRenamed("dataset", "tabela")
+    """Every analytic table through the CSV sink and back: each value, cast to its type again, as a row (table, line, column, value).
+    A line is known by its first column, for the correlations by target and feature."""
+    built = {name: build() for name, build in order_builders(gold).items()}
+    paths = write_tables(built, scratch_path(spark, "tables-csv"))
+    parts = []
+    for name, table in built.items():
+        typed = _read_csv(spark, paths[name]).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+        line = F.concat_ws("|", *[F.col(c).cast("string") for c in table.columns[:2 if name == "correlacoes_sucesso" else 1]])
+        values = F.array(*[F.struct(F.lit(f.name).alias("coluna"), _value_text(f).alias("valor")) for f in table.schema.fields])
+        parts.append(typed.select(F.lit(name).alias("tabela"), line.alias("linha"), F.explode(values).alias("v")).select("tabela", "linha", "v.*"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _value_text(field: T.StructField) -> F.Column:
+    """A value as text that both engines write alike: doubles in whole ten-thousandths."""
+    if isinstance(field.dataType, T.DoubleType):
+        return F.rint(F.col(field.name) * F.lit(10000.0)).cast("bigint").cast("string")
+    return F.col(field.name).cast("string")
 
 
 def _read_csv(spark, path):
@@ -323,6 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_matching_member": q_first_matching_member,
     "keyword_table": q_keyword_table,
     "rating_bridge": q_rating_bridge,
+    "exact_sums": q_exact_sums,
     "gold_dataset": q_gold_dataset,
     "revenue_by_genre": _table("receita_por_genero"),
     "top_directors": _table("top_diretores"),

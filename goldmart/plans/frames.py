@@ -53,6 +53,16 @@ def dirty_dates(movies: DataFrame) -> DataFrame:
     return movies.withColumns({"release_date": text, "belongs_to_collection": collection})
 
 
+def quoted_titles(movies: DataFrame) -> DataFrame:
+    """Raw movies whose titles hold quotes, commas and line ends, by part key % 5."""
+    k, t = F.col("l_partkey") % 5, F.coalesce(F.col("title"), F.lit("none"))
+    title = (
+        F.when(k == 0, F.concat(F.lit('"'), t, F.lit('"'))).when(k == 1, F.concat(t, F.lit(', the\nsecond ""line"\n')))
+        .when(k == 2, F.concat(F.lit('\n\n,"",'), t)).when(k == 3, F.concat(t, F.lit('" disk'))).otherwise(F.col("title"))
+    )
+    return movies.withColumn("title", title)
+
+
 def order_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movies-shaped raw table, one row per order."""
     li = table(spark, sf_dir, "lineitem")

@@ -372,11 +372,15 @@ DIRTY_DATES = with_gold("""SELECT id,
   CASE (id % 10) % 4 WHEN 1 THEN 1 WHEN 3 THEN has_collection ELSE 0 END AS has_collection FROM gold""")
 
 _OK = "CAST(l_orderkey AS VARCHAR)"
+# the raw title ('NA' where the line number leaves 2), then quotes, commas and line ends by part key
+_RAW_TITLE = """CASE l_linenumber % 4 WHEN 0 THEN '   ' WHEN 1 THEN '  ' || l_returnflag || '-' || l_linestatus || chr(9)
+    WHEN 3 THEN chr(160) || l_returnflag || chr(160) WHEN 2 THEN 'NA' END"""
+_QUOTED_TITLE = f"""CASE l_partkey % 5 WHEN 0 THEN '"' || {_RAW_TITLE} || '"' WHEN 1 THEN {_RAW_TITLE} || ', the' || chr(10) || 'second ""line"' || chr(10)
+    WHEN 2 THEN chr(10) || chr(10) || ',"",' || {_RAW_TITLE} WHEN 3 THEN {_RAW_TITLE} || '" disk' ELSE nullif({_RAW_TITLE}, 'NA') END"""
 CSV_INGEST = f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,
   CASE WHEN l_orderkey % 7 = 0 THEN 'x' || {_OK} WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN '000' || {_OK}
     WHEN l_orderkey % 17 = 0 THEN ' ' || {_OK} WHEN l_orderkey % 19 = 0 THEN {_OK} || '.0' ELSE {_OK} END AS id,
-  CASE l_linenumber % 4 WHEN 0 THEN '   ' WHEN 1 THEN '  ' || l_returnflag || '-' || l_linestatus || chr(9)
-    WHEN 3 THEN chr(160) || l_returnflag || chr(160) END AS title,
+  {_QUOTED_TITLE} AS title,
   CASE l_partkey % 6 WHEN 0 THEN ' TRUE ' WHEN 1 THEN 'False' WHEN 3 THEN 'junk' WHEN 4 THEN 'true' WHEN 5 THEN 'FALSE' END AS adult,
   CASE l_partkey % 5 WHEN 0 THEN '0' WHEN 1 THEN '1e3' WHEN 2 THEN ' ' || {Q} || ' ' WHEN 3 THEN {Q} || 'd' END AS budget,
   CASE WHEN l_suppkey % 4 = 0 THEN '0' ELSE {Q} || '00' END AS revenue,
@@ -384,11 +388,44 @@ CSV_INGEST = f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber
   CASE WHEN l_linenumber % 3 = 0 THEN ' ' END AS belongs_to_collection, NULL::VARCHAR AS overview
 FROM lineitem"""
 
-_TABLE_WIDTHS = {"receita_por_genero": 4, "top_diretores": 5, "filmes_por_decada": 5, "top_palavras_chave": 4, "correlacoes_sucesso": 4,
-                 "top_filmes_receita": 12, "top_filmes_roi": 12}
-TABLE_CSVS = with_gold("\nUNION ALL\n".join(
-    f"SELECT '{name}' AS tabela, count(*) AS linhas, CAST({_TABLE_WIDTHS.get(name, 8)} AS BIGINT) AS colunas FROM ({sql}) t" for name, sql in TABLES.items()
-))
+def _nearest(whole: str, units: str) -> str:
+    """The double nearest to a positive HUGEINT times 2^-units: 53 bits are kept, the rest rounds half to even."""
+    bits = f"greatest(len(list_filter(range(126), lambda j: {whole} >= (1::HUGEINT << j::INT))) - 53, 0)::INT"
+    kept, half = f"({whole} >> {bits})", f"(1::HUGEINT << greatest({bits} - 1, 0))"
+    rest = f"({whole} - ({kept} << {bits}))"
+    up = f"CASE WHEN {bits} > 0 AND ({rest} > {half} OR ({rest} = {half} AND {kept} % 2 = 1)) THEN 1 ELSE 0 END"
+    return f"({kept} + {up})::DOUBLE * pow(2.0::DOUBLE, {bits} - {units})"
+
+
+# Charged amounts lie below 2^17 and above 2^-2, so they are whole numbers of 2^-56; a mean keeps one more bit that tells of a remainder.
+EXACT_SUMS = f"""WITH x AS (SELECT l_suppkey, (l_extendedprice * (1.0::DOUBLE - l_discount) * (1.0::DOUBLE + l_tax) * 72057594037927936::DOUBLE)::HUGEINT AS u FROM lineitem),
+s AS (SELECT l_suppkey, count(*) AS linhas, sum(u) AS u FROM x GROUP BY l_suppkey),
+t AS (SELECT l_suppkey, linhas, u, (u // linhas) * 2 + CASE WHEN u % linhas > 0 THEN 1 ELSE 0 END AS m FROM s)
+SELECT l_suppkey, linhas, {_nearest('u', '56')} AS total, {_nearest('m', '57')} AS media FROM t"""
+
+_SUMMARY = "qtd_filmes receita_total_bi* receita_media_mi* receita_mediana_mi* roi_medio* nota_metadata_media* nota_usuarios_media*"
+_TOP = "title release_year primary_genre director revenue* budget* profit* roi* vote_average* user_rating_avg* vote_count* user_rating_count"
+# columns of the analytic tables; * marks doubles
+_TABLE_COLUMNS = {
+    "receita_por_genero": "primary_genre receita_total_bi* receita_media_mi* qtd_filmes",
+    "top_diretores": "director receita_total_bi* nota_metadata_media* nota_usuarios_media* qtd_filmes",
+    "filmes_por_decada": "decade qtd_filmes nota_metadata_media* nota_usuarios_media* duracao_media*",
+    "top_palavras_chave": "keyword qtd_filmes receita_media_mi* nota_usuarios_media*",
+    "correlacoes_sucesso": "target feature correlation* sample_size", "top_filmes_receita": _TOP, "top_filmes_roi": _TOP,
+    "resumo_sucesso_por_genero": f"primary_genre {_SUMMARY}", "resumo_sucesso_por_diretor": f"director {_SUMMARY}",
+    "resumo_sucesso_por_decada": f"decade {_SUMMARY}", "resumo_sucesso_por_palavra_chave": f"keyword {_SUMMARY}",
+}
+
+
+def _table_values(name: str, sql: str) -> str:
+    columns = _TABLE_COLUMNS[name].split()
+    line = "target || '|' || feature" if name == "correlacoes_sucesso" else f"{columns[0]}::VARCHAR"
+    text = lambda c: f"round_even({c[:-1]} * 10000::DOUBLE, 0)::BIGINT::VARCHAR" if c.endswith("*") else f"{c}::VARCHAR"
+    values = ", ".join(f"{{'coluna': '{c.rstrip('*')}', 'valor': {text(c)}}}" for c in columns)
+    return f"SELECT '{name}' AS tabela, linha, v.coluna AS coluna, v.valor AS valor FROM (SELECT {line} AS linha, unnest([{values}]) AS v FROM ({sql}) t)"
+
+
+TABLE_CSVS = with_gold("\nUNION ALL\n".join(_table_values(name, sql) for name, sql in TABLES.items()))
 OUTPUT_MANIFEST = "\nUNION ALL\n".join(
     f"SELECT '{name}' AS arquivo, true AS preenchido" for name in ["filmes_processados.csv", "filmes_processados_parquet", *[f"{t}.csv" for t in TABLES]]
 )
@@ -410,6 +447,7 @@ SQL: dict[str, str] = {
     "first_matching_member": FIRST_MATCHING_MEMBER,
     "keyword_table": KEYWORD_TABLE,
     "rating_bridge": RATING_BRIDGE,
+    "exact_sums": EXACT_SUMS,
     "gold_dataset": GOLD_DATASET,
     "revenue_by_genre": with_gold(REVENUE_BY_GENRE),
     "top_directors": with_gold(TOP_DIRECTORS),

@@ -13,7 +13,7 @@ from goldmart.operators import feeds, marts, profile
 from goldmart.operators.clean import clean_movies
 from goldmart.operators.gold import build_gold_dataset
 from goldmart.operators.silver import build_movie_ratings, first_directors, first_keywords, parse_credits, parse_genres, parse_keywords
-from goldmart.sinks.writers import manifest, write_csv, write_parquet, write_tables
+from goldmart.sinks.writers import manifest, write_bucketed, write_csv, write_parquet, write_tables
 from goldmart.sources.bronze import load_raw_datasets
 
 
@@ -22,7 +22,8 @@ def write_silver(
 ) -> dict[str, DataFrame]:
     """Write the silver stages below ``out_dir`` and read them back. ``credits`` and ``keyword_rows`` are the parsed
     rows before the dedup, with their ``malformed`` flags: every counter is taken from a written table, so a
-    stage that runs again after a lost executor cannot count twice."""
+    stage that runs again after a lost executor cannot count twice. The four tables that gold joins are bucketed by id alike, so the
+    joins need no shuffle."""
     by = dict(order_by or {})
     out = out_dir.rstrip("/")
     spark = raw["movies"].sparkSession
@@ -32,13 +33,24 @@ def write_silver(
 
     credits = written("credits", parse_credits(raw["credits"], by.get("credits")))
     keyword_rows = written("keyword_rows", parse_keywords(raw["keywords"], by.get("keywords")))
+    tables = silver_tables(raw, by, null_title, credits, keyword_rows)
+    return {"credits": credits, "keyword_rows": keyword_rows, **{name: write_bucketed(df, f"{out}/{name}", "id") for name, df in tables.items()}}
+
+
+def silver_tables(
+    raw: Mapping[str, DataFrame], order_by: Mapping[str, Sequence[str]], null_title: str = "drop",
+    credits: DataFrame | None = None, keyword_rows: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """The four tables that gold joins, one row per id each, not written; ``credits`` and ``keyword_rows`` are the parsed rows, if they are
+    stored already."""
+    by = dict(order_by)
+    credits = parse_credits(raw["credits"], by.get("credits")) if credits is None else credits
+    keyword_rows = parse_keywords(raw["keywords"], by.get("keywords")) if keyword_rows is None else keyword_rows
     return {
-        "clean": written("clean", parse_genres(clean_movies(raw["movies"], order_by=by.get("movies"), null_title=null_title))),
-        "credits": credits,
-        "keyword_rows": keyword_rows,
-        "directors": written("directors", first_directors(credits, by.get("credits"))),
-        "keywords": written("keywords", first_keywords(keyword_rows, by.get("keywords"))),
-        "ratings": written("ratings", build_movie_ratings(raw["links"], raw["ratings"], order_by=by.get("links"))),
+        "clean": parse_genres(clean_movies(raw["movies"], order_by=by.get("movies"), null_title=null_title)),
+        "directors": first_directors(credits, by.get("credits")),
+        "keywords": first_keywords(keyword_rows, by.get("keywords")),
+        "ratings": build_movie_ratings(raw["links"], raw["ratings"], order_by=by.get("links")),
     }
 
 
@@ -128,10 +140,12 @@ def run_frames(
         )
 
     # The keys of the summaries below.
-    counted = profile.stage_counters(raw, silver["clean"], silver["directors"], silver["keywords"], silver["ratings"], gold)
+    # raw is counted once: these few rows are collected and serve all that follows
     raw_rows = {r["dataset"]: r["linhas"] for r in profile.shapes(raw).collect()}
+    counted = profile.stage_counters(raw, silver["clean"], silver["directors"], silver["keywords"], silver["ratings"], gold, raw_rows=raw_rows)
+    counter_rows = counted.collect()
     stage_summary: dict = {}
-    for r in counted.collect():
+    for r in counter_rows:
         stage_summary.setdefault(r["etapa"], {})[r["indicador"]] = r["valor"]
     stage_summary["fontes"]["arquivos"] = list(K.REQUIRED_RAW_FILES.values())
     stage_summary["carregamento"] = {
@@ -156,7 +170,7 @@ def run_frames(
             for name, df in raw.items()
         ],
         "stage_summary": stage_summary,
-        "stage_counters": counted,
+        "stage_counters": spark.createDataFrame(counter_rows, counted.schema),
         "silver": silver,
         "output_summary": {"processed_dir": out, "arquivos_saida": paths, "graficos": feed_paths},
         # inspection views, lazy: nothing runs unless a caller asks for them

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,23 @@ def write_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in ``buckets`` files by the hash of ``key``, sorted by it, and read it back: tables
+    bucketed alike are joined and grouped on the key without a shuffle. The default is the session's number of shuffle partitions, so a frame that a
+    window or an aggregate has just dealt out by the key is written as it lies, a file for each bucket.
+
+    Spark keeps the bucketing in its catalogue only, so the table is entered under a name of its own and taken out once the returned
+    frame is resolved; its files stay."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"goldmart_bucketed_{uuid.uuid4().hex}"
+    df.write.format("parquet").mode("overwrite").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """Header, no index. Sorted frames keep their order across part files (range partitions).
     ``single_file`` only for tables whose size is bounded by construction."""
