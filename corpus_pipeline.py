@@ -1,7 +1,14 @@
 """The corpus pipeline: documents through the stages in order, each written and read again.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
-of ``documents``.
+of ``documents``, each with the values it came with: a column that is named like a verdict (``score``, ``predicted``, ``lang_pred``, ``rejected``,
+in any case) passes through, since the stages judge copies under names of their own.
+
+Cases, for all stages: a null text counts as empty; texts of any length are read whole; repeated rows are judged alike, one by one, and a
+repeated document counts as a copy in the near-duplicate stage; an empty table gives an empty result. What becomes of a row with a null or empty
+text: the toxicity stage keeps it (no evidence), the language stage drops it (no letter), the near-duplicate stage keeps one of all empty ones, the
+mixing stage weighs it with no tokens, the last stage gives it no ids. Ties: equal scores are judged alike; of a near-duplicate group the smallest
+doc_id stays, a null id last; copies made by the mixing stage are equal rows.
 """
 
 from __future__ import annotations
@@ -19,18 +26,23 @@ from goldmart.llm.common import crc_fold, table  # noqa: E402
 from goldmart.session import materialize  # noqa: E402
 
 
+def judged(docs: DataFrame, judge, verdict: str) -> DataFrame:
+    """The rows of ``docs`` for which ``verdict`` holds on ``judge(rows, text column)``; columns come back untouched."""
+    hidden = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    kept = judge(hidden, f"c{docs.columns.index('text')}").where(verdict)
+    return kept.select(*hidden.columns).toDF(*docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.7, learned from the labels of the documents table."""
     model = toxicity.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_fold("doc_id", 3) != 1)
-    names = docs.columns
-    return toxicity.score_texts(docs, model).where("predicted = 0").select(*names)
+    return judged(docs, lambda rows, text: toxicity.score_texts(rows, model, text=text), "predicted = 0")
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has letters and fits a learned language."""
     model = langid.learn(table(spark, sf_dir, "documents"), crc_fold("doc_id", 4) != 2)
-    names = docs.columns
-    return langid.predict(docs, model).where("not rejected").select(*names)
+    return judged(docs, lambda rows, text: langid.predict(rows, model, text=text), "not rejected")
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
