@@ -11,7 +11,8 @@ shuffle, however many such groups there are. A larger group is answered by selec
    every bucket in a task of its own.
 
 Rows meet the bounds of their group on (group, salt), so a group with a third of all rows is spread
-over ``SALTS`` tasks. Both ways are exact; which one a group takes depends on its own size only.
+over ``SALTS`` tasks. Both ways are exact; which one a group takes depends on its own size only. A group below ``min_count`` is dropped once its few
+values lie together: dropping it earlier would take the same shuffle.
 """
 
 from __future__ import annotations
@@ -94,13 +95,14 @@ def grouped_quantiles(
     keys, names = list(keys), list(names) if names else [f"q{i}" for i in range(len(fracs))]
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    # at most one key for every local_rows rows of the input
-    large = F.broadcast(sizes.where(F.col("_size") > F.lit(local_rows)).select(*keys))
-    small = base.join(large, keys, "left_anti").groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_all"))
+    # rows meet the large keys on (keys, salt): no task gets a whole hot group, however the planner joins
+    large = sizes.where(F.col("_size") > F.lit(local_rows)).select(*keys, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salted = base.withColumn("_salt", F.pmod(F.xxhash64("_v") + F.spark_partition_id(), F.lit(SALTS)).cast("int"))
+    small = salted.join(large, [*keys, "_salt"], "left_anti").groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_all"))
     small = small.withColumn("_n", F.size("_all").cast("bigint")).where(F.col("_n") >= F.lit(min_count))
     at = lambda rank: F.get(F.col("_all"), rank((F.col("_n") - F.lit(1)) * F.lit(float(f))).cast("int"))
     columns = []
     for f, name in zip(fracs, names):
         columns.append(_interpolate(at(F.floor), at(F.ceil), F.col("_n"), f, midpoint_mean).alias(name))
     small = small.select(*keys, *columns)
-    return small.unionByName(_selected(base.join(large, keys, "left_semi"), keys, fracs, names, midpoint_mean, levels, accuracy))
+    return small.unionByName(_selected(salted.join(large, [*keys, "_salt"], "left_semi").drop("_salt"), keys, fracs, names, midpoint_mean, levels, accuracy))

@@ -13,7 +13,8 @@ from goldmart.operators import feeds, marts, profile
 from goldmart.operators.clean import clean_movies
 from goldmart.operators.gold import build_gold_dataset
 from goldmart.operators.silver import build_movie_ratings, first_directors, first_keywords, parse_credits, parse_genres, parse_keywords
-from goldmart.sinks.writers import manifest, write_bucketed, write_csv, write_parquet, write_tables
+from goldmart.sinks.versions import publish
+from goldmart.sinks.writers import BOUNDED_TABLES, manifest, write_bucketed, write_csv, write_parquet
 from goldmart.sources.bronze import load_raw_datasets
 
 
@@ -68,12 +69,14 @@ def malformed_counts(silver: Mapping[str, DataFrame]) -> dict[str, int]:
 
 
 def save_outputs(out_dir: str, gold: DataFrame, tables: Mapping[str, DataFrame], gold_written: str | None = None) -> dict[str, str]:
-    """Gold as Parquet (replaced each run) and CSV, every analytic table as CSV; returns paths.
+    """Gold as Parquet and CSV, every analytic table as CSV, each published as a new version (``goldmart.sinks.versions``): whoever reads
+    an output meets the old one or the whole new one. Returns the new versions' folders.
     ``gold_written``: the Parquet already holds this gold, do not write it again."""
     out = out_dir.rstrip("/")
-    paths = {"filmes_processados_parquet": gold_written or write_parquet(gold, f"{out}/filmes_processados_parquet")}
-    paths["filmes_processados_csv"] = write_csv(gold, f"{out}/filmes_processados.csv")
-    paths.update(write_tables(tables, out))
+    paths = {"filmes_processados_parquet": gold_written or publish(gold, f"{out}/filmes_processados_parquet", write_parquet)}
+    paths["filmes_processados_csv"] = publish(gold, f"{out}/filmes_processados.csv", write_csv)
+    for name, df in tables.items():
+        paths[name] = publish(df, f"{out}/{name}.csv", lambda table, folder, one=name in BOUNDED_TABLES: write_csv(table, folder, single_file=one))
     return paths
 
 
@@ -98,7 +101,10 @@ def chart_feeds(
 def save_chart_feeds(out_dir: str, frames: Mapping[str, DataFrame]) -> dict[str, str]:
     feed_dir = f"{out_dir.rstrip('/')}/visualizacoes"
     bounded = ("orcamento_vs_receita_diagonal", "correlacoes_sucesso")
-    return {name: write_csv(df, f"{feed_dir}/{name}.csv", single_file=name in bounded) for name, df in frames.items()}
+    return {
+        name: publish(df, f"{feed_dir}/{name}.csv", lambda feed, folder, one=name in bounded: write_csv(feed, folder, single_file=one))
+        for name, df in frames.items()
+    }
 
 
 def run_frames(
@@ -117,7 +123,7 @@ def run_frames(
     out = out_dir.rstrip("/")
     silver = write_silver(raw, f"{out}/silver", order_by, null_title)
     gold_plan = build_gold_dataset(silver["clean"], silver["directors"], silver["keywords"], silver["ratings"])
-    gold_path = write_parquet(gold_plan, f"{out}/filmes_processados_parquet")
+    gold_path = publish(gold_plan, f"{out}/filmes_processados_parquet", write_parquet)
     malformed = malformed_counts(silver)
     gold = spark.read.parquet(gold_path)
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldmart.sinks.versions import PREFIX
+
 # Tables with a fixed row bound, written as one part file each.
 BOUNDED_TABLES = ("correlacoes_sucesso", "top_filmes_receita", "top_filmes_roi")
 
@@ -66,8 +68,8 @@ def write_tables(tables: Mapping[str, DataFrame], out_dir: str, bounded: Iterabl
 
 
 def manifest(spark: SparkSession, outputs: Iterable[str]) -> DataFrame:
-    """(arquivo, bytes): one line per written output (a folder of part files) with its name and total size,
+    """(arquivo, bytes): one line per written output (a folder of part files, or a version of one) with its name and total size,
     largest first. File contents are never read (the content column is pruned)."""
     files = spark.read.format("binaryFile").load(list(outputs)).select("path", F.col("length").alias("bytes"))
-    name = F.regexp_extract("path", r"([^/]+)/[^/]+\z", 1)
+    name = F.regexp_extract("path", rf"([^/]+)/(?:{PREFIX}[^/]+/)?[^/]+\z", 1)
     return files.groupBy(name.alias("arquivo")).agg(F.sum("bytes").alias("bytes")).orderBy(F.desc("bytes"), F.asc("arquivo"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from goldmart.constants import REQUIRED_COLUMNS, REQUIRED_RAW_FILES
@@ -29,10 +30,13 @@ def validate_columns(df: DataFrame, dataset_name: str, required=None) -> DataFra
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    try:
+        spark.read.text(path).columns
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def require_files(spark: SparkSession, raw_dir: str, files: dict[str, str] | None = None) -> dict[str, str]:
