@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches of content-cut paragraphs.
 
 The units of a text are its words (a run of more than ``RUN`` characters: its characters). A paragraph of level L is a stretch of
-units that ends after each unit whose hash with the next one is a multiple of 2^L, and after ``STRETCH`` 2^L units at the latest;
+units that ends after each unit whose hash with the next ``AHEAD`` - 1 is a multiple of 2^L, and after ``STRETCH`` 2^L units at the latest;
 so paragraphs do not depend on places, and an insertion changes those around it only. A text of ``LEAST`` to 2 ``LEAST``
 units has its paragraphs of levels 0 and 1, one of twice as many those of levels 1 and 2, and so on: every text has some tens of
 paragraphs, and texts whose sizes differ by a factor of two still share a level. A text of fewer units has the
@@ -15,7 +15,7 @@ other cells, and so on until nothing is left: what was noted are the differing d
 number gives the likeness (shared / all distinct paragraphs).
 
 The fingerprint is the sketch of ``BASE_WIDTH`` cells a row. Two fingerprints are subtracted and peeled first, which suffices for near
-copies. When peeling stops early, larger sketches follow: the digests are split by their high bits into parts of about ``PART``, with a
+copies. When peeling stops early, larger sketches follow: the digests are split by their high bits into parts of about ``PART`` (one that only one text has differs as a whole), with a
 sketch of ``FIRST_WIDTH`` cells a row each, and a part that does not peel is sketched again with twice the cells and other hashes, ``ATTEMPTS`` times.
 A part that even the last sketch (64 times the first cells) cannot peel, which takes two digests that agree in 24 bits under six hashes, is compared digest by digest.
 
@@ -35,8 +35,8 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RUN, LEAST, STRETCH = 32, 24, 4
-PART, BASE_WIDTH, FIRST_WIDTH, ATTEMPTS = 4, 4, 4, 7
+RUN, LEAST, STRETCH, AHEAD = 32, 24, 4, 4
+PART, BASE_WIDTH, FIRST_WIDTH, ATTEMPTS = 2, 4, 4, 7
 ROWS_A_BUCKET, MAX_BUCKETS, SAMPLE_A_BUCKET = 5000, 20_000, 20
 _ROWS = 3
 _DIGESTS, _FOUND = "array<bigint>", "array<struct<n:int,key:bigint>>"
@@ -71,7 +71,7 @@ def _groups(u: Column, ends: Column, size: Column) -> Column:
 
 def _two_levels(u: Column, size: Column) -> Column:
     """Digests of the stretches that end at hashes divisible by ``size`` (a power of two), and by twice that."""
-    hashed = F.transform(u, lambda w, i: F.xxhash64(w, F.get(u, i + 1)))
+    hashed = F.transform(u, lambda w, i: F.xxhash64(w, *[F.get(u, i + k) for k in range(1, AHEAD)]))
     last = F.size(u)
     ends = lambda h, n: F.filter(F.sequence(F.lit(1), last), lambda i: (i == last) | (F.get(h, i - 1).bitwiseAND(n - 1) == 0))
     return let(hashed, lambda h: let(ends(h, size), lambda fine: F.concat(
@@ -177,7 +177,9 @@ def difference(a: Column, b: Column) -> Column:
         return F.when(many > 0, F.slice(digests, F.array_position(of, p).cast("int"), many)).otherwise(F.array().cast(_DIGESTS))
 
     def over_parts(n, of_a, of_b):
-        return F.aggregate(F.array_distinct(F.concat(of_a, of_b)), F.lit(0), lambda total, p: total + let(
+        # a part that only one text has differs as a whole
+        alone = F.size(F.filter(of_a, lambda p: ~F.array_contains(of_b, p))) + F.size(F.filter(of_b, lambda p: ~F.array_contains(of_a, p)))
+        return F.aggregate(F.array_intersect(of_a, of_b), alone, lambda total, p: total + let(
             cut(a, of_a, p), lambda x: let(cut(b, of_b, p), lambda y: part_difference(x, y))))
 
     return let(bits, lambda n: let(part(a, n), lambda of_a: let(part(b, n), lambda of_b: over_parts(n, of_a, of_b))))
