@@ -10,33 +10,38 @@ cross-entropies at a sharpness fitted on held-back sample documents, and ``rejec
 text that is worse than nine in ten of those documents of its language by more than a margin that widens for short texts, so that
 a few mislabelled documents do not loosen it.
 
-Learning uses at most ``per_language`` documents of each language (those with the smallest hash of
-doc_id) and of these the ``vocabulary`` most frequent words: a documented bound on the driver's work.
+Learning uses at most ``per_language`` documents of each language (the distinct ids with the smallest hash; of an id with
+several texts the one with the smallest hash), a documented bound; of these it takes whole texts and every word. Words, n-grams and the
+Kneser-Ney counts are aggregates of Spark; only the counts of each order's distinct n-grams come to the driver, one order at a time.
 Prediction reads whole texts, batch by batch, and scores each distinct word of a task once.
 
-Cases: null texts and texts without a letter are ``und`` with score 0 and rejected; a null language
-is not learned; with nothing learned every text is ``und``; ties go to the first language by name;
+A word is what is left of a white-space separated piece in lower case without anything but letters and the marks that follow them, in learning
+and in prediction alike.
+
+Cases: null texts and texts without a letter (numerals are none) are ``und`` with score 0 and rejected; rows with a null language or a null
+id are not learned; with nothing learned every text is ``und``; ties go to the first language by name;
 repeated rows are predicted one by one; columns named like an output are replaced.
 """
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldmart.llm.chargrams import TokenCache, find, hashes, scored_texts, spell
-from goldmart.llm.common import appended, ship
+from goldmart.llm.common import appended, ship, slices
 from goldmart.session import materialize
 
-PER_LANGUAGE, VOCABULARY, ORDER = 800, 40_000, 4
+PER_LANGUAGE, ORDER = 800, 4
 # A language's limit is this quantile of its held-back entropies and a margin: mislabelled documents up to the rest do not move it.
 LIMIT_QUANTILE, LIMIT_MARGIN = 0.9, 1.25
-_NO_LETTER = re.compile(r"[\W\d_]+")
+_NO_LETTER = regex.compile(r"[^\p{L}\p{M}]+|(?<![\p{L}\p{M}])\p{M}+")
 _OUT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
 
 
@@ -62,38 +67,68 @@ def _per_group(index, size, values):
     return np.stack([np.bincount(index, weights=column, minlength=size) for column in values.T], axis=1)
 
 
-def fit(words: list[str], lang_of, counts, langs: list[str], order: int = ORDER) -> Model:
-    """Kneser-Ney models from distinct (word, language) pairs with their counts."""
+def letters(piece: str) -> str:
+    """The letters of a piece with their marks."""
+    return _NO_LETTER.sub("", piece)
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(lang, word, n) of rows (lang, text): the words that prediction would see."""
+
+    def run(batches):
+        for batch in (part for whole in batches for part in slices(whole, 1)):
+            counts = Counter()
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts.update((lang, piece) for piece in (text or "").lower().split())
+            found = [(lang, letters(piece), n) for (lang, piece), n in counts.items()]
+            found = [f for f in found if f[1]]
+            columns = list(zip(*found)) if found else [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
+
+    return rows.select("lang", "text").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def gram_counts(words: DataFrame, order: int = ORDER) -> DataFrame:
+    """(size, gram, lang, n): the Kneser-Ney count of every n-gram of up to ``order`` characters of (lang, word, n). The longest, and those at a
+    word's begin, count how often they occur; the others in how many longer n-grams they end."""
+    marked = words.select("lang", "n", F.concat(F.lit("\x02"), "word", F.lit("\x03")).alias("w"))
+    ends = F.sequence(F.lit(1), F.lit(order))
+    places = F.flatten(F.transform(ends, lambda size: F.transform(
+        F.sequence(F.greatest(size, F.lit(2)), F.char_length("w")), lambda end: F.struct(size.alias("size"), F.substring(F.col("w"), end - size + 1, size).alias("gram")))))
+    # a word's marks make it three characters at least; longer n-grams than that have no place in the shortest
+    fits = F.filter(places, lambda p: F.char_length(p["gram"]) == p["size"])
+    seen = marked.select("lang", "n", F.explode(fits).alias("p")).groupBy("p.size", "p.gram", "lang").agg(F.sum("n").alias("n"))
+    seen = materialize(seen, "langid-grams")
+    at_begin = F.substring("gram", 1, 1) == "\x02"
+    kinds = seen.where("size > 1").select((F.col("size") - 1).alias("size"), F.expr("substring(gram, 2)").alias("gram"), "lang").groupBy("size", "gram", "lang").agg(F.count(F.lit(1)).alias("n"))
+    return seen.where((F.col("size") == order) | at_begin).unionByName(kinds.where(~at_begin))
+
+
+def fit(counts, langs: list[str], alphabet: int, order: int = ORDER) -> Model:
+    """Kneser-Ney models from ``counts``: a function that gives (n-grams, language numbers, counts) of a size."""
     import numpy as np
 
-    codes, owner, pos = spell(words)
     width = len(langs)
-    lang, weight = np.asarray(lang_of)[owner], np.asarray(counts, np.float64)[owner]
-    alphabet = len(np.unique(codes)) + 1
     grams, logp, contexts, logbow, lower = [], [], [], [], None
     floor = np.zeros(width)
-    shorter, now = None, hashes(codes, 1)  # hashes of the n-grams of orders n - 1 and n that end at each place
     for n in range(1, order + 1):
-        longer_now = hashes(codes, n + 1) if n < order else None
-        here = np.flatnonzero(pos >= max(1, n - 1))
-        keys, first, inverse = np.unique(now[here], return_index=True, return_inverse=True)
+        texts, lang, number = counts(n)
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64) + np.uint64(1)
+        del texts
+        keys, first, at = np.unique(hashes(codes, n)[n - 1::n], return_index=True, return_inverse=True)
         count = np.zeros((len(keys), width))
-        raw = (pos[here] == n - 1) if n < order else np.ones(len(here), bool)  # nothing precedes a word's begin
-        np.add.at(count, (inverse[raw], lang[here[raw]]), weight[here[raw]])
-        if n < order:
-            longer = np.flatnonzero(pos >= n)
-            by_lang = longer_now[longer] + lang[longer].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            kinds = longer[np.unique(by_lang, return_index=True)[1]]
-            np.add.at(count, (np.searchsorted(keys, now[kinds]), lang[kinds]), 1.0)
-        example = here[first]
-        context = shorter[example - 1] if n > 1 else np.zeros(len(keys), np.uint64)
+        np.add.at(count, (at, lang), number)
+        # of each n-gram, all but its last character and all but its first
+        context = hashes(codes, n - 1)[n - 2::n][first] if n > 1 else np.zeros(len(keys), np.uint64)
+        suffix = hashes(codes, n - 1)[n - 1::n][first] if n > 1 else None
+        del codes, at
         context_keys, of = np.unique(context, return_inverse=True)
         total, kinds_after = _per_group(of, len(context_keys), count), _per_group(of, len(context_keys), (count > 0).astype(float))
         ones, twos = (count == 1).sum(axis=0), (count == 2).sum(axis=0)
         discount = np.where(ones > 0, ones / np.maximum(ones + 2 * twos, 1), 0.5)
         rest = np.where(total > 0, discount * kinds_after / np.maximum(total, 1e-300), 1.0)
         rest = np.maximum(rest, 1e-9)
-        below = lower[1][find(lower[0], shorter[example])] if n > 1 else np.full((len(keys), width), 1.0 / alphabet)
+        below = lower[1][find(lower[0], suffix)] if n > 1 else np.full((len(keys), width), 1.0 / alphabet)
         p = np.where(total[of] > 0, np.maximum(count - discount, 0) / np.maximum(total[of], 1e-300), 0.0) + rest[of] * below
         if n == 1:
             floor = np.log(rest[0] / alphabet) if len(rest) else floor
@@ -101,7 +136,7 @@ def fit(words: list[str], lang_of, counts, langs: list[str], order: int = ORDER)
         logp.append(np.log(p).astype(np.float32))
         contexts.append(context_keys)
         logbow.append(np.log(rest).astype(np.float32))
-        lower, shorter, now = (keys, p), now, longer_now
+        lower = (keys, p)
     return Model(list(langs), order, grams, logp, contexts, logbow, floor)
 
 
@@ -110,7 +145,7 @@ def word_scores(model: Model, tokens):
     the letters and the word's end; 0 for a token without letters."""
     import numpy as np
 
-    words = [_NO_LETTER.sub("", t) for t in tokens]
+    words = [letters(t) for t in tokens]
     codes, owner, pos = spell(words)
     width = len(model.langs)
     out = np.zeros((len(codes), width))
@@ -176,33 +211,38 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 def learn(
     docs: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
-    per_language: int = PER_LANGUAGE, vocabulary: int = VOCABULARY, order: int = ORDER,
+    per_language: int = PER_LANGUAGE, order: int = ORDER,
 ) -> Model:
     """Fit and calibrate on the documents where ``usable`` holds; see the module text for the bounds."""
     import numpy as np
 
     key = F.xxhash64(F.col("id"), F.lit("langid"))
     rows = docs.where(usable).select(docs[f"`{id_col}`"].alias("id"), docs[f"`{lang}`"].alias("lang"), docs[f"`{text}`"].alias("text"))
-    rows = rows.where("lang is not null")
+    rows = rows.where("lang is not null and id is not null")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(key, "id"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # a row for each language
+    ids = rows.select("id", "lang").distinct()
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # a row for each language
     part = F.pmod(key, F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = rows.select("id", "lang").join(F.broadcast(sizes), "lang").where(part * F.col("n") < 4 * per_language)
-    chosen = drawn.select("id", "lang").distinct().withColumn("nth", nth).where(F.col("nth") <= per_language)
-    sample = rows.join(F.broadcast(chosen.select("id", "lang", "nth")), ["id", "lang"]).dropDuplicates(["lang", "nth"])
+    drawn = ids.join(F.broadcast(sizes), "lang").where(part * F.col("n") < 4 * per_language)
+    chosen = drawn.select("id", "lang").withColumn("nth", nth).where(F.col("nth") <= per_language)
+    sample = rows.join(F.broadcast(chosen), ["id", "lang"]).groupBy("lang", "nth").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     sample = materialize(sample, "langid-sample")
     held = (F.col("nth") % 5) == 0
 
-    words = sample.where(~held | (F.col("nth") < 5)).select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
-    words = words.select("lang", F.regexp_replace("word", r"[^\p{L}\p{M}]+", "").alias("word")).where("word <> ''")
-    words = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    table = words.withColumn("rank", rank).where(F.col("rank") <= vocabulary).select("lang", "word", "n").toPandas()
-    langs = sorted(table["lang"].unique())
-    table = table.sort_values(["lang", "word"])
+    grams = materialize(gram_counts(word_counts(sample.where(~held | (F.col("nth") < 5))), order), "langid-counts")
+    langs = sorted(r["lang"] for r in grams.select("lang").distinct().collect())
     if not langs:
         return Model([], order, [], [], [], [], np.zeros(0), limits=np.zeros(0))
-    model = fit(table["word"].tolist(), table["lang"].map({l: i for i, l in enumerate(langs)}).to_numpy(np.int64), table["n"].to_numpy(), langs, order)
+    place = {name: i for i, name in enumerate(langs)}
+
+    def counts(n):
+        found = grams.where(F.col("size") == n).select("gram", "lang", "n").orderBy("gram", "lang").toArrow()
+        of = found.column("lang").combine_chunks().dictionary_encode()
+        return found.column("gram").to_pylist(), np.array([place[name] for name in of.dictionary.to_pylist()])[of.indices.to_numpy()], found.column("n").to_numpy()
+
+    # the characters, the begin mark and one for all unseen
+    alphabet = grams.where("size = 1").select("gram").distinct().count() + 2
+    model = fit(counts, langs, alphabet, order)
     model.limits = np.full(len(langs), np.log(len(model.grams[0]) + 1.0))  # without held-back documents: no better than chance
     _calibrate(model, sample.where(held).select("lang", "text"))
     return model

@@ -39,6 +39,7 @@ LEAST_MOVE, STEPS_A_TABLE = 1e-7, 25
 # After so many plain steps, steps by the Gram matrix of the documents with a rate above 0 are tried first.
 PLAIN_STEPS = 40
 MAX_RATE = float("inf")
+CHUNK = 10_000
 SMOOTHING = 0.5
 
 
@@ -167,11 +168,13 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col:
 
 def mix(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with every row repeated by its rate: the whole part always, the rest by a hash of the id.
-    Rows with rate 0 go; columns are unchanged."""
+    Rows with rate 0 go; columns are unchanged. Copies are made ``CHUNK`` at a time, so a large rate costs no large array."""
     draw = F.pmod(F.xxhash64(F.col("__id"), F.col("__key"), F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     keyed = docs.withColumns({"__id": F.col(f"`{id_col}`"), "__key": F.xxhash64(F.col(f"`{text}`"))})
     rate = found.select(F.col("id").alias("__of"), F.col("text_key").alias("__of_key"), F.col("rate").alias("__rate"))
     joined = keyed.join(rate, keyed["__id"].eqNullSafe(rate["__of"]) & (keyed["__key"] == rate["__of_key"]))
-    times = (F.floor("__rate") + (draw < F.col("__rate") - F.floor("__rate")).cast("int")).cast("int")
-    repeated = joined.withColumn("__n", times).where("__n > 0").withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+    whole = F.floor("__rate").cast("long")
+    times = whole + (draw < F.col("__rate") - whole).cast("long")
+    chunks = joined.withColumn("__n", times).where("__n > 0").withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(CHUNK).cast("long"))))
+    repeated = chunks.withColumn("__i", F.explode(F.sequence(F.col("__from"), F.least(F.col("__from") + CHUNK, F.col("__n")) - 1)))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -3,14 +3,14 @@
 A word is the mean of its character n-gram vectors (3 to 5 characters with word begin and end,
 and the word itself), so a misspelling that was never seen shares vectors with the words it resembles. A
 window of ``WINDOW`` words is the mean of its word vectors (short windows are filled up to ``LEAST`` words with
-zeros) and goes through a linear softmax; vectors and softmax are trained jointly. A text's score is that of its
+zeros) and goes through a linear softmax; vectors and softmax are trained jointly. Windows overlap by half, in training and in scoring. A text's score is that of its
 most toxic window, put on a probability scale by a logistic fit on held-back sample documents: one insult weighs
 the same in a long text as in a short one.
 
 Training needs window labels but has document labels: all windows of a toxic document start as
 toxic; after the warm-up only its most toxic window stays so. It uses at most ``max_toxic`` and
-``max_clean`` labelled documents (those with the smallest hash of doc_id), of each at most ``MAX_WINDOWS``
-windows spread evenly: a documented bound on the driver's work. Scoring reads whole texts, batch by batch;
+``max_clean`` labelled documents (the distinct ids with the smallest hash; of an id with several texts the one with the smallest hash), a documented
+bound on the driver's work, and all windows of these. Scoring reads whole texts, batch by batch;
 since mean and softmax are linear, a task scores each distinct word once.
 
 Cases: null and empty texts get the score of no evidence; null labels and ids are not learned;
@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldmart.llm.chargrams import TokenCache, find, hashes, scored_texts, spell
-from goldmart.llm.common import appended, ship
+from goldmart.llm.common import appended, ship, slices
 
-WINDOW, LEAST, MAX_WINDOWS = 16, 16, 28
-MAX_TOXIC, MAX_CLEAN, DIM = 1500, 4000, 8
+WINDOW, STEP, LEAST = 16, 8, 16
+MAX_TOXIC, MAX_CLEAN, DIM = 800, 1600, 8
 ORDERS = (3, 4, 5)
 THRESHOLD = 0.7
 _MARKS = re.compile(r"[\W_]+")
@@ -88,10 +88,13 @@ def top_window(numbers, rows, bias: float) -> float:
 
     if not len(numbers):
         return bias
-    span = np.arange(len(numbers)) // WINDOW
-    once = np.unique(span * len(rows) + numbers)
-    sums = np.add.reduceat(rows[once % len(rows)], np.searchsorted(once, np.arange(span[-1] + 1) * len(rows)), axis=0)
-    return float((sums[:, 0] / np.maximum(sums[:, 1], LEAST)).max() + bias)
+    tops = []
+    for start in range(0, min(WINDOW, len(numbers)), STEP):
+        span = np.arange(len(numbers) - start) // WINDOW
+        once = np.unique(span * len(rows) + numbers[start:])
+        sums = np.add.reduceat(rows[once % len(rows)], np.searchsorted(once, np.arange(span[-1] + 1) * len(rows)), axis=0)
+        tops.append((sums[:, 0] / np.maximum(sums[:, 1], LEAST)).max())
+    return float(max(tops) + bias)
 
 
 def scores(model: Model | None, texts, cache):
@@ -119,19 +122,14 @@ def score_texts(df: DataFrame, model: Model | None, text: str = "text", threshol
 
 
 def _windows(rows: DataFrame) -> DataFrame:
-    """(doc, toxic, words): up to MAX_WINDOWS windows of each text, spread evenly over it."""
+    """(doc, toxic, words): all windows of each text."""
 
     def run(batches):
-        import numpy as np
-
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             docs, labels, out = [], [], []
             for doc, label, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 words = (text or "").lower().split()
-                starts = range(0, max(len(words), 1), WINDOW)
-                if len(starts) > MAX_WINDOWS:
-                    starts = [starts[int(i)] for i in np.linspace(0, len(starts) - 1, MAX_WINDOWS)]
-                for s in starts:
+                for s in range(0, max(len(words), 1), STEP):
                     docs.append(doc), labels.append(label), out.append(" ".join(words[s:s + WINDOW]))
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(labels, pa.int32()), pa.array(out, pa.string())], names=["doc", "toxic", "words"])
 
@@ -313,7 +311,7 @@ def learn(
 
     chosen = some(1, max_toxic).unionByName(some(0, max_clean))
     texts = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc"), docs[f"`{text}`"].alias("text"))
-    sample = texts.join(F.broadcast(chosen), "doc").select("doc", "toxic", "text").limit(max_toxic + max_clean)
+    sample = texts.join(F.broadcast(chosen), "doc").groupBy("doc", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     found = _windows(sample).toPandas().sort_values(["doc", "words"], kind="stable")
     return train(found["doc"].to_numpy(), found["toxic"].to_numpy(), found["words"].tolist())
 

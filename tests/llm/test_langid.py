@@ -41,15 +41,21 @@ def plain_kneser_ney(counts, order, alphabet):
     return p
 
 
-def test_scores_equal_plain_kneser_ney():
+def test_scores_equal_plain_kneser_ney(spark):
     a, b = Counter({w: i + 1 for i, w in enumerate(A)}), Counter({w: i + 1 for i, w in enumerate(B)})
-    words = list(a) + list(b)
-    model = langid.fit(words, [0] * len(a) + [1] * len(b), list(a.values()) + list(b.values()), ["a", "b"], order=4)
-    alphabet = len(set("".join(words)) | {"\x02", "\x03"}) + 1
+    words = spark.createDataFrame([("ab"[k], w, n) for k, own in enumerate((a, b)) for w, n in own.items()], "lang string, word string, n long")
+    rows = langid.gram_counts(words, 4).collect()
+
+    def counts(n):
+        own = [r for r in rows if r["size"] == n]
+        return [r["gram"] for r in own], np.array(["ab".index(r["lang"]) for r in own]), np.array([r["n"] for r in own])
+
+    alphabet = len(set("".join([*a, *b])) | {"\x02", "\x03"}) + 1
+    model = langid.fit(counts, ["a", "b"], alphabet, order=4)
     tokens = ["the", "thant", "schöner", "xyz", "t", "The9!th", "12"]
     scores = langid.word_scores(model, tokens)
-    for k, counts in enumerate((a, b)):
-        p = plain_kneser_ney(counts, 4, alphabet)
+    for k, own in enumerate((a, b)):
+        p = plain_kneser_ney(own, 4, alphabet)
         for t, got in zip(tokens, scores):
             word = "".join(c for c in t if c.isalpha())
             s = "\x02" + word + "\x03"
@@ -58,6 +64,33 @@ def test_scores_equal_plain_kneser_ney():
             assert got[-1] == (len(word) + 1 if word else 0)
 
 
+def test_letters_alike_in_learning_and_prediction(spark):
+    texts = ["नमस्ते दुनिया 12", "cafe\u0301 1\u0301a \u0301x", "½ ² Ⅷ ③ 7", "a\u00a0b Ünï-cödé"]
+    found = langid.word_counts(spark.createDataFrame([("x", t) for t in texts], "lang string, text string")).collect()
+    assert {r["word"] for r in found} == {"नमस्ते", "दुनिया", "cafe\u0301", "a", "x", "b", "ünïcödé"}
+    train = [(i, t, l) for i in range(20) for t, l in ((f"{texts[0]} नमस्ते", "hi"), ("the that thing there", "en"))]
+    model = langid.learn(spark.createDataFrame(train, "doc_id long, text string, lang string"), F.lit(True))
+    rows = langid.predict(spark.createDataFrame([(t,) for t in ("½ ²", "Ⅷ ③", "\u0301 \u0301", "नमस्ते", "that")], "text string"), model).collect()
+    assert [r["lang_pred"] for r in rows] == ["und", "und", "und", "hi", "en"]
+    assert [r["score"] == 0 for r in rows] == [True, True, True, False, False]
+
+
+def test_one_id_on_most_rows_leaves_the_sample_whole(spark):
+    train = [(i, " ".join(np.random.default_rng(i).choice(A if i % 2 else B, 40)), "a" if i % 2 else "b") for i in range(400)]
+    hot = spark.range(20_000).selectExpr("1L AS doc_id", "concat('the that ', id) AS text", "'a' AS lang")
+    docs = spark.createDataFrame(train, "doc_id long, text string, lang string")
+    with_hot = langid.learn(docs.unionByName(hot), F.lit(True), per_language=150)
+    without = langid.learn(docs, F.lit(True), per_language=150)
+    assert [len(g) for g in with_hot.grams[:2]] == [len(g) for g in without.grams[:2]]
+    assert np.allclose(with_hot.limits, without.limits, rtol=0.1)
+
+
+def test_ties_go_to_the_first_language(spark):
+    train = [(i, "the that thing", l) for i, l in enumerate(["b", "a"] * 20)]
+    model = langid.learn(spark.createDataFrame(train, "doc_id long, text string, lang string"), F.lit(True))
+    assert [r["lang_pred"] for r in langid.predict(spark.createDataFrame([("that",), ("zz",)], "text string"), model).collect()] == ["a", "a"]
+
+
 def test_odd_rows(spark):
     train = [(i, " ".join(np.random.default_rng(i).choice(A if i % 2 else B, 40)), "a" if i % 2 else "b") for i in range(60)]
     train += [(100, "zzz", None), (101, None, "a"), (None, "the that", "a"), (1, train[1][1], "a")]

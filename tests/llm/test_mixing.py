@@ -129,3 +129,14 @@ def test_the_residual_is_told_and_rates_are_bounded_on_request(spark):
     only = members.where("id > 0").withColumns({"p0": F.lit(0.0), "p1": F.lit(1.0)})
     with pytest.warns(UserWarning, match="off its target"):
         assert mixing.fit_rates(only, [0.9, 0.1])[1] > 0.8
+
+
+def test_large_rates_are_copied_in_chunks(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "doc_id long, text string")
+    found = spark.createDataFrame([(1, 25_000.0), (2, 0.0), (3, 10_000.0)], "id long, rate double")
+    keyed = found.join(docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_key")), "id")
+    counts = {r["doc_id"]: r["count"] for r in mixing.mix(docs, keyed).groupBy("doc_id").count().collect()}
+    assert counts == {1: 25_000, 3: 10_000}
+    huge = keyed.withColumn("rate", F.lit(3e10))
+    plan = mixing.mix(docs.where("doc_id = 1"), huge)
+    assert len(plan.limit(5).collect()) == 5

@@ -1,5 +1,6 @@
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from goldmart.llm import bpe, simhash
@@ -50,3 +51,31 @@ def test_stages_take_odd_rows(spark):
         out = stage(spark, docs, "/root/testdata/sf0.001")
         assert out.count() <= 16 * len(odd)
         assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0
+
+
+def test_columns_named_like_a_verdict_pass_through(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200).withColumns({
+        "score": F.lit("mine"), "Predicted": F.lit(7), "lang_pred": F.lit("xx"), "REJECTED": F.lit("no"), "c1": F.col("doc_id"), "__id": F.lit(1)})
+    long = "the and that with " * 40_000
+    tied = spark.createDataFrame([(10**6 + i, long, "en", "s", len(long), "mine", 7, "xx", "no", 10**6 + i, 1) for i in range(2)], docs.schema)
+    docs = docs.unionByName(tied)
+    before = {tuple(r) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = [tuple(r) for r in out.collect()]
+        assert set(rows) <= before, name
+        ids = [r[0] for r in rows]
+        # equal long texts meet the same verdict; the near-duplicate stage keeps the smaller id
+        assert (10**6 in ids, 10**6 + 1 in ids) == ((True, False) if name == "simhash_near_dedup" else (True, True)), name
+
+
+def test_pipeline_equals_the_stages_by_plain_rules(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, sf).collect(), docs.schema)
+    enc = bpe.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    want = sorted((r["doc_id"], enc.encode_ordinary(r["text"] or "")) for r in docs.collect())
+    got = sorted((r["doc_id"], np.frombuffer(r["ids"], dtype="<u4").tolist()) for r in corpus_pipeline.run(spark, sf).collect())
+    assert got == want

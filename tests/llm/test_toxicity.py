@@ -54,6 +54,28 @@ def test_no_labels_one_class_and_empty_table(spark):
     assert toxicity.score_texts(docs.limit(0), None).count() == 0
 
 
+def test_one_toxic_id_on_most_rows_fits_a_model(spark):
+    rows = corpus(400, seed=3)
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(900, f"you worthless {i}") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows] + [(900, 1)] * 3, "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels, F.lit(True), max_toxic=100, max_clean=200)
+    assert model is not None
+    test = spark.createDataFrame([r[:2] for r in corpus(200, seed=8)], "doc_id long, text string")
+    truth = {r[0]: r[2] for r in corpus(200, seed=8)}
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in toxicity.score_texts(test, model).collect()]) >= 0.95
+
+
+def test_windows_overlap_by_half_in_training_as_in_scoring(spark):
+    text = " ".join(f"w{i}" for i in range(37))
+    rows = spark.createDataFrame([(1, 0, text), (2, 1, None)], "doc long, toxic int, text string")
+    got = [r["words"].split() for r in toxicity._windows(rows).where("doc = 1").collect()]
+    assert got == [[f"w{i}" for i in range(s, min(s + 16, 37))] for s in range(0, 37, 8)]
+    assert toxicity._windows(rows).where("doc = 2").collect()[0]["words"] == ""
+    weights = np.arange(37.0) % 11
+    best = max(sum(weights[s:s + 16]) for s in range(0, 37, 8)) / 16
+    assert np.isclose(toxicity.top_window(np.arange(37), np.stack([weights, np.ones(37)], axis=1), 0.5), best + 0.5)
+
+
 def test_score_equals_the_mean_vector_through_the_softmax():
     rng = np.random.default_rng(1)
     words = ["alpha", "beta", "gam9ma", "--", "ALPHA"]
