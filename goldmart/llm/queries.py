@@ -168,7 +168,7 @@ SQL = {
         b AS (SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(range(length(h) // 2), lambda j: ('0x' || substr(h, 2 * j + 1, 2))::BIGINT)),
                     lambda a, x: xor(t[xor(a, x) % 256 + 1], a // 256)), 4294967295) AS text_crc32 FROM d, steps),
         s AS (SELECT *, {_descend(_TREE, '')}::INT AS shard, {_descend(sharding.grown(_TREE), '')}::INT AS grown_shard,
-                     ('0x' || substr(md5('slot:' || k), 1, 3))::INT AS bucket FROM b)
+                     ('0x' || substr(md5('slot:' || k || ':' || size || ':' || text_crc32), 1, 3))::INT AS bucket FROM b)
         SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard,
                row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard FROM s""",
     "op4_embedding_near_dedup": """

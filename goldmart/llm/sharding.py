@@ -86,9 +86,10 @@ def shard_of(key: Column, tree: Tree) -> Column:
     return _descend(F.coalesce(key.cast("string"), F.lit("")), tree, "").cast("int")
 
 
-def slot_bucket(key: Column) -> Column:
-    digits = F.substring(F.md5(F.concat(F.lit("slot:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary")), 1, 3)
-    return F.conv(digits, 16, 10).cast("int")
+def slot_bucket(key: Column, size: Column, text_crc32: Column) -> Column:
+    """One of 4,096 parts of a shard by the whole row, so the different rows of one id are spread."""
+    row = F.concat(F.lit("slot:"), F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), size.cast("string"), F.lit(":"), text_crc32.cast("string"))
+    return F.conv(F.substring(F.md5(row.cast("binary")), 1, 3), 16, 10).cast("int")
 
 
 def assign(df: DataFrame, tree: Tree, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -102,7 +103,7 @@ def assign(df: DataFrame, tree: Tree, id_col: str = "doc_id", text: str = "text"
     row = ["id", "size", "text_crc32"]
     counted = placed.groupBy(*row).agg(F.count(F.lit(1)).alias("copies"))
     counted = counted.withColumns({
-        "shard": shard_of(F.col("id"), tree), "grown_shard": shard_of(F.col("id"), grown(tree)), "bucket": slot_bucket(F.col("id")),
+        "shard": shard_of(F.col("id"), tree), "grown_shard": shard_of(F.col("id"), grown(tree)), "bucket": slot_bucket(F.col("id"), F.col("size"), F.col("text_crc32")),
     })
     counted = materialize(counted, "shard-rows")
     totals = counted.groupBy("shard", "bucket").agg(F.sum("copies").alias("total"))
