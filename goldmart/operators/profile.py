@@ -146,6 +146,12 @@ def sample_id(gold: DataFrame, order_by: str = "id") -> DataFrame:
     )
 
 
+def record_of(table: DataFrame, value, key: str = "id") -> DataFrame:
+    """The rows of one key. The comparison with a plain value reaches the scan, which skips the row groups whose bounds or bloom
+    filter exclude it (tables written by ``write_keyed``)."""
+    return table.where(F.col(key) == F.lit(value))
+
+
 def _as_text(df: DataFrame, digits: int = 4) -> DataFrame:
     """Every column as text; doubles with a fixed number of decimals, lists joined by ', '."""
     cols = []

@@ -26,7 +26,7 @@ from goldmart.plans import frames as fr
 from goldmart.plans.frames import LINE_ORDER, THRESHOLDS as TH
 from goldmart.plans.pipeline import run_frames, silver_tables
 from goldmart.session import materialize, scratch_path
-from goldmart.sinks.writers import manifest, write_bucketed, write_csv, write_parquet, write_tables
+from goldmart.sinks.writers import manifest, write_bucketed, write_csv, write_keyed, write_parquet, write_tables
 from goldmart.sources.bronze import read_raw_csv
 
 
@@ -215,6 +215,13 @@ def q_raw_vs_gold_record(spark, d, gold):
     return profile.raw_vs_gold(fr.order_movies(spark, d), gold)
 
 
+@_on_gold
+def q_record_by_id(spark, d, gold):
+    """Gold stored for look-ups, and the record of its largest id."""
+    stored = spark.read.parquet(write_keyed(gold, scratch_path(spark, "gold-keyed")))
+    return flat(profile.record_of(stored, stored.agg(F.max("id")).first()[0]))
+
+
 @_on_stored_gold
 def q_highlights(spark, d, gold):
     t = order_builders(gold)
@@ -370,6 +377,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_counters": q_stage_counters,
     "table_row_counts": q_table_row_counts,
     "raw_vs_gold_record": q_raw_vs_gold_record,
+    "record_by_id": q_record_by_id,
     "highlights": q_highlights,
     "feed_genre_bars": q_feed_genre_bars,
     "feed_decade_dual": q_feed_decade_dual,

@@ -475,6 +475,7 @@ SQL: dict[str, str] = {
     "parquet_roundtrip": GOLD_DATASET,
     "raw_vs_clean_shape": RAW_VS_CLEAN_SHAPE,
     "gold_preview": GOLD_PREVIEW,
+    "record_by_id": with_gold("SELECT " + ", ".join(GOLD_COLUMNS) + " FROM gold WHERE id = (SELECT max(id) FROM gold)"),
     "gold_dtypes": GOLD_DTYPES,
     "dirty_dates": DIRTY_DATES,
     "csv_ingest": CSV_INGEST,

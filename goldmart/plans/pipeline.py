@@ -14,7 +14,7 @@ from goldmart.operators.clean import clean_movies
 from goldmart.operators.gold import build_gold_dataset
 from goldmart.operators.silver import build_movie_ratings, first_directors, first_keywords, parse_credits, parse_genres, parse_keywords
 from goldmart.sinks.versions import publish
-from goldmart.sinks.writers import BOUNDED_TABLES, manifest, write_bucketed, write_csv, write_parquet
+from goldmart.sinks.writers import BOUNDED_TABLES, manifest, write_bucketed, write_csv, write_keyed, write_parquet
 from goldmart.sources.bronze import load_raw_datasets
 
 
@@ -73,7 +73,7 @@ def save_outputs(out_dir: str, gold: DataFrame, tables: Mapping[str, DataFrame],
     an output meets the old one or the whole new one. Returns the new versions' folders.
     ``gold_written``: the Parquet already holds this gold, do not write it again."""
     out = out_dir.rstrip("/")
-    paths = {"filmes_processados_parquet": gold_written or publish(gold, f"{out}/filmes_processados_parquet", write_parquet)}
+    paths = {"filmes_processados_parquet": gold_written or publish(gold, f"{out}/filmes_processados_parquet", write_keyed)}
     paths["filmes_processados_csv"] = publish(gold, f"{out}/filmes_processados.csv", write_csv)
     for name, df in tables.items():
         paths[name] = publish(df, f"{out}/{name}.csv", lambda table, folder, one=name in BOUNDED_TABLES: write_csv(table, folder, single_file=one))
@@ -123,7 +123,7 @@ def run_frames(
     out = out_dir.rstrip("/")
     silver = write_silver(raw, f"{out}/silver", order_by, null_title)
     gold_plan = build_gold_dataset(silver["clean"], silver["directors"], silver["keywords"], silver["ratings"])
-    gold_path = publish(gold_plan, f"{out}/filmes_processados_parquet", write_parquet)
+    gold_path = publish(gold_plan, f"{out}/filmes_processados_parquet", write_keyed)
     malformed = malformed_counts(silver)
     gold = spark.read.parquet(gold_path)
 

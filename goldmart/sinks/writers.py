@@ -29,6 +29,17 @@ def write_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_keyed(df: DataFrame, path: str, key: str = "id", row_group_bytes: int | None = None) -> str:
+    """Parquet in which one key is found without reading the table: the rows of a file are sorted by ``key``, so the row groups have narrow
+    bounds, and a bloom filter per row group tells which files lack the key. The sort is within partitions (none is added where rows come
+    sorted, as from joins on bucketed tables); rows are not shuffled."""
+    options = {f"parquet.bloom.filter.enabled#{key}": "true"}
+    if row_group_bytes:
+        options["parquet.block.size"] = str(row_group_bytes)
+    df.sortWithinPartitions(key).write.mode("overwrite").options(**options).parquet(path)
+    return path
+
+
 def write_bucketed(df: DataFrame, path: str, key: str, buckets: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in ``buckets`` files by the hash of ``key``, sorted by it, and read it back: tables
     bucketed alike are joined and grouped on the key without a shuffle. The default is the session's number of shuffle partitions, so a frame that a
