@@ -42,7 +42,7 @@ def check(rows):
 
 PROSE = "When the river rose in the spring, the people of the valley moved their cattle to the higher meadows and waited there for the water to fall again. "
 TEXTS = [
-    None, "", " \t\n", "one", "a b c a b c a b c", "x " * 60, "a\nb\na\n \n \na", PROSE * 1 + "They kept small fires burning, told stories about older floods, and mended whatever tools had broken since autumn came.",
+    None, "", " \t\n", "one", "a b c a b c a b c", "x " * 60, "a\nb\na\n \n \na", PROSE * 1 + "They kept small fires burning, told stories about older floods, and mended whatever tools had broken since autumn came; nobody slept much, yet children laughed among sheep while grandmothers counted bread.",
     "    \x1c\x1d", "\U0001F600 ￿" * 40, "#$% <b> | & *** a", "é" * 5000, "日本語のテキスト " * 60, "привет мир " * 5, "x" * 200_000,
     " ".join(f"w{i}" for i in range(30_000)), "12 34 56 " * 30,
 ]
@@ -59,7 +59,7 @@ def test_rows_equal_the_plain_rule(spark):
     check(rows)
     by_id = {r["doc_id"]: r for r in rows}
     assert by_id[7]["kept"] and not by_id[0]["kept"]
-    assert (by_id[12]["script"], by_id[13]["script"], by_id[16]["script"]) == ("han", "cyrillic", "none")
+    assert (by_id[12]["script"], by_id[13]["script"], by_id[16]["script"]) == ("kana", "cyrillic", "none")
 
 
 def test_empty_table(spark):
