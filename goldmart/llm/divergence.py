@@ -3,7 +3,7 @@
 A term is a maximal run of ASCII letters and non-ASCII characters, A to Z in lower case. Each language keeps the terms that occur
 in at least ``least_docs`` of its documents. They are found level by level over byte prefixes: a level counts, for each
 prefix of its length, the distinct documents that hold a term with it, and discards the prefixes below the threshold;
-the next level, three times as long, extends only what is left. A term that ends within a prefix carries an end byte, so it is complete
+the next level, ``GROWTH`` times as long, extends only what is left. A term that ends within a prefix carries an end byte, so it is complete
 there; the levels go on until every prefix left is a complete term. No level holds more than the extensions of prefixes that
 are frequent themselves, so the long tail of rare terms never reaches a shuffle in full.
 
@@ -13,9 +13,8 @@ counts, which Spark sums by (language, prefix). The surviving prefixes travel to
 decide. Nothing else of the corpus comes to the driver.
 
 Then one scan counts the kept terms of each (language, source). With N the sum of a group's counts and V the kept terms of the language,
-a term has the share p = 1 + floor(10^9 (count + 5) / (N + 5 V)), in whole numbers throughout. ``pairs`` compares the sources of
-a language by the sum of |p - q| over all kept terms: a term without any occurrence in either has the same difference for the pair, so only
-terms that occur are visited. ``terms`` ranks the terms that a source uses more than its language as a whole.
+a term has the share p = 1 + floor(10^9 (count + 5) / (N + 5 V)), in whole numbers throughout. ``pair_ranks`` compares the sources of
+a language by the sum of |p - q| over all kept terms; ``term_ranks`` ranks the terms that a source uses more than its language as a whole.
 
 Cases: null text, language and source are ''; a group without terms has shares as its counts of 0 give them; a language
 without kept terms (V = 0) has pairs of value 0 and no terms; each row is a document, also a repeated one; equal
@@ -35,10 +34,10 @@ from goldmart.llm.chargrams import TokenIds
 from goldmart.llm.common import ship, slices
 from goldmart.session import materialize
 
-LEAST_DOCS, FIRST_LEVEL, GROWTH, FILTER_BITS = 30, 4, 3, 24
+LEAST_DOCS, FIRST_LEVEL, GROWTH, FILTER_BITS = 30, 6, 6, 24
 SMOOTH, SCALE = 5, 1_000_000_000
 TOP_TERMS = 50
-_ENTRIES = 300_000
+_TERMS, _ENTRIES, _BATCH, _SLICE, _BLOCK = 300_000, 200_000, 50_000, 2 << 20, 1 << 20
 # A byte that is no part of a term becomes a space, A to Z their lower case.
 _SPLIT = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _END = b"\x00"
@@ -60,12 +59,13 @@ class Survivors:
     """Bit table of the prefixes (or terms) that are left; without a table all are."""
 
     def __init__(self, rows: DataFrame | None, bits: int):
-        """``rows``: (lang, key). At most 2^bits / 64 words come to the driver, however many rows there are."""
+        """``rows``: (lang, key). At most 2^bits / 64 words come to the driver, however many rows there are. Each key also counts for
+        the language '', which tells whether any language has it."""
         import numpy as np
 
         self.bits, self.table = bits, None
         if rows is not None:
-            place = rows.select(_place_column(F.col("lang"), F.col("key"), bits).alias("p"))
+            place = rows.select(F.explode(F.array(*[_place_column(c, F.col("key"), bits) for c in (F.col("lang"), F.lit(""))])).alias("p"))
             word = place.select((F.col("p") / 64).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int")).alias("b"))
             found = word.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
             words = np.zeros(1 << (bits - 6), "<i8")
@@ -80,18 +80,15 @@ class Survivors:
 
 
 class _Tally:
-    """Counts of a task by (owner, key): terms are numbered once, a slice of texts is counted by sorting numbers, and what is
-    pending is handed out when terms or counts reach ``_ENTRIES``, so memory stays bounded."""
+    """Counts of a task by (owner, key): terms are numbered once, a slice of texts is counted by sorting numbers, and equal
+    counts are merged. Terms beyond ``_TERMS`` are numbered anew, and what is pending is handed out at ``_ENTRIES``, so memory stays bounded."""
 
     def __init__(self, key_of):
-        self.key_of = key_of
-        self.forget()
-
-    def forget(self):
         import numpy as np
 
-        self.terms, self.keys, self.owners = TokenIds(), {}, {}
-        self.of_term, self.codes, self.ns = np.zeros(0, np.int64), [], []
+        self.key_of, self.keys, self.owners = key_of, {}, {}
+        self.terms, self.of_term = TokenIds(), np.zeros(0, np.int64)
+        self.codes, self.ns = [], []
 
     def add(self, owners, texts, per_document: bool):
         import numpy as np
@@ -99,33 +96,61 @@ class _Tally:
         split = [terms_of(t) for t in texts]
         sizes = np.fromiter(map(len, split), np.int64, len(split))
         numbers = np.fromiter(map(self.terms.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        del split
         if self.terms.fresh:
-            found = (self.key_of(t) for t in self.terms.fresh)
-            self.of_term = np.concatenate([self.of_term, np.array([-1 if k is None else self.keys.setdefault(k, len(self.keys)) for k in found], np.int64)])
-            self.terms.fresh = []
-        own = np.fromiter((self.owners.setdefault(o, len(self.owners)) for o in owners), np.int64, len(split))
-        row, key = np.repeat(np.arange(len(split)), sizes), self.of_term[numbers]
+            found = map(self.key_of, self.terms.fresh)
+            fresh = np.fromiter((-1 if k is None else self.keys.setdefault(k, len(self.keys)) for k in found), np.int64, len(self.terms.fresh))
+            self.of_term, self.terms.fresh = np.concatenate([self.of_term, fresh]), []
+        own = np.fromiter((self.owners.setdefault(o, len(self.owners)) for o in owners), np.int64, len(sizes))
+        row, key = np.repeat(np.arange(len(sizes)), sizes), self.of_term[numbers]
         row, key = row[key >= 0], key[key >= 0]
+        width = max(len(self.keys), 1)
+        packed = own[row] * width + key
         if per_document:
-            once = np.unique(row << 32 | key)
-            row, key = once >> 32, once & 0xFFFFFFFF
-        codes, ns = np.unique(own[row] << 32 | key, return_counts=True)
-        self.codes.append(codes), self.ns.append(ns)
+            bits = len(sizes).bit_length()
+            packed = np.sort(packed << bits | row)
+            packed = packed[np.diff(packed, prepend=-1) != 0] >> bits
+        else:
+            packed = np.sort(packed)
+        starts = np.flatnonzero(np.diff(packed, prepend=-1))
+        codes = packed[starts]
+        self.codes.append(codes // width << 32 | codes % width)
+        self.ns.append(np.diff(starts, append=len(packed)))
+        if len(self.terms) > _TERMS:
+            self.terms, self.of_term = TokenIds(), np.zeros(0, np.int64)
+
+    def merge(self):
+        import numpy as np
+
+        codes, at = np.unique(np.concatenate([np.zeros(0, np.int64), *self.codes]), return_inverse=True)
+        self.ns = [np.bincount(at, weights=np.concatenate([np.zeros(0), *self.ns]), minlength=len(codes)).astype(np.int64)]
+        self.codes = [codes]
 
     def full(self) -> bool:
-        return len(self.terms) > _ENTRIES or sum(map(len, self.codes)) > 4 * _ENTRIES
+        if sum(map(len, self.codes)) > 2 * _ENTRIES:
+            self.merge()
+        return len(self.keys) > _ENTRIES or len(self.codes) == 1 and len(self.codes[0]) > _ENTRIES
 
     def handed_out(self, passes, names):
-        """Batch of (owner..., key, count) for the counts so far whose owner and key ``passes`` lets through."""
+        """Batches of (owner..., key, count) for the counts so far whose language and key ``passes`` lets through."""
         import numpy as np
 
-        codes, at = np.unique(np.concatenate([np.zeros(0, np.int64), *self.codes]), return_inverse=True)
-        ns = np.bincount(at, weights=np.concatenate([np.zeros(0), *self.ns]), minlength=len(codes)).astype(np.int64)
-        owners, keys = list(self.owners), list(self.keys)
-        out = [(*owners[c >> 32], keys[c & 0xFFFFFFFF], n) for c, n in zip(codes.tolist(), ns.tolist()) if passes(owners[c >> 32], keys[c & 0xFFFFFFFF])]
-        self.forget()
-        columns = list(zip(*out)) if out else [()] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i == len(names) - 1 else pa.binary()) for i, c in enumerate(columns)], names=names)
+        self.merge()
+        codes, ns, owners, keys = self.codes[0], self.ns[0], list(self.owners), list(self.keys)
+        # the first column of an owner is its language: each key is looked up once for each language
+        langs = {}
+        lang_of = np.array([langs.setdefault(o[0], len(langs)) for o in owners], np.int64)
+        pairs, at = np.unique(lang_of[codes >> 32] << 32 | codes & 0xFFFFFFFF, return_inverse=True) if len(codes) else (codes, codes)
+        names_of = list(langs)
+        let = np.fromiter((passes(names_of[p >> 32], keys[p & 0xFFFFFFFF]) for p in pairs.tolist()), bool, len(pairs))
+        codes, ns = (codes[let[at]], ns[let[at]]) if len(codes) else (codes, ns)
+        columns = [pa.array([o[i] for o in owners], pa.binary()) for i in range(len(names) - 2)]
+        texts = pa.array(keys, pa.binary())
+        for start in range(0, max(len(codes), 1), _BATCH):
+            part = codes[start:start + _BATCH]
+            own, key = pa.array(part >> 32), pa.array(part & 0xFFFFFFFF)
+            yield pa.RecordBatch.from_arrays([*[c.take(own) for c in columns], texts.take(key), pa.array(ns[start:start + _BATCH], pa.int64())], names=names)
+        self.__init__(self.key_of)
 
 
 def _tallied(rows: DataFrame, owners: list[str], key_of, per_document: bool, passes) -> DataFrame:
@@ -134,12 +159,12 @@ def _tallied(rows: DataFrame, owners: list[str], key_of, per_document: bool, pas
 
     def run(batches):
         tally = _Tally(key_of)
-        for batch in (part for whole in batches for part in slices(whole, at)):
+        for batch in (part for whole in batches for part in slices(whole, at, _SLICE)):
             columns = [[v.as_py() or b"" for v in batch.column(i).cast(pa.binary())] for i in range(at + 1)]
             tally.add(list(zip(*columns[:at])), columns[at], per_document)
             if tally.full():
-                yield tally.handed_out(passes, names)
-        yield tally.handed_out(passes, names)
+                yield from tally.handed_out(passes, names)
+        yield from tally.handed_out(passes, names)
 
     found = rows.select(*owners, "text").mapInArrow(run, ", ".join(f"{o} binary" for o in owners) + ", key binary, n long")
     texts = [F.col(o).cast("string").alias(o) for o in owners]
@@ -169,15 +194,15 @@ def _level(rows: DataFrame, length: int, before: int, left: Survivors) -> DataFr
     term that ends within it has the end byte last; a term that ended within the prefix before has no key any more."""
 
     def key_of(term):
-        return (term + _END)[:length] if len(term) >= before else None
+        return (term + _END)[:length] if len(term) >= before and left.has(b"", term[:before]) else None
 
-    return _tallied(rows, ["lang"], key_of, True, lambda owner, key: left.has(owner[0], key[:before]))
+    return _tallied(rows, ["lang"], key_of, True, lambda lang, key: left.has(lang, key[:before]))
 
 
 def term_counts(rows: DataFrame, kept: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     """(lang, source, term, n): occurrences of the kept terms in each group, n > 0."""
     wanted = Survivors(kept, bits)
-    found = _tallied(rows, ["lang", "source"], lambda term: term, False, lambda owner, key: wanted.has(owner[0], key))
+    found = _tallied(rows, ["lang", "source"], lambda term: term if wanted.has(b"", term) else None, False, lambda lang, key: wanted.has(lang, key))
     return found.join(kept, ["lang", "key"]).select("lang", "source", F.col("key").cast("string").alias("term"), "n")
 
 
@@ -214,28 +239,49 @@ def term_ranks(groups: DataFrame, counts: DataFrame, top: int = TOP_TERMS) -> Da
     return above.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 
 
+def _distances(vectors: DataFrame) -> DataFrame:
+    """(lang, i, j, value): sums of |difference| of places i < j over the vectors (lang, shares) of each language, all of a language
+    equally long. A task adds up whole blocks of vectors, so it hands out one row for a pair."""
+
+    def run(batches):
+        import numpy as np
+
+        sums = {}
+        for batch in batches:
+            langs, shares = batch.column(0).dictionary_encode(), batch.column(1)
+            codes = langs.indices.to_numpy()
+            for code, lang in enumerate(langs.dictionary.to_pylist()):
+                own = shares.filter(pa.array(codes == code))
+                width = len(own[0])
+                matrix = own.flatten().to_numpy().reshape(len(own), width)
+                total = sums.setdefault(lang, np.zeros((width, width), np.int64))
+                for at in range(0, len(matrix), step := max(1, _BLOCK // width)):
+                    part = matrix[at:at + step]
+                    for i in range(width - 1):
+                        total[i, i + 1:] += np.abs(part[:, i + 1:] - part[:, i:i + 1]).sum(axis=0)
+        for lang, total in sums.items():
+            i, j = np.triu_indices(len(total), 1)
+            for at in range(0, len(i), _BATCH):
+                cut = slice(at, at + _BATCH)
+                columns = [pa.array([lang] * len(i[cut]), pa.string()), pa.array(i[cut], pa.int32()), pa.array(j[cut], pa.int32()), pa.array(total[i[cut], j[cut]])]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "i", "j", "value"])
+
+    return vectors.mapInArrow(run, "lang string, i int, j int, value long").groupBy("lang", "i", "j").agg(F.sum("value").alias("value"))
+
+
 def pair_ranks(groups: DataFrame, counts: DataFrame) -> DataFrame:
-    """(lang, source, item, value, rank): every other source of the language by the sum of |p - q| over all kept terms.
-
-    For a pair (a, b) with shares a0, b0 of an absent term, the sum is V |a0 - b0| plus, for each term that occurs in one of
-    them, |p - q| - |a0 - b0|. A term's sources are one short array (a share for each source of the language), and its pairs are summed before any shuffle.
-    """
-    sides = groups.select("lang", "source", "base", "kinds")
-    rest = sides.alias("a").join(sides.alias("b"), "lang").where("a.source <> b.source").select(
-        "lang", F.col("a.source").alias("source"), F.col("b.source").alias("item"), (F.col("a.kinds") * F.abs(F.col("a.base") - F.col("b.base"))).alias("value"),
-    )
+    """(lang, source, item, value, rank): every other source of the language by the sum of |p - q| over all kept terms. Each kept term
+    is one vector of shares, a place for each source of its language (the share of an absent term where it does not occur)."""
     shares = counts.join(groups.select("lang", "source", "total", "kinds"), ["lang", "source"])
     shares = shares.select("lang", "term", "source", share(F.col("n"), F.col("total"), F.col("kinds")).alias("p"))
     per_term = shares.groupBy("lang", "term").agg(F.map_from_entries(F.collect_list(F.struct("source", "p"))).alias("p"))
-    all_sources = groups.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("source", "base"))).alias("sources"))
-    one = per_term.join(all_sources, "lang").select("lang", F.expr("""
-        transform(sources, s -> named_struct('source', s.source, 'base', s.base, 'p', coalesce(try_element_at(p, s.source), s.base)))""").alias("s"))
-    pairs = one.select("lang", F.explode(F.expr("""
-        flatten(transform(s, (a, i) -> transform(filter(slice(s, i + 2, size(s)), b -> a.p <> a.base OR b.p <> b.base),
-            b -> named_struct('a', a.source, 'b', b.source, 'more', abs(a.p - b.p) - abs(a.base - b.base)))))""")).alias("x"))
-    more = pairs.groupBy("lang", "x.a", "x.b").agg(F.sum("x.more").alias("value"))
-    mirrored = more.select("lang", F.explode(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")), F.struct(F.col("b").alias("source"), F.col("a").alias("item")))).alias("y"), "value")
-    found = rest.unionByName(mirrored.select("lang", "y.source", "y.item", "value")).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    sources = groups.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("source", "base"))).alias("sources"))
+    vectors = per_term.join(sources, "lang").select("lang", F.expr("transform(sources, s -> coalesce(try_element_at(p, s.source), s.base))").alias("shares"))
+    places = sources.select("lang", F.posexplode("sources").alias("at", "s")).select("lang", "at", F.col("s.source").alias("source"))
+    both = places.alias("a").join(places.alias("b"), "lang").where("a.at <> b.at").select(
+        "lang", F.col("a.source").alias("source"), F.col("b.source").alias("item"), F.least("a.at", "b.at").alias("i"), F.greatest("a.at", "b.at").alias("j"))
+    # a language without kept terms has no vectors: its distances are 0
+    found = both.join(_distances(vectors), ["lang", "i", "j"], "left").select("lang", "source", "item", F.coalesce("value", F.lit(0).cast("long")).alias("value"))
     w = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     return found.withColumn("rank", F.row_number().over(w))
 

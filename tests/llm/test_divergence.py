@@ -57,7 +57,7 @@ def test_rows_equal_the_plain_rule(spark, seed, least):
     assert audited(spark, rows, least) == plain(rows, least)
 
 
-@pytest.mark.parametrize("first, bits", [(1, 24), (2, 6), (50, 8)])
+@pytest.mark.parametrize("first, bits", [(1, 24), (2, 6), (4, 10), (50, 8)])
 def test_levels_and_shared_bits_do_not_change_the_result(spark, first, bits):
     rows = random_rows(7)
     assert audited(spark, rows, 6, first=first, bits=bits) == plain(rows, 6)
