@@ -55,9 +55,9 @@ def test_stages_take_odd_rows(spark):
 
 def test_columns_named_like_a_verdict_pass_through(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200).withColumns({
-        "score": F.lit("mine"), "Predicted": F.lit(7), "lang_pred": F.lit("xx"), "REJECTED": F.lit("no"), "c1": F.col("doc_id"), "__id": F.lit(1)})
+        "score": F.lit("mine"), "Predicted": F.lit(7), "lang_pred": F.lit("xx"), "REJECTED": F.lit("no"), "c1": F.col("doc_id")})
     long = "the and that with " * 40_000
-    tied = spark.createDataFrame([(10**6 + i, long, "en", "s", len(long), "mine", 7, "xx", "no", 10**6 + i, 1) for i in range(2)], docs.schema)
+    tied = spark.createDataFrame([(10**6 + i, long, "en", "s", len(long), "mine", 7, "xx", "no", 10**6 + i) for i in range(2)], docs.schema)
     docs = docs.unionByName(tied)
     before = {tuple(r) for r in docs.collect()}
     for name, stage in corpus_pipeline.STAGES[:-1]:
