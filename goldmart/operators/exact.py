@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -81,11 +82,70 @@ def _rounded(scales) -> tuple[float | None, float | None]:
     return quotient(1 << -LEAST_SCALE), quotient(n << -LEAST_SCALE)
 
 
+# Bounds of ``_rounded_at_once``: the distance of a group's scales, its number of scales, its count, and scales whose results are ordinary doubles.
+_SPREAD, _MOST, _COUNT, _ORDINARY = 16, 64, 1 << 20, (-900, 800)
+
+
+def _carried(lo, mid, hi):
+    """The same number with the two low limbs in [0, 2^LIMB)."""
+    mask = (1 << LIMB) - 1
+    mid = mid + (lo >> LIMB)
+    return lo & mask, mid & mask, hi + (mid >> LIMB)
+
+
+def _rounded_at_once(lengths, parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sure, total, mean) of many groups, none of them empty; ``parts`` holds the fields of all their scales, one group after the other.
+
+    The scales of a group are brought to the least one. Its units are then high * 2^42 + low with 0 <= low < 2^42 and high < 2^53,
+    two exact doubles, so their sum is the total, rounded once. The quotient by the count is taken in long division down to 2^-10,
+    with one more bit that tells whether something is left: the bits still fit two exact doubles, and what is left can not lie on the other side of a
+    tie, if the high part is 4 or more. Groups outside these bounds, or with values that are not finite, are not ``sure``."""
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    over = lambda op, x: op.reduceat(x, starts)
+    lo, mid, hi = _carried(parts["lo"], parts["mid"], parts["hi"])
+    some = (lo != 0) | (mid != 0) | (hi != 0)
+    least = over(np.minimum, np.where(some, parts["scale"], 1 << 20))
+    most = over(np.maximum, np.where(some, parts["scale"], LEAST_SCALE))
+    zero, n = ~over(np.logical_or, some), over(np.add, parts["n"])
+    least = np.where(zero, 0, least)
+    sure = zero | ((most - least <= _SPREAD) & (least >= _ORDINARY[0]) & (most <= _ORDINARY[1]))
+    shift = np.where(some, np.clip(parts["scale"] - np.repeat(least, lengths), 0, _SPREAD), 0)
+    sure &= over(np.logical_and, (np.abs(hi) < np.left_shift(1, 46 - shift)) & ~parts["is_odd"]) & (lengths <= _MOST) & (n > 0) & (n < _COUNT)
+    high = np.where(np.repeat(sure, lengths), hi, 0)  # no overflow in the groups that are left out
+    lo, mid, hi = _carried(*(over(np.add, x << shift) for x in (lo, mid, high)))
+    low = (mid << LIMB) | lo
+    negative = hi < 0
+    hi, low = np.where(negative, -hi - (low > 0), hi), np.where(negative & (low > 0), (1 << 2 * LIMB) - low, low)
+    n = np.where(sure, n, 1)
+    q, r = hi // n, hi % n
+    r = (r << 2 * LIMB) + low
+    ql, r = r // n, r % n
+    sub, r = (r << 10) // n, (r << 10) % n
+    sure &= (q >= 4) | (r == 0)
+    sign, unit = np.where(negative, -1.0, 1.0), float(1 << 2 * LIMB)
+    total = hi.astype(float) * unit + low.astype(float)
+    mean = q.astype(float) * unit + ((ql << 11) | (sub << 1) | (r > 0)).astype(float) / 2048.0
+    return sure, sign * np.ldexp(total, least) + 0.0, sign * np.ldexp(mean, least) + 0.0
+
+
 @F.arrow_udf(_RESULT)
 def exact_result(scales: pa.Array) -> pa.Array:
     """Struct (total, mean) of an array of scales; the longs must not pass through floats."""
-    found = [_rounded(s or ()) for s in scales.to_pylist()]
-    return pa.StructArray.from_arrays([pa.array([f[i] for f in found], pa.float64()) for i in range(2)], names=["total", "mean"])
+    lengths = np.array(scales.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    total, mean, missing = np.zeros(len(scales)), np.zeros(len(scales)), np.ones(len(scales), dtype=bool)
+    filled = np.flatnonzero(lengths)
+    if len(filled):
+        flat = scales.flatten()
+        parts = {k: flat.field(k).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("scale", "lo", "mid", "hi", "n")}
+        parts["is_odd"] = flat.field("odd").is_valid().to_numpy(zero_copy_only=False)
+        sure, total[filled], mean[filled] = _rounded_at_once(lengths[filled], parts)
+        missing[filled[sure]] = False
+        rest = filled[~sure]
+        for i, found in zip(rest, map(_rounded, scales.take(pa.array(rest)).to_pylist())):
+            missing[i] = found[0] is None
+            if not missing[i]:
+                total[i], mean[i] = found
+    return pa.StructArray.from_arrays([pa.array(x, pa.float64(), mask=missing) for x in (total, mean)], names=["total", "mean"])
 
 
 def exact_groups(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str | Column], counts: Mapping[str, str | Column] | None = None) -> DataFrame:

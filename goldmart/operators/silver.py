@@ -19,13 +19,16 @@ def _valid_ids(df: DataFrame, column: str = "id") -> DataFrame:
     return df.withColumn(column, to_long_truncated(df, column)).where(F.col(column).isNotNull())
 
 
+def _crew_parsed(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    parsed = with_director(rows, "crew", "_d")
+    return parsed.select("id", *order, F.col("_d.director").alias("director"), F.col("_d.malformed").alias("malformed"))
+
+
 def parse_credits(credits: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
-    """(id, order..., director, malformed): one row per credits row with a valid id. Parsing comes before the dedup
-    shuffle, so the crew text does not cross it."""
+    """(id, order..., director, malformed): one row per credits row with a valid id."""
     validate_columns(credits, "credits")
     order = _order(credits, order_by)
-    parsed = with_director(_valid_ids(credits).select("id", *order, "crew"), "crew", "_d")
-    return parsed.select("id", *order, F.col("_d.director").alias("director"), F.col("_d.malformed").alias("malformed"))
+    return _crew_parsed(_valid_ids(credits).select("id", *order, "crew"), order)
 
 
 def first_directors(parsed: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -36,28 +39,44 @@ def first_directors(parsed: DataFrame, order_by: Sequence[str] | None = None) ->
 
 
 def build_directors(credits: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
-    return first_directors(parse_credits(credits, order_by), order_by)
+    """``first_directors`` of raw credits. Only the first row of an id has a say, so the rows are found before they are parsed; who needs
+    the malformed rows too takes ``parse_credits``."""
+    validate_columns(credits, "credits")
+    order = _order(credits, order_by)
+    first = keep_first(_valid_ids(credits).select("id", *order, "crew"), ["id"], order)
+    return _crew_parsed(first, order).where(F.col("director").isNotNull()).select("id", "director")
+
+
+def _keywords_parsed(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    parsed = with_name_list(rows, "keywords", "_k")
+    return parsed.select("id", *order, F.col("_k.names").alias("keywords_list"), F.col("_k.malformed").alias("malformed"))
 
 
 def parse_keywords(keywords: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """(id, order..., keywords_list, malformed): one row per keywords row with a valid id."""
     validate_columns(keywords, "keywords")
     order = _order(keywords, order_by)
-    parsed = with_name_list(_valid_ids(keywords).select("id", *order, "keywords"), "keywords", "_k")
-    return parsed.select("id", *order, F.col("_k.names").alias("keywords_list"), F.col("_k.malformed").alias("malformed"))
+    return _keywords_parsed(_valid_ids(keywords).select("id", *order, "keywords"), order)
 
 
-def first_keywords(parsed: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
-    """(id, keywords_list, primary_keyword, keyword_count) of the first row per id; empty lists are kept."""
-    first = keep_first(parsed, ["id"], _order(parsed, order_by))
+def _keyword_columns(first: DataFrame) -> DataFrame:
     return first.select(
         "id", "keywords_list", first_or_null(F.col("keywords_list")).alias("primary_keyword"),
         F.size("keywords_list").cast("bigint").alias("keyword_count"),
     )
 
 
+def first_keywords(parsed: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+    """(id, keywords_list, primary_keyword, keyword_count) of the first row per id; empty lists are kept."""
+    return _keyword_columns(keep_first(parsed, ["id"], _order(parsed, order_by)))
+
+
 def build_keywords(keywords: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
-    return first_keywords(parse_keywords(keywords, order_by), order_by)
+    """``first_keywords`` of raw keywords, parsed after the first rows are found (see ``build_directors``)."""
+    validate_columns(keywords, "keywords")
+    order = _order(keywords, order_by)
+    first = keep_first(_valid_ids(keywords).select("id", *order, "keywords"), ["id"], order)
+    return _keyword_columns(_keywords_parsed(first, order))
 
 
 def parse_genres(movies: DataFrame) -> DataFrame:

@@ -150,9 +150,9 @@ def order_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     repeated later in the input with a wrong target, which keep-first must ignore."""
     li = table(spark, sf_dir, "lineitem")
     m = li.select(_movie_id().alias("movieId"), F.col("l_orderkey").alias("tmdbId")).distinct()
-    first = m.select(_s("movieId").alias("movieId"), _s("tmdbId").alias("tmdbId"), F.lit(0).alias("_pos"))
-    later = m.select(_s("movieId").alias("movieId"), _s(F.lit(-1) - F.col("tmdbId")).alias("tmdbId"), F.lit(1).alias("_pos"))
-    return first.unionByName(later)
+    first = F.struct(_s("tmdbId").alias("tmdbId"), F.lit(0).alias("_pos"))
+    later = F.struct(_s(F.lit(-1) - F.col("tmdbId")).alias("tmdbId"), F.lit(1).alias("_pos"))
+    return m.select(_s("movieId").alias("movieId"), F.inline(F.array(first, later)))
 
 
 def order_ratings(spark: SparkSession, sf_dir: str, varied: bool = True) -> DataFrame:

@@ -12,7 +12,9 @@ from goldmart import constants as K
 from goldmart.operators import feeds, marts, profile
 from goldmart.operators.clean import clean_movies
 from goldmart.operators.gold import build_gold_dataset
-from goldmart.operators.silver import build_movie_ratings, first_directors, first_keywords, parse_credits, parse_genres, parse_keywords
+from goldmart.operators.silver import (
+    build_directors, build_keywords, build_movie_ratings, first_directors, first_keywords, parse_credits, parse_genres, parse_keywords,
+)
 from goldmart.sinks.versions import publish
 from goldmart.sinks.writers import BOUNDED_TABLES, manifest, write_bucketed, write_csv, write_keyed, write_parquet
 from goldmart.sources.bronze import load_raw_datasets
@@ -45,12 +47,11 @@ def silver_tables(
     """The four tables that gold joins, one row per id each, not written; ``credits`` and ``keyword_rows`` are the parsed rows, if they are
     stored already."""
     by = dict(order_by)
-    credits = parse_credits(raw["credits"], by.get("credits")) if credits is None else credits
-    keyword_rows = parse_keywords(raw["keywords"], by.get("keywords")) if keyword_rows is None else keyword_rows
+    in_credits, in_keywords = by.get("credits"), by.get("keywords")
     return {
         "clean": parse_genres(clean_movies(raw["movies"], order_by=by.get("movies"), null_title=null_title)),
-        "directors": first_directors(credits, by.get("credits")),
-        "keywords": first_keywords(keyword_rows, by.get("keywords")),
+        "directors": build_directors(raw["credits"], in_credits) if credits is None else first_directors(credits, in_credits),
+        "keywords": build_keywords(raw["keywords"], in_keywords) if keyword_rows is None else first_keywords(keyword_rows, in_keywords),
         "ratings": build_movie_ratings(raw["links"], raw["ratings"], order_by=by.get("links")),
     }
 
