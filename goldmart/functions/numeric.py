@@ -42,8 +42,13 @@ def to_double(df: DataFrame, name: str) -> Column:
 
 
 def to_long_truncated(df: DataFrame, name: str) -> Column:
-    """Lenient number, then truncated to a whole number ('12.7' -> 12, '1e3' -> 1000)."""
-    return to_double(df, name).try_cast("bigint")
+    """Lenient number, then truncated to a whole number ('12.7' -> 12, '1e3' -> 1000). Up to 15 plain digits are a whole number in
+    double precision too, so they are read as one."""
+    found = to_double(df, name).try_cast("bigint")
+    if isinstance(df.schema[name].dataType, T.NumericType):
+        return found
+    text = F.col(name).cast("string")
+    return F.when(text.rlike(r"^[0-9]{1,15}\z"), text.try_cast("bigint")).otherwise(found)
 
 
 def digits_only_id(c: str | Column) -> Column:

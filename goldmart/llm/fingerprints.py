@@ -59,7 +59,9 @@ def checked(digest: Column) -> Column:
 
 def units(text: Column) -> Column:
     words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    return F.flatten(F.transform(words, lambda w: F.when(F.char_length(w) <= RUN, F.array(w)).otherwise(F.split(w, ""))))
+    cut = lambda ws: F.flatten(F.transform(ws, lambda w: F.when(F.char_length(w) <= RUN, F.array(w)).otherwise(F.split(w, ""))))
+    # most texts have no run to cut: their words are the units as they are
+    return let(words, lambda ws: F.when(F.exists(ws, lambda w: F.char_length(w) > RUN), cut(ws)).otherwise(ws))
 
 
 def _groups(u: Column, ends: Column, size: Column) -> Column:
@@ -106,8 +108,8 @@ def sketch(digests: Column, width: Column) -> Column:
     """Cells (n, key) of all rows, one row after the other; ``width`` is a power of two."""
 
     def row(r):
-        return F.transform(F.sequence(F.lit(0), width - 1), lambda p: let(F.filter(digests, lambda d: _here(d, 8 * r, width, p)), lambda own: _cell(
-            F.size(own), F.aggregate(own, F.lit(0).cast("long"), lambda x, d: x.bitwiseXOR(d)))))
+        added = lambda p: lambda x, d: F.when(_here(d, 8 * r, width, p), _cell(x["n"] + 1, x["key"].bitwiseXOR(d))).otherwise(x)
+        return F.transform(F.sequence(F.lit(0), width - 1), lambda p: F.aggregate(digests, _cell(F.lit(0), F.lit(0).cast("long")), added(p)))
 
     return F.concat(*[row(r) for r in range(_ROWS)])
 
@@ -252,18 +254,13 @@ def with_successor(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 def compare_versions(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next): one row per input
     row. The edited text has its last floor(n_chars / 2) code points replaced by the first as many of the next."""
-    own = lambda body: {"digests": paragraphs(body)}
-    rows = with_successor(docs, id_col, text, own).withColumn("n_chars", F.char_length("body").cast("long"))
+    # a text's digests with its fingerprint; a row's own are also its predecessor's next ones
+    sketched = lambda body: let(paragraphs(body), lambda d: F.struct(d.alias("digests"), sketch(d, F.lit(BASE_WIDTH)).alias("base")))
+    rows = with_successor(docs, id_col, text, lambda body: {"own": sketched(body)}).withColumn("n_chars", F.char_length("body").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("body"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring(F.col("next_body"), F.lit(1), half))
-
-    def versions(row):
-        """The three texts' digests with their fingerprints, own first."""
-        return F.transform(F.array(row["own"], row["new"], row["next"]), lambda d: F.struct(d.alias("digests"), sketch(d, F.lit(BASE_WIDTH)).alias("base")))
-
-    rows = rows.select("id", "n_chars", edited.alias("edited"), F.col("digests").alias("own"), F.col("next_digests").alias("next"))
-    rows = rows.withColumn("new", paragraphs(F.col("edited")))
-    rows = rows.select("id", "n_chars", "edited", versions({k: F.col(k) for k in ("own", "new", "next")}).alias("v"))
+    rows = rows.select("id", "n_chars", edited.alias("edited"), "own", "next_own").withColumn("new", sketched(F.col("edited")))
+    rows = rows.select("id", "n_chars", "edited", F.array("own", "new", "next_own").alias("v"))
     one = lambda v, k: likeness(F.get(v, 0)["digests"], F.get(v, 0)["base"], F.get(v, k)["digests"], F.get(v, k)["base"])
     print_of = lambda v, k: as_text(F.get(v, k)["digests"], F.get(v, k)["base"])
     found = let(F.col("v"), lambda v: F.struct(
