@@ -24,8 +24,6 @@ values are ranked by item in byte order; an empty table gives an empty result; o
 from __future__ import annotations
 
 import zlib
-from itertools import chain
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,14 +35,30 @@ from goldmart.session import materialize
 LEAST_DOCS, FIRST_LEVEL, GROWTH, FILTER_BITS = 30, 6, 6, 24
 SMOOTH, SCALE = 5, 1_000_000_000
 TOP_TERMS = 50
-_TERMS, _ENTRIES, _BATCH, _SLICE, _BLOCK = 300_000, 200_000, 50_000, 2 << 20, 1 << 20
+_TERMS, _ENTRIES, _BATCH, _SLICE, _BLOCK = 300_000, 200_000, 50_000, 4 << 20, 1 << 20
 # A byte that is no part of a term becomes a space, A to Z their lower case.
 _SPLIT = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _END = b"\x00"
 
 
-def terms_of(data: bytes) -> list[bytes]:
-    return data.translate(_SPLIT).split()
+def terms_of(texts: pa.Array):
+    """(terms, row): the terms of all texts (binary, no nulls) in order, as one array, and the text that each is of."""
+    import numpy as np
+
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    low = np.frombuffer(_SPLIT, np.uint8)[np.frombuffer(data or b"", np.uint8)[ends[0]:ends[-1]]]
+    ends = ends - ends[0]
+    inside = low != 32
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    # a text that begins with a term begins it anew, whatever the text before ends with
+    first = ends[:-1][np.diff(ends) > 0]
+    begins[first] = inside[first]
+    starts, kept = np.flatnonzero(begins), low[inside]
+    cuts = np.append(np.cumsum(inside)[starts] - 1, len(kept)).astype(np.int32)
+    terms = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(kept)])
+    return terms, np.searchsorted(ends, starts, side="right") - 1
 
 
 def _place(lang: bytes, key: bytes, bits: int) -> int:
@@ -93,21 +107,21 @@ class _Tally:
     def add(self, owners, texts, per_document: bool):
         import numpy as np
 
-        split = [terms_of(t) for t in texts]
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        numbers = np.fromiter(map(self.terms.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
-        del split
+        found, row = terms_of(pa.array(texts, pa.binary()))
+        # only the distinct terms of a slice become Python objects
+        coded = found.dictionary_encode()
+        numbers = np.fromiter(map(self.terms.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))[coded.indices.to_numpy()]
         if self.terms.fresh:
-            found = map(self.key_of, self.terms.fresh)
-            fresh = np.fromiter((-1 if k is None else self.keys.setdefault(k, len(self.keys)) for k in found), np.int64, len(self.terms.fresh))
+            keys = map(self.key_of, self.terms.fresh)
+            fresh = np.fromiter((-1 if k is None else self.keys.setdefault(k, len(self.keys)) for k in keys), np.int64, len(self.terms.fresh))
             self.of_term, self.terms.fresh = np.concatenate([self.of_term, fresh]), []
-        own = np.fromiter((self.owners.setdefault(o, len(self.owners)) for o in owners), np.int64, len(sizes))
-        row, key = np.repeat(np.arange(len(sizes)), sizes), self.of_term[numbers]
+        own = np.fromiter((self.owners.setdefault(o, len(self.owners)) for o in owners), np.int64, len(texts))
+        key = self.of_term[numbers]
         row, key = row[key >= 0], key[key >= 0]
         width = max(len(self.keys), 1)
         packed = own[row] * width + key
         if per_document:
-            bits = len(sizes).bit_length()
+            bits = len(texts).bit_length()
             packed = np.sort(packed << bits | row)
             packed = packed[np.diff(packed, prepend=-1) != 0] >> bits
         else:

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +91,27 @@ def test_share_is_exact_for_large_counts(spark):
     big = 4_000_000_000_000_003
     row = spark.range(1).select(divergence.share(F.lit(big), F.lit(3 * big), F.lit(12_345_678)).alias("p"), divergence.share(F.lit(0), F.lit(0), F.lit(0)).alias("z")).first()
     assert row["p"] == 1 + 1_000_000_000 * (big + 5) // (3 * big + 5 * 12_345_678) and row["z"] == 1
+
+
+def test_terms_of_many_texts_are_cut_at_once():
+    texts = [b"x", b"ab", "", "Zürich-a\x00B\n", b"", b" c ", b"d\xc2\x85e\x85", b"9"]
+    texts = [t.encode() if isinstance(t, str) else t for t in texts]
+    for cut in (slice(None), slice(1, 6), slice(2, 3), slice(0, 0)):
+        part = pa.array(texts, pa.binary())[cut]
+        terms, row = divergence.terms_of(part)
+        expected = [(i, t) for i, text in enumerate(texts[cut]) for t in text.translate(divergence._SPLIT).split()]
+        assert list(zip(row.tolist(), terms.to_pylist())) == expected
+
+
+def test_only_distinct_terms_of_a_slice_are_numbered_one_by_one():
+    class Counted(divergence.TokenIds):
+        asked = 0
+
+        def __getitem__(self, term):
+            Counted.asked += 1
+            return super().__getitem__(term)
+
+    tally = divergence._Tally(lambda t: t)
+    tally.terms = Counted()
+    tally.add([(b"en",)] * 2, [b"a b " * 500, b"a"], True)
+    assert Counted.asked == 2 and [int(n) for n in tally.ns[0]] == [2, 1]
