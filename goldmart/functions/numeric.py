@@ -41,14 +41,19 @@ def to_double(df: DataFrame, name: str) -> Column:
     return F.when(text.rlike(NUMBER_PATTERN), nan_to_null(F.trim(text).try_cast("double")))
 
 
+def _same_text(text: Column) -> Column:
+    """The text is what its whole number is written as: no blanks, plus sign or leading zeros."""
+    return text.try_cast("bigint").cast("string") == text
+
+
 def to_long_truncated(df: DataFrame, name: str) -> Column:
-    """Lenient number, then truncated to a whole number ('12.7' -> 12, '1e3' -> 1000). Up to 15 plain digits are a whole number in
-    double precision too, so they are read as one."""
+    """Lenient number, then truncated to a whole number ('12.7' -> 12, '1e3' -> 1000). A text that its whole number is written as again is
+    read as one, without a pattern, below 10^15: there it is a whole number in double precision too."""
     found = to_double(df, name).try_cast("bigint")
     if isinstance(df.schema[name].dataType, T.NumericType):
         return found
     text = F.col(name).cast("string")
-    return F.when(text.rlike(r"^[0-9]{1,15}\z"), text.try_cast("bigint")).otherwise(found)
+    return F.when(_same_text(text) & text.try_cast("bigint").between(1 - 10**15, 10**15 - 1), text.try_cast("bigint")).otherwise(found)
 
 
 def digits_only_id(c: str | Column) -> Column:
@@ -57,7 +62,8 @@ def digits_only_id(c: str | Column) -> Column:
     No trimming: ' 12' is not an id. ``\\z`` so that a trailing newline does not match.
     """
     text = _col(c).cast("string")
-    return F.when(text.rlike(r"^[0-9]+\z"), text.try_cast("bigint"))
+    plain = _same_text(text) & (text.try_cast("bigint") >= F.lit(0))
+    return F.when(plain | text.rlike(r"^[0-9]+\z"), text.try_cast("bigint"))
 
 
 def scaled(c: str | Column, divisor: float) -> Column:

@@ -6,8 +6,8 @@ from fractions import Fraction
 import numpy as np
 from pyspark.sql import functions as F
 
-from goldmart.functions.literals import _json_members, with_name_list
-from goldmart.functions.numeric import to_long_truncated
+from goldmart.functions.literals import PLAIN_LIST, _Cells, _json_members, with_members, with_name_list
+from goldmart.functions.numeric import digits_only_id, to_double, to_long_truncated
 from goldmart.operators.exact import LIMB, _rounded_at_once
 from goldmart.operators.silver import build_directors, build_keywords
 from goldmart.plans.frames import order_links
@@ -74,3 +74,33 @@ def test_links_come_from_one_distinct_pass(spark, tmp_dir):
 def test_long_ids_keep_their_rounding(spark):
     df = spark.createDataFrame([("999999999999999",), ("9007199254740993",), ("007",), (" 12 ",), ("12.7",), ("\x0012",), ("x",)], "id string")
     assert [r[0] for r in df.select(to_long_truncated(df, "id")).collect()] == [999999999999999, 9007199254740992, 7, 12, 12, None, None]
+
+
+def test_plain_lists_are_known_by_one_pattern(spark):
+    plain = [*CELLS, "[]", "[{}]", "[{'id': -1.5, \"name\": \"Joe's\", 'job': None}, {'x': 0}]", "[{'name': 'true love, NaN'}]", "[{'a': 'New Test For'}]"]
+    other = ["[{'name': 7}]", "[{'name': False}]", "[{'name': 'True'}]", "[{'a': 007}]", "[{'a': 1},]", "[{'a': '\\\\n'}]", "[{'a' 'b': 1}]", "[{'a': [1]}]", "[{'a': {}}]",
+             "[{'a': 'b\tc'}]", "[{'a': 1} ", "[{'a': 1}] ", "[{'a': 1}]\n", "[5]", "{'name': 'a'}", "[{'name\": 'x'}]", "[{'a': null}]", "[{'a': +1}]", "[{'a': b'x'}]", "['a']"]
+    df = spark.createDataFrame([(c, c in plain) for c in plain + other], "raw string, is_plain boolean")
+    got = with_members(df, "raw", "m").select("raw", "is_plain", F.col("raw").rlike(PLAIN_LIST).alias("p"), _json_members(F.col("raw")).isNotNull().alias("jvm"), "m").collect()
+    cells = _Cells()
+    for r in got:
+        cells.add(r["raw"])
+        assert r["p"] == r["is_plain"] and (r["jvm"] or not r["p"]), r["raw"]
+        assert [(m["name"] or None, m["job"]) for m in r["m"]["members"]] == [(m["name"], m["job"]) for m in cells.members[-1]], r["raw"]
+        assert r["m"]["malformed"] == cells.malformed[-1], r["raw"]
+
+
+def test_a_long_plain_list_does_not_exhaust_the_stack(spark):
+    raw = "[" + ", ".join(["{'id': 1, 'name': 'N T F', 'job': None}"] * 50_000) + "]"
+    row = with_name_list(spark.createDataFrame([(raw,)], "raw string"), "raw", "n").select(F.col("raw").rlike(PLAIN_LIST), F.size("n.names")).first()
+    assert tuple(row) == (True, 50_000)
+
+
+def test_plain_ids_are_read_without_a_pattern(spark):
+    texts = ["5", "-5", "-0", "0", "00", "+5", " 5", "5 ", "5\n", "", "-", "999999999999999", "-999999999999999", "1000000000000001", "9223372036854775807",
+             "9223372036854775808", "-9223372036854775808", "-9223372036854775809", None]
+    df = spark.createDataFrame([(t,) for t in texts], "id string")
+    got = df.select(to_long_truncated(df, "id"), digits_only_id("id"), to_double(df, "id").try_cast("bigint")).collect()
+    assert [g[0] for g in got] == [g[2] for g in got]
+    assert [g[1] for g in got] == [int(t) if t and t.isascii() and t.isdigit() and int(t) < 2**63 else None for t in texts]
+    assert "RLIKE ^[0-9]{1,15}" not in plan_of(df.select(to_long_truncated(df, "id")))
