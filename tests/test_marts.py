@@ -186,3 +186,20 @@ def test_quantile_plan_does_not_exchange_values_on_the_bare_group(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "_salt" in plan and len(plan) < 60_000
+
+
+def test_rows_of_large_groups_are_never_the_side_that_is_broadcast(spark):
+    """The rows look small to the planner (few bytes a row), the bounds do not: still the rows stay where they are dealt to."""
+    from goldmart.operators.quantiles import LOCAL_ROWS, SALTS
+
+    n = 3 * LOCAL_ROWS
+    df = spark.range(n).select((F.col("id") % 2).cast("int").alias("k"), F.pmod(F.xxhash64("id"), F.lit(n)).cast("double").alias("v"))
+    found = grouped_quantiles(df, ["k"], "v", [0.5], ["m"], midpoint_mean=True)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # by (group, salt) the rows meet the sizes, the bounds and the hit buckets; only joins with these may broadcast, and only the right side
+    assert SALTS > 1 and "BuildLeft" not in plan and "ShuffledHashJoin" in plan
+    assert "aggregate(" not in plan.split("_before")[0]
+    values = df.toPandas()
+    for row in found.collect():
+        assert row["m"] == values.v[values.k == row["k"]].median()
