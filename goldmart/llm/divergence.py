@@ -12,7 +12,8 @@ counts, which Spark sums by (language, prefix). The surviving prefixes travel to
 ``2^filter_bits`` bits: its size is fixed, and a prefix that passes by a shared bit only costs a row, since the exact counts
 decide. Nothing else of the corpus comes to the driver.
 
-Then one scan counts the kept terms of each (language, source). With N the sum of a group's counts and V the kept terms of the language,
+The first level counts by language; from the second level on the scan that counts the documents of a key counts its occurrences too, both by (language,
+source), so the terms that end within the level and are kept need no scan of their own. With N the sum of a group's counts and V the kept terms of the language,
 a term has the share p = 1 + floor(10^9 (count + 5) / (N + 5 V)), in whole numbers throughout. ``pair_ranks`` compares the sources of
 a language by the sum of |p - q| over all kept terms; ``term_ranks`` ranks the terms that a source uses more than its language as a whole.
 
@@ -35,7 +36,7 @@ from goldmart.session import materialize
 LEAST_DOCS, FIRST_LEVEL, GROWTH, FILTER_BITS = 30, 6, 6, 24
 SMOOTH, SCALE = 5, 1_000_000_000
 TOP_TERMS = 50
-_TERMS, _ENTRIES, _BATCH, _SLICE, _BLOCK = 300_000, 200_000, 50_000, 4 << 20, 1 << 20
+_TERMS, _ENTRIES, _COUNTS, _BATCH, _SLICE, _BLOCK = 300_000, 200_000, 600_000, 50_000, 4 << 20, 1 << 20
 # A byte that is no part of a term becomes a space, A to Z their lower case.
 _SPLIT = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _END = b"\x00"
@@ -95,11 +96,14 @@ class Survivors:
 
 class _Tally:
     """Counts of a task by (owner, key): terms are numbered once, a slice of texts is counted by sorting numbers, and equal
-    counts are merged. Terms beyond ``_TERMS`` are numbered anew, and what is pending is handed out at ``_ENTRIES``, so memory stays bounded."""
+    counts are merged. Terms beyond ``_TERMS`` are numbered anew, and what is pending is handed out at ``_ENTRIES`` keys or owners or ``_COUNTS`` counts, so memory stays
+    bounded. Keys and terms keep their numbers when only the counts are many."""
 
-    def __init__(self, key_of):
+    def __init__(self, key_of, both: bool = False):
+        """``both``: documents are counted beside occurrences."""
         import numpy as np
 
+        self.both, self.docs = both, []
         self.key_of, self.keys, self.owners = key_of, {}, {}
         self.terms, self.of_term = TokenIds(), np.zeros(0, np.int64)
         self.codes, self.ns = [], []
@@ -118,10 +122,35 @@ class _Tally:
         own = np.fromiter((self.owners.setdefault(o, len(self.owners)) for o in owners), np.int64, len(texts))
         key = self.of_term[numbers]
         row, key = row[key >= 0], key[key >= 0]
+        if self.both:
+            self._add_both(own, row, key)
+        else:
+            self._add_one(own, row, key, len(texts), per_document)
+        if len(self.terms) > _TERMS:
+            self.terms, self.of_term = TokenIds(), np.zeros(0, np.int64)
+
+    def _add_both(self, own, row, key):
+        """Rows are numbered anew in the order of their owners, so one sort of (key, row) has the rows of (key, owner) and those of (key, document) together."""
+        import numpy as np
+
+        bits, order = len(own).bit_length(), np.argsort(own, kind="stable")
+        place = np.empty(len(own), np.int64)
+        place[order] = np.arange(len(own))
+        packed = np.sort(key << bits | place[row])
+        document = np.diff(packed, prepend=-1) != 0
+        key, owner = packed >> bits, own[order][packed & ((1 << bits) - 1)]
+        starts = np.flatnonzero((np.diff(key, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
+        self.codes.append(owner[starts] << 32 | key[starts])
+        self.ns.append(np.diff(starts, append=len(packed)))
+        self.docs.append(np.add.reduceat(document, starts, dtype=np.int64) if len(starts) else starts)
+
+    def _add_one(self, own, row, key, n_texts: int, per_document: bool):
+        import numpy as np
+
         width = max(len(self.keys), 1)
         packed = own[row] * width + key
         if per_document:
-            bits = len(texts).bit_length()
+            bits = n_texts.bit_length()
             packed = np.sort(packed << bits | row)
             packed = packed[np.diff(packed, prepend=-1) != 0] >> bits
         else:
@@ -130,94 +159,118 @@ class _Tally:
         codes = packed[starts]
         self.codes.append(codes // width << 32 | codes % width)
         self.ns.append(np.diff(starts, append=len(packed)))
-        if len(self.terms) > _TERMS:
-            self.terms, self.of_term = TokenIds(), np.zeros(0, np.int64)
 
     def merge(self):
         import numpy as np
 
         codes, at = np.unique(np.concatenate([np.zeros(0, np.int64), *self.codes]), return_inverse=True)
-        self.ns = [np.bincount(at, weights=np.concatenate([np.zeros(0), *self.ns]), minlength=len(codes)).astype(np.int64)]
+        added = lambda ns: [np.bincount(at, weights=np.concatenate([np.zeros(0), *ns]), minlength=len(codes)).astype(np.int64)]
+        self.ns, self.docs = added(self.ns), added(self.docs) if self.both else []
         self.codes = [codes]
 
     def full(self) -> bool:
-        if sum(map(len, self.codes)) > 2 * _ENTRIES:
+        if sum(map(len, self.codes)) > 2 * _COUNTS:
             self.merge()
-        return len(self.keys) > _ENTRIES or len(self.codes) == 1 and len(self.codes[0]) > _ENTRIES
+        return self._many() or len(self.codes) == 1 and len(self.codes[0]) > _COUNTS
+
+    def _many(self) -> bool:
+        return max(len(self.keys), len(self.owners)) > _ENTRIES
 
     def handed_out(self, passes, names):
-        """Batches of (owner..., key, count) for the counts so far whose language and key ``passes`` lets through."""
+        """Batches of (owner..., key, count[, documents]) for the counts so far whose language and key ``passes`` lets through."""
         import numpy as np
 
         self.merge()
-        codes, ns, owners, keys = self.codes[0], self.ns[0], list(self.owners), list(self.keys)
+        codes, measures, owners, keys = self.codes[0], [*self.ns, *self.docs], list(self.owners), list(self.keys)
         # the first column of an owner is its language: each key is looked up once for each language
         langs = {}
         lang_of = np.array([langs.setdefault(o[0], len(langs)) for o in owners], np.int64)
         pairs, at = np.unique(lang_of[codes >> 32] << 32 | codes & 0xFFFFFFFF, return_inverse=True) if len(codes) else (codes, codes)
         names_of = list(langs)
         let = np.fromiter((passes(names_of[p >> 32], keys[p & 0xFFFFFFFF]) for p in pairs.tolist()), bool, len(pairs))
-        codes, ns = (codes[let[at]], ns[let[at]]) if len(codes) else (codes, ns)
-        columns = [pa.array([o[i] for o in owners], pa.binary()) for i in range(len(names) - 2)]
+        codes, measures = (codes[let[at]], [m[let[at]] for m in measures]) if len(codes) else (codes, measures)
+        columns = [pa.array([o[i] for o in owners], pa.binary()) for i in range(len(names) - 1 - len(measures))]
         texts = pa.array(keys, pa.binary())
         for start in range(0, max(len(codes), 1), _BATCH):
             part = codes[start:start + _BATCH]
             own, key = pa.array(part >> 32), pa.array(part & 0xFFFFFFFF)
-            yield pa.RecordBatch.from_arrays([*[c.take(own) for c in columns], texts.take(key), pa.array(ns[start:start + _BATCH], pa.int64())], names=names)
-        self.__init__(self.key_of)
+            counts = [pa.array(m[start:start + _BATCH], pa.int64()) for m in measures]
+            yield pa.RecordBatch.from_arrays([*[c.take(own) for c in columns], texts.take(key), *counts], names=names)
+        if self._many():
+            self.__init__(self.key_of, self.both)
+        self.codes, self.ns, self.docs = [], [], []
 
 
-def _tallied(rows: DataFrame, owners: list[str], key_of, per_document: bool, passes) -> DataFrame:
-    """(owners..., key, n), summed: how often each key occurs (``per_document``: in how many rows)."""
-    names, at = [*owners, "key", "n"], len(owners)
+def _tallied(rows: DataFrame, owners: list[str], key_of, passes, both: bool) -> DataFrame:
+    """(owners..., key, n), summed: in how many rows each key occurs; ``both``: (owners..., key, n, docs), how often and in how many rows."""
+    measures = ["n", "docs"] if both else ["n"]
+    names, at = [*owners, "key", *measures], len(owners)
 
     def run(batches):
-        tally = _Tally(key_of)
+        tally = _Tally(key_of, both)
         for batch in (part for whole in batches for part in slices(whole, at, _SLICE)):
             columns = [[v.as_py() or b"" for v in batch.column(i).cast(pa.binary())] for i in range(at + 1)]
-            tally.add(list(zip(*columns[:at])), columns[at], per_document)
+            tally.add(list(zip(*columns[:at])), columns[at], True)
             if tally.full():
                 yield from tally.handed_out(passes, names)
         yield from tally.handed_out(passes, names)
 
-    found = rows.select(*owners, "text").mapInArrow(run, ", ".join(f"{o} binary" for o in owners) + ", key binary, n long")
+    found = rows.select(*owners, "text").mapInArrow(run, ", ".join([*[f"{o} binary" for o in owners], "key binary", *[f"{m} long" for m in measures]]))
     texts = [F.col(o).cast("string").alias(o) for o in owners]
-    return found.groupBy(*texts, "key").agg(F.sum("n").alias("n"))
+    return found.groupBy(*texts, "key").agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def kept_terms(rows: DataFrame, least_docs: int = LEAST_DOCS, first: int = FIRST_LEVEL, bits: int = FILTER_BITS) -> DataFrame:
-    """(lang, key): the complete terms (UTF-8 bytes) in at least ``least_docs`` documents of their language.
-    ``rows`` has lang, source and text without nulls."""
-    length, before, left, complete = first, 0, Survivors(None, bits), []
-    while True:
-        level = materialize(_level(rows, length, before, left).where(F.col("n") >= least_docs), f"prefixes-{length}")
-        ended = F.substring("key", -1, 1) == F.unhex(F.lit("00"))
-        complete.append(level.where(ended).selectExpr("lang", "substring(key, 1, length(key) - 1) AS key"))
-        open_ones = level.where(~ended).select("lang", "key")
-        if open_ones.isEmpty():
-            break
-        before, length, left = length, GROWTH * length, Survivors(open_ones, bits)
-    found = complete[0]
-    for more in complete[1:]:
+def _ended() -> Column:
+    return F.substring("key", -1, 1) == F.unhex(F.lit("00"))
+
+
+def term_counts(rows: DataFrame, least_docs: int = LEAST_DOCS, first: int = FIRST_LEVEL, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """((lang, key), (lang, source, key, n)): the complete terms (UTF-8 bytes) in at least ``least_docs`` documents of their language, and their
+    occurrences in each group, n > 0. ``rows`` has lang, source and text without nulls.
+
+    The terms that end within the first level are counted with the second, each later level has the terms that end beyond the level before."""
+    spark = rows.sparkSession
+    left = materialize(_level(rows, first).where(F.col("n") >= least_docs), f"prefixes-{first}").select("lang", "key")
+    before, length, kept, counts = 0, first, [], []
+    while not left.isEmpty():
+        before, length, shortest = length, GROWTH * length, before and length
+        level = materialize(_counted_level(rows, length, before, shortest, Survivors(left, bits)), f"counted-{length}")
+        frequent = materialize(level.groupBy("lang", "key").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs).select("lang", "key"), f"terms-{length}")
+        cut = F.expr("substring(key, 1, length(key) - 1)").alias("key")
+        kept.append(frequent.where(_ended()).select("lang", cut))
+        counts.append(level.join(frequent.where(_ended()), ["lang", "key"]).select("lang", "source", cut, "n"))
+        left = frequent.where(~_ended())
+    if not kept:
+        return spark.createDataFrame([], "lang string, key binary"), spark.createDataFrame([], "lang string, source string, key binary, n long")
+    return _union(kept), _union(counts)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    found = parts[0]
+    for more in parts[1:]:
         found = found.unionByName(more)
     return found
 
 
-def _level(rows: DataFrame, length: int, before: int, left: Survivors) -> DataFrame:
-    """(lang, key, n): documents for each prefix of ``length`` bytes that extends a surviving prefix of ``before`` bytes. The key of a
-    term that ends within it has the end byte last; a term that ended within the prefix before has no key any more."""
+def kept_terms(rows: DataFrame, least_docs: int = LEAST_DOCS, first: int = FIRST_LEVEL, bits: int = FILTER_BITS) -> DataFrame:
+    """(lang, key) of ``term_counts``."""
+    return term_counts(rows, least_docs, first, bits)[0]
 
-    def key_of(term):
-        return (term + _END)[:length] if len(term) >= before and left.has(b"", term[:before]) else None
 
-    return _tallied(rows, ["lang"], key_of, True, lambda lang, key: left.has(lang, key[:before]))
+def _level(rows: DataFrame, length: int) -> DataFrame:
+    """(lang, key, n): documents for each prefix of ``length`` bytes. The key of a term that ends within it has the end byte last."""
+    return _tallied(rows, ["lang"], lambda term: (term + _END)[:length], lambda lang, key: True, False)
 
 
-def term_counts(rows: DataFrame, kept: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """(lang, source, term, n): occurrences of the kept terms in each group, n > 0."""
-    wanted = Survivors(kept, bits)
-    found = _tallied(rows, ["lang", "source"], lambda term: term if wanted.has(b"", term) else None, False, lambda lang, key: wanted.has(lang, key))
-    return found.join(kept, ["lang", "key"]).select("lang", "source", F.col("key").cast("string").alias("term"), "n")
+def _counted_level(rows: DataFrame, length: int, before: int, shortest: int, left: Survivors) -> DataFrame:
+    """(lang, source, key, n, docs): occurrences and documents for each key of ``length`` bytes that extends a surviving key of ``before`` bytes, of terms of
+    ``shortest`` bytes or more: a term that ended within the key before, and was counted then, has no key any more."""
+
+    def key_of(term):
+        key = (term + _END)[:length]
+        return key if len(term) >= shortest and left.has(b"", key[:before]) else None
+
+    return _tallied(rows, ["lang", "source"], key_of, lambda lang, key: left.has(lang, key[:before]), True)
 
 
 def share(count: Column, total: Column, kinds: Column) -> Column:
@@ -232,8 +285,8 @@ def share(count: Column, total: Column, kinds: Column) -> Column:
 def _tables(docs: DataFrame, lang: str, source: str, text: str, least_docs: int, first: int, bits: int):
     """(rows of groups, counts): (lang, source, total, kinds, base) and (lang, source, term, n, total, kinds)."""
     rows = docs.select(*[F.coalesce(docs[f"`{c}`"].cast("string"), F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"), (text, "text"))])
-    kept = kept_terms(rows, least_docs, first, bits)
-    counts = materialize(term_counts(rows, kept, bits), "term-counts")
+    kept, found = term_counts(rows, least_docs, first, bits)
+    counts = materialize(found.select("lang", "source", F.col("key").cast("string").alias("term"), "n"), "term-counts")
     kinds = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kinds"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = rows.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(kinds, "lang", "left")
