@@ -104,3 +104,26 @@ def test_plain_ids_are_read_without_a_pattern(spark):
     assert [g[0] for g in got] == [g[2] for g in got]
     assert [g[1] for g in got] == [int(t) if t and t.isascii() and t.isdigit() and int(t) < 2**63 else None for t in texts]
     assert "RLIKE ^[0-9]{1,15}" not in plan_of(df.select(to_long_truncated(df, "id")))
+
+
+def test_credits_meet_the_customers_once_per_order(spark, tmp_dir):
+    """The lines are joined to one side only, which already has the names: no shuffle of lines by customer."""
+    from goldmart.plans.frames import order_credits
+
+    t = F.lit("2000-01-01").cast("timestamp")
+    lines = spark.createDataFrame([(1, 1, 7), (1, 2, 8), (2, 1, 9), (3, 1, 1), (None, 1, 1)], "l_orderkey long, l_linenumber int, l_partkey long")
+    lines = lines.withColumns({"l_suppkey": F.lit(4).cast("long"), "l_shipdate": t, "l_extendedprice": F.lit(1.0), "l_quantity": F.lit(2.0)})
+    lines.write.parquet(f"{tmp_dir}/lineitem.parquet")
+    spark.createDataFrame([(1, 10), (2, None), (3, 11), (3, 10), (None, 10)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.createDataFrame([(10, "A"), (10, "B"), (None, "C")], "c_custkey long, c_name string").write.parquet(f"{tmp_dir}/customer.parquet")
+    credits = order_credits(spark, tmp_dir)
+    crew = {n: f"[{{'job': 'Producer', 'name': 'P4'}}, {{'job': 'Director', 'name': '{n}'}}]" for n in "AB"} | {None: None}
+    expected = [("1", 1, "A"), ("1", 1, "B"), ("1", 2, "A"), ("1", 2, "B"), ("2", 1, None), ("3", 1, None), ("3", 1, "A"), ("3", 1, "B")]
+    assert sorted(((r["id"], r["l_linenumber"], r["crew"]) for r in credits.collect()), key=str) == sorted(((i, n, crew[c]) for i, n, c in expected), key=str)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(order_credits(spark, tmp_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 4  # lines, orders by customer, customers, orders by order
