@@ -52,17 +52,60 @@ def terms_of(texts: pa.Array):
     inside = low != 32
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
-    # a text that begins with a term begins it anew, whatever the text before ends with
+    # a text that begins with a term begins it anew, whatever the text before ends with; likewise a text's last byte ends one
     first = ends[:-1][np.diff(ends) > 0]
     begins[first] = inside[first]
+    closes = inside.copy()
+    closes[:-1] &= ~inside[1:] | begins[1:]
     starts, kept = np.flatnonzero(begins), low[inside]
-    cuts = np.append(np.cumsum(inside)[starts] - 1, len(kept)).astype(np.int32)
+    cuts = np.concatenate([[0], np.cumsum(np.flatnonzero(closes) + 1 - starts)]).astype(np.int32)
     terms = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(kept)])
-    return terms, np.searchsorted(ends, starts, side="right") - 1
+    return terms, np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, ends)))
 
 
-def _place(lang: bytes, key: bytes, bits: int) -> int:
-    return zlib.crc32(key, zlib.crc32(lang + _END)) & ((1 << bits) - 1)
+def _ends_and_bytes(values: pa.Array):
+    """(offsets, bytes) of a binary array without nulls, as numpy arrays; the offsets point into the bytes."""
+    import numpy as np
+
+    _, offsets, data = values.buffers()
+    ends = np.frombuffer(offsets, np.int32)[values.offset:values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int32)
+    return ends, np.frombuffer(data or b"", np.uint8)
+
+
+def _listed(values: pa.Array) -> list[bytes]:
+    ends, data = _ends_and_bytes(values)
+    whole, ends = data.tobytes(), ends.tolist()
+    return [whole[i:j] for i, j in zip(ends, ends[1:])]
+
+
+_CRC_STEPS, _CRC_BYTES = [], 64
+
+
+def crc32s(values: pa.Array, before):
+    """zlib.crc32 of each value, going on from ``before`` (one number, or one for each value). A step takes one byte of every value that
+    has one left; values of more than ``_CRC_BYTES`` bytes are taken one by one."""
+    import numpy as np
+
+    if not _CRC_STEPS:
+        steps = np.arange(256, dtype=np.uint32)
+        for _ in range(8):
+            steps = np.where(steps & 1, steps >> 1 ^ np.uint32(0xEDB88320), steps >> 1).astype(np.uint32)
+        _CRC_STEPS.append(steps)
+    steps, (ends, data) = _CRC_STEPS[0], _ends_and_bytes(values)
+    starts, lengths = ends[:-1].astype(np.int64), np.diff(ends)
+    before = np.broadcast_to(np.asarray(before, np.uint32), lengths.shape)
+    crc = ~before
+    left = np.flatnonzero((lengths > 0) & (lengths <= _CRC_BYTES))
+    for at in range(_CRC_BYTES):
+        if not len(left):
+            break
+        now = crc[left]
+        crc[left] = steps[(now ^ data[starts[left] + at]) & 0xFF] ^ (now >> np.uint32(8))
+        left = left[lengths[left] > at + 1]
+    crc = ~crc
+    for i in np.flatnonzero(lengths > _CRC_BYTES).tolist():
+        crc[i] = zlib.crc32(data[ends[i]:ends[i + 1]].tobytes(), int(before[i]))
+    return crc
 
 
 def _place_column(lang: Column, key: Column, bits: int) -> Column:
@@ -86,39 +129,40 @@ class Survivors:
             words[found.column("w").to_numpy()] = found.column("b").to_numpy()
             self.table = words.tobytes()
 
-    def has(self, lang: bytes, key: bytes) -> bool:
+    def has(self, lang: bytes, keys: pa.Array):
+        """For each key (binary): whether it is left in the language."""
+        import numpy as np
+
         if self.table is None:
-            return True
-        place = _place(lang, key, self.bits)
-        return bool(self.table[place >> 3] >> (place & 7) & 1)
+            return np.ones(len(keys), bool)
+        place = crc32s(keys, zlib.crc32(lang + _END)) & np.uint32((1 << self.bits) - 1)
+        return (np.frombuffer(self.table, np.uint8)[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
 
 
 class _Tally:
-    """Counts of a task by (owner, key): terms are numbered once, a slice of texts is counted by sorting numbers, and equal
-    counts are merged. Terms beyond ``_TERMS`` are numbered anew, and what is pending is handed out at ``_ENTRIES``, so memory stays bounded."""
-
-    def __init__(self, key_of):
-        import numpy as np
+    """Counts of a task by (owner, key): the keys of a slice's distinct terms are found at once (``keys_of``: terms to keys, null for none)
+    and numbered, the slice is counted by sorting numbers, and equal counts are merged. What is pending is handed out beyond ``_TERMS`` keys or
+    ``_ENTRIES`` counts, so memory stays bounded."""
 
-        self.key_of, self.keys, self.owners = key_of, {}, {}
-        self.terms, self.of_term = TokenIds(), np.zeros(0, np.int64)
+    def __init__(self, keys_of):
+        self.keys_of, self.terms, self.owners = keys_of, TokenIds(), {}
         self.codes, self.ns = [], []
 
     def add(self, owners, texts, per_document: bool):
         import numpy as np
 
         found, row = terms_of(pa.array(texts, pa.binary()))
-        # only the distinct terms of a slice become Python objects
+        # only the distinct keys of a slice become Python objects
         coded = found.dictionary_encode()
-        numbers = np.fromiter(map(self.terms.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))[coded.indices.to_numpy()]
-        if self.terms.fresh:
-            keys = map(self.key_of, self.terms.fresh)
-            fresh = np.fromiter((-1 if k is None else self.keys.setdefault(k, len(self.keys)) for k in keys), np.int64, len(self.terms.fresh))
-            self.of_term, self.terms.fresh = np.concatenate([self.of_term, fresh]), []
+        keyed = self.keys_of(coded.dictionary).dictionary_encode()
+        numbers = np.fromiter(map(self.terms.__getitem__, _listed(keyed.dictionary)), np.int64, len(keyed.dictionary))
+        self.terms.fresh.clear()
+        # the last number stands for the terms without a key
+        of_term = np.append(numbers, -1)[keyed.indices.fill_null(-1).to_numpy()]
         own = np.fromiter((self.owners.setdefault(o, len(self.owners)) for o in owners), np.int64, len(texts))
-        key = self.of_term[numbers]
+        key = of_term[coded.indices.to_numpy()]
         row, key = row[key >= 0], key[key >= 0]
-        width = max(len(self.keys), 1)
+        width = max(len(self.terms), 1)
         packed = own[row] * width + key
         if per_document:
             bits = len(texts).bit_length()
@@ -130,8 +174,6 @@ class _Tally:
         codes = packed[starts]
         self.codes.append(codes // width << 32 | codes % width)
         self.ns.append(np.diff(starts, append=len(packed)))
-        if len(self.terms) > _TERMS:
-            self.terms, self.of_term = TokenIds(), np.zeros(0, np.int64)
 
     def merge(self):
         import numpy as np
@@ -143,36 +185,37 @@ class _Tally:
     def full(self) -> bool:
         if sum(map(len, self.codes)) > 2 * _ENTRIES:
             self.merge()
-        return len(self.keys) > _ENTRIES or len(self.codes) == 1 and len(self.codes[0]) > _ENTRIES
+        return len(self.terms) > _TERMS or len(self.codes) == 1 and len(self.codes[0]) > _ENTRIES
 
     def handed_out(self, passes, names):
-        """Batches of (owner..., key, count) for the counts so far whose language and key ``passes`` lets through."""
+        """Batches of (owner..., key, count) for the counts so far whose language and key ``passes`` lets through (language, keys: one verdict or
+        one for each key)."""
         import numpy as np
 
         self.merge()
-        codes, ns, owners, keys = self.codes[0], self.ns[0], list(self.owners), list(self.keys)
+        codes, ns, owners, texts = self.codes[0], self.ns[0], list(self.owners), pa.array(list(self.terms), pa.binary())
         # the first column of an owner is its language: each key is looked up once for each language
         langs = {}
         lang_of = np.array([langs.setdefault(o[0], len(langs)) for o in owners], np.int64)
         pairs, at = np.unique(lang_of[codes >> 32] << 32 | codes & 0xFFFFFFFF, return_inverse=True) if len(codes) else (codes, codes)
-        names_of = list(langs)
-        let = np.fromiter((passes(names_of[p >> 32], keys[p & 0xFFFFFFFF]) for p in pairs.tolist()), bool, len(pairs))
+        let, bounds = np.zeros(len(pairs), bool), np.searchsorted(pairs >> 32, np.arange(len(langs) + 1))
+        for lang, begin, end in zip(langs, bounds, bounds[1:]):
+            let[begin:end] = passes(lang, texts.take(pa.array(pairs[begin:end] & 0xFFFFFFFF)))
         codes, ns = (codes[let[at]], ns[let[at]]) if len(codes) else (codes, ns)
         columns = [pa.array([o[i] for o in owners], pa.binary()) for i in range(len(names) - 2)]
-        texts = pa.array(keys, pa.binary())
         for start in range(0, max(len(codes), 1), _BATCH):
             part = codes[start:start + _BATCH]
             own, key = pa.array(part >> 32), pa.array(part & 0xFFFFFFFF)
             yield pa.RecordBatch.from_arrays([*[c.take(own) for c in columns], texts.take(key), pa.array(ns[start:start + _BATCH], pa.int64())], names=names)
-        self.__init__(self.key_of)
+        self.__init__(self.keys_of)
 
 
-def _tallied(rows: DataFrame, owners: list[str], key_of, per_document: bool, passes) -> DataFrame:
+def _tallied(rows: DataFrame, owners: list[str], keys_of, per_document: bool, passes) -> DataFrame:
     """(owners..., key, n), summed: how often each key occurs (``per_document``: in how many rows)."""
     names, at = [*owners, "key", "n"], len(owners)
 
     def run(batches):
-        tally = _Tally(key_of)
+        tally = _Tally(keys_of)
         for batch in (part for whole in batches for part in slices(whole, at, _SLICE)):
             columns = [[v.as_py() or b"" for v in batch.column(i).cast(pa.binary())] for i in range(at + 1)]
             tally.add(list(zip(*columns[:at])), columns[at], per_document)
@@ -207,16 +250,34 @@ def _level(rows: DataFrame, length: int, before: int, left: Survivors) -> DataFr
     """(lang, key, n): documents for each prefix of ``length`` bytes that extends a surviving prefix of ``before`` bytes. The key of a
     term that ends within it has the end byte last; a term that ended within the prefix before has no key any more."""
 
-    def key_of(term):
-        return (term + _END)[:length] if len(term) >= before and left.has(b"", term[:before]) else None
+    def keys_of(terms):
+        import pyarrow.compute as pc
+
+        ended = pc.binary_join_element_wise(terms, pa.scalar(_END, pa.binary()), pa.scalar(b"", pa.binary()))
+        keys = pc.binary_slice(ended, 0, length)
+        return _only(keys, pc.greater_equal(pc.binary_length(terms), before), left.has(b"", pc.binary_slice(terms, 0, before))) if before else keys
+
+    def passes(lang, keys):
+        import pyarrow.compute as pc
+
+        return left.has(lang, pc.binary_slice(keys, 0, before))
+
+    return _tallied(rows, ["lang"], keys_of, True, passes)
+
+
+def _only(keys: pa.Array, *tests) -> pa.Array:
+    """The keys that pass all tests, null in the place of the others."""
+    import numpy as np
+    import pyarrow.compute as pc
 
-    return _tallied(rows, ["lang"], key_of, True, lambda lang, key: left.has(lang, key[:before]))
+    passed = np.logical_and.reduce([np.asarray(t, bool) for t in tests])
+    return pc.if_else(pa.array(passed, pa.bool_()), keys, pa.scalar(None, pa.binary()))
 
 
 def term_counts(rows: DataFrame, kept: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     """(lang, source, term, n): occurrences of the kept terms in each group, n > 0."""
     wanted = Survivors(kept, bits)
-    found = _tallied(rows, ["lang", "source"], lambda term: term if wanted.has(b"", term) else None, False, lambda lang, key: wanted.has(lang, key))
+    found = _tallied(rows, ["lang", "source"], lambda terms: _only(terms, wanted.has(b"", terms)), False, wanted.has)
     return found.join(kept, ["lang", "key"]).select("lang", "source", F.col("key").cast("string").alias("term"), "n")
 
 

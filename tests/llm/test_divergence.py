@@ -1,8 +1,10 @@
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +117,20 @@ def test_only_distinct_terms_of_a_slice_are_numbered_one_by_one():
     tally.terms = Counted()
     tally.add([(b"en",)] * 2, [b"a b " * 500, b"a"], True)
     assert Counted.asked == 2 and [int(n) for n in tally.ns[0]] == [2, 1]
+
+
+def test_checksums_of_many_values_at_once():
+    rng = random.Random(3)
+    values = [rng.randbytes(rng.choice([0, 1, 6, 36, 63, 64, 65, 700])) for _ in range(300)]
+    for cut in (slice(None), slice(7, 12), slice(0, 0)):
+        part = pa.array(values, pa.binary())[cut]
+        for before in (0, zlib.crc32(b"en\x00")):
+            assert divergence.crc32s(part, before).tolist() == [zlib.crc32(v, before) for v in values[cut]]
+
+
+def test_only_distinct_keys_of_a_slice_become_python_objects():
+    tally = divergence._Tally(lambda terms: divergence._only(pc.binary_slice(terms, 0, 1), pc.greater(pc.binary_length(terms), 1)))
+    tally.add([(b"en",), (b"de",)], [b"ab ac ad b bb ab", b"b ax"], False)
+    assert list(tally.terms) == [b"a", b"b"]
+    found = [r for batch in tally.handed_out(lambda lang, keys: lang == b"en", ["lang", "key", "n"]) for r in batch.to_pylist()]
+    assert [(r["lang"], r["key"], r["n"]) for r in found] == [(b"en", b"a", 4), (b"en", b"b", 1)]
