@@ -21,6 +21,12 @@ def rint_round(c: str | Column, digits: int = 2) -> Column:
     return F.rint(_col(c) * F.lit(scale)) / F.lit(scale) + F.lit(0.0)  # + 0.0 turns -0.0 into 0.0
 
 
+def once(c: Column, dtype: str) -> Column:
+    """The same value, computed once a row: a filter on what follows is not moved below it, where it would compute the value a second
+    time. What stands behind the value never applies (no partition has a number below 0), but its number keeps the column in its place."""
+    return F.coalesce(c, F.when(F.spark_partition_id() < F.lit(0), F.lit(0)).cast(dtype))
+
+
 def nan_to_null(c: str | Column) -> Column:
     """NaN becomes null, so that averages skip it and sorts put it last."""
     col = _col(c)

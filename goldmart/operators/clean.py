@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldmart.constants import NUMERIC_MOVIE_COLUMNS
-from goldmart.functions.numeric import digits_only_id, to_double
+from goldmart.functions.numeric import digits_only_id, once, to_double
 from goldmart.functions.text import blank_to_null, py_strip
 from goldmart.operators.dedup import keep_first
 from goldmart.sources.contracts import validate_columns
@@ -43,7 +43,7 @@ def clean_movies(
     """
     validate_columns(movies, "movies")
     order = _order(movies, order_by)
-    with_id = movies.withColumn("id", digits_only_id("id")).where(F.col("id").isNotNull())
+    with_id = movies.withColumn("id", once(digits_only_id("id"), "bigint")).where(F.col("id").isNotNull())
     first = keep_first(with_id, ["id"], order)
     typed = first.withColumns({c: to_double(first, c) for c in numeric_columns})
     title = F.col("title") if null_title == "drop" else F.coalesce(F.col("title"), F.lit("nan"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldmart.functions.literals import first_or_null, with_director, with_name_list
-from goldmart.functions.numeric import rint_round, to_double, to_long_truncated
+from goldmart.functions.numeric import once, rint_round, to_double, to_long_truncated
 from goldmart.operators.clean import _order
 from goldmart.operators.dedup import keep_first
 from goldmart.operators.exact import limb_sums, merged_scales, scale_of, whole_of
@@ -16,7 +16,7 @@ from goldmart.sources.contracts import validate_columns
 
 
 def _valid_ids(df: DataFrame, column: str = "id") -> DataFrame:
-    return df.withColumn(column, to_long_truncated(df, column)).where(F.col(column).isNotNull())
+    return df.withColumn(column, once(to_long_truncated(df, column), "bigint")).where(F.col(column).isNotNull())
 
 
 def _crew_parsed(rows: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -90,8 +90,8 @@ def bridge_links(links: DataFrame, order_by: Sequence[str] | None = None) -> Dat
     validate_columns(links, "links")
     order = _order(links, order_by)
     typed = links.select(
-        to_long_truncated(links, "movieId").alias("movieId"),
-        to_long_truncated(links, "tmdbId").alias("tmdbId"),
+        once(to_long_truncated(links, "movieId"), "bigint").alias("movieId"),
+        once(to_long_truncated(links, "tmdbId"), "bigint").alias("tmdbId"),
         *order,
     ).where(F.col("movieId").isNotNull() & F.col("tmdbId").isNotNull())
     return keep_first(typed, ["movieId"], order).select("movieId", "tmdbId")
@@ -109,7 +109,8 @@ def build_movie_ratings(
     """
     validate_columns(ratings, "ratings")
     bridge = bridge_links(links, order_by)
-    rated = ratings.select(to_long_truncated(ratings, "movieId").alias("movieId"), to_double(ratings, "rating").alias("rating"))
+    rated = ratings.select(
+        once(to_long_truncated(ratings, "movieId"), "bigint").alias("movieId"), once(to_double(ratings, "rating"), "double").alias("rating"))
     rated = rated.where(F.col("movieId").isNotNull() & F.col("rating").isNotNull()).withColumn("_scale", scale_of(F.col("rating")))
     whole = whole_of(F.col("rating"), F.col("_scale"))
     per_movie = rated.groupBy("movieId", "_scale").agg(*[agg.alias(part) for part, agg in limb_sums(whole, F.col("rating")).items()])

@@ -124,18 +124,20 @@ def order_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keywords-shaped raw table, one row per line, from the part name's two words. By part
     key: truncated (k%17=0), a None name between the words (k%13=5), empty list (k%19=7)."""
     li = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    x = li.join(part, li["l_partkey"] == part["p_partkey"], "left")
     words = F.split("p_name", " ")
+    # the words are cut once for a part, not for each of its lines
+    part = table(spark, sf_dir, "part").select("p_partkey", F.get(words, 0).alias("_w1"), F.get(words, 1).alias("_w2"))
+    x = li.join(part, li["l_partkey"] == part["p_partkey"], "left")
+    w1, w2 = F.col("_w1"), F.col("_w2")
     k = _s("l_partkey")
     item = lambda w: F.concat(F.lit("{'id': "), k, F.lit(", 'name': '"), w, F.lit("'}"))
     pk = F.col("l_partkey")
     kw = (
-        F.when(pk % 17 == 0, F.concat(F.lit("["), item(F.get(words, 0)), F.lit(", {'id': "), k, F.lit(", 'name': '"), F.get(words, 1)))
-        .when(pk % 13 == 5, F.concat(F.lit("["), item(F.get(words, 0)), F.lit(", {'id': "), k, F.lit(", 'name': None}, "),
-                                     item(F.get(words, 1)), F.lit("]")))
+        F.when(pk % 17 == 0, F.concat(F.lit("["), item(w1), F.lit(", {'id': "), k, F.lit(", 'name': '"), w2))
+        .when(pk % 13 == 5, F.concat(F.lit("["), item(w1), F.lit(", {'id': "), k, F.lit(", 'name': None}, "),
+                                     item(w2), F.lit("]")))
         .when(pk % 19 == 7, F.lit("[]"))
-        .otherwise(F.concat(F.lit("["), item(F.get(words, 0)), F.lit(", "), item(F.get(words, 1)), F.lit("]")))
+        .otherwise(F.concat(F.lit("["), item(w1), F.lit(", "), item(w2), F.lit("]")))
     )
     return x.select(_s("l_orderkey").alias("id"), kw.alias("keywords"), *LINE_ORDER)
 

@@ -113,3 +113,17 @@ def test_rating_bridge(spark):
     assert got[7] == (2.5, 1) and 999 not in got
     # link without tmdbId dropped
     assert set(got) == {1, 7}
+
+
+def test_ids_and_ratings_are_read_once_a_row(spark):
+    """The filter that drops rows without an id tests the value that was read; it does not read the text a second time."""
+    texts = F.element_at(F.array(*[F.lit(t) for t in ("7", " 7", "12.7", "x", "", "007", "1e3")]), (F.col("id") % 7 + 1).cast("int"))
+    rows = spark.range(70).select(F.when(F.col("id") < 63, texts).alias("id"), F.lit("[{'job': 'Director', 'name': 'A'}]").alias("crew"), F.col("id").alias("_pos"))
+    links = rows.select(F.col("id").alias("movieId"), F.col("id").alias("tmdbId"), "_pos")
+    ratings = rows.select(F.lit("1").alias("userId"), F.col("id").alias("movieId"), F.col("id").alias("rating"), F.lit("").alias("timestamp"))
+    bridged = build_movie_ratings(links, ratings)
+    for built in (build_directors(rows), bridged):
+        filters = [line for line in built._jdf.queryExecution().executedPlan().toString().splitlines() if "Filter" in line]
+        assert filters and not [line for line in filters if "cast(" in line]
+    assert sorted(map(tuple, build_directors(rows).collect())) == [(7, "A"), (12, "A"), (1000, "A")]
+    assert sorted(map(tuple, bridged.collect())) == [(7, 7.0, 27), (12, 12.7, 9), (1000, 1000.0, 9)]
