@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +64,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+# Spark deletes the shuffle files of an execution when it ends.
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Writes within leave no shuffle files. What is written is read back from its files, so no one reads the shuffles again; without this
+    they stay on the executors' disks until the driver happens to collect garbage, and a job of many writes holds those of all of them. Only for
+    writes, which are planned anew each time: a frame collected twice would make its shuffles again."""
+    before = spark.conf.get(_RELEASE, None)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_RELEASE)
+        else:
+            spark.conf.set(_RELEASE, before)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -70,5 +92,6 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_released(spark):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

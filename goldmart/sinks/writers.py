@@ -1,4 +1,4 @@
-"""Sinks: gold as Parquet and CSV, analytic tables as CSV, and the output manifest."""
+"""Sinks: gold as Parquet and CSV, analytic tables as CSV, and the output manifest. A write's shuffle files are deleted when it ends."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldmart.session import shuffles_released
 from goldmart.sinks.versions import PREFIX
 
 # Tables with a fixed row bound, written as one part file each.
@@ -25,7 +26,8 @@ def csv_ready(df: DataFrame) -> DataFrame:
 
 def write_parquet(df: DataFrame, path: str) -> str:
     """Replace the directory on every run; Spark leaves a ``_SUCCESS`` marker."""
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -36,7 +38,8 @@ def write_keyed(df: DataFrame, path: str, key: str = "id", row_group_bytes: int
     options = {f"parquet.bloom.filter.enabled#{key}": "true"}
     if row_group_bytes:
         options["parquet.block.size"] = str(row_group_bytes)
-    df.sortWithinPartitions(key).write.mode("overwrite").options(**options).parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.sortWithinPartitions(key).write.mode("overwrite").options(**options).parquet(path)
     return path
 
 
@@ -50,7 +53,8 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int | None = Non
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"goldmart_bucketed_{uuid.uuid4().hex}"
-    df.write.format("parquet").mode("overwrite").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    with shuffles_released(spark):
+        df.write.format("parquet").mode("overwrite").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
     try:
         return spark.table(name)
     finally:
@@ -66,7 +70,8 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     # RFC 4180 quoting: a quote inside a value is doubled, values with newlines are quoted
     # and blanks at either end of a value are kept
     options = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    out.write.mode("overwrite").options(**options).csv(path)
+    with shuffles_released(df.sparkSession):
+        out.write.mode("overwrite").options(**options).csv(path)
     return path
 
 

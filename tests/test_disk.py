@@ -1,0 +1,102 @@
+"""Disk of jobs with many writes: a write leaves no shuffle files, and gold's side tables are stored one after the other."""
+
+import datetime as dt
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from goldmart.plans import catalogue
+from goldmart.plans.frames import table
+from goldmart.session import materialize
+from goldmart.sinks.writers import write_bucketed, write_csv, write_keyed, write_parquet
+
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {name for name in (f.rsplit("/", 1)[-1] for f in files) if name.startswith("shuffle_")}
+
+
+def left_behind(spark, before):
+    """Shuffle files that are new and stay: Spark deletes them in the background."""
+    until = time.monotonic() + 10
+    while (left := shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.1)
+    return left
+
+
+@pytest.fixture(scope="module")
+def mart(spark, tmp_path_factory):
+    """Two of each order's lines are the same row, some keys are null, and some orders have no line."""
+    d = str(tmp_path_factory.mktemp("run-mart"))
+    day = dt.datetime(1995, 1, 1)
+    orders = [(k, k % 5 if k % 7 else None, "OFP"[k % 3], 1000.0 * k, day + dt.timedelta(days=400 * (k % 9)), f"{k % 5 + 1}-LEVEL") for k in range(1, 61)]
+    lines = [
+        (k if k % 11 else None, (3 * k + n) % 40 if n < 4 else None, k % 6, n, float(k % 8 + n), 900.0 + 37 * k + n, 0.01 * (k % 10), 0.02,
+         "ANR"[n % 3], "OF"[n % 2], day + dt.timedelta(days=400 * (k % 9) + 5 * n))
+        for k in range(1, 51) for n in range(1, 6)
+    ]
+    rows = {
+        "orders": (orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": (lines + lines[::2], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+        "customer": ([(k, f"Customer {k}" if k else None) for k in range(4)], "c_custkey bigint, c_name string"),
+        "part": ([(k, f"w{k % 7} v{k % 3}" if k % 9 else None) for k in range(38)], "p_partkey bigint, p_name string"),
+    }
+    for name, (values, schema) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{d}/{name}.parquet")
+    return d
+
+
+WRITERS = {
+    "materialize": lambda df, path: materialize(df), "parquet": write_parquet, "keyed": write_keyed, "csv": write_csv,
+    "bucketed": lambda df, path: write_bucketed(df, path, "id"),
+}
+
+
+@pytest.mark.parametrize("name", WRITERS)
+def test_a_write_leaves_no_shuffle_files(spark, tmp_dir, name):
+    df = spark.range(1000).groupBy((F.col("id") % 10).alias("id")).count().repartition(3, "count")
+    before = shuffle_files(spark)
+    WRITERS[name](df, f"{tmp_dir}/out")
+    assert not left_behind(spark, before)
+    assert spark.conf.get(RELEASE) == "false"
+    assert {r["count"] for r in df.collect()} == {100}
+
+
+def test_the_callers_setting_is_put_back_when_a_write_fails(spark, tmp_dir):
+    spark.conf.set(RELEASE, "true")
+    try:
+        with pytest.raises(Exception):
+            write_parquet(spark.range(3).select(F.raise_error(F.lit("no"))), f"{tmp_dir}/out")
+        assert spark.conf.get(RELEASE) == "true"
+    finally:
+        spark.conf.unset(RELEASE)
+
+
+def test_output_manifest_leaves_no_shuffle_files_and_stores_gold_once(spark, mart, monkeypatch):
+    monkeypatch.setattr(catalogue, "materialize", lambda *_: pytest.fail("gold is stored beside its own output"))
+    outputs, manifest = {}, catalogue.manifest
+    monkeypatch.setattr(catalogue, "manifest", lambda s, paths: outputs.update(paths=list(paths)) or manifest(s, outputs["paths"]))
+    before = shuffle_files(spark)
+    found = catalogue.q_output_manifest(spark, mart)
+    assert not left_behind(spark, before)
+    assert found.count() == len(outputs["paths"]) == 13
+    gold = catalogue.flat(catalogue.order_gold(spark, mart))
+    parquet = next(p for p in outputs["paths"] if p.endswith("_parquet"))
+    csv = next(p for p in outputs["paths"] if p.endswith("filmes_processados.csv"))
+    written = catalogue.flat(spark.read.parquet(parquet))
+    assert written.count() == gold.count() == catalogue._read_csv(spark, csv).count() > 0
+    assert not written.exceptAll(gold).count() and not gold.exceptAll(written).count()
+
+
+def test_staged_gold_reads_stored_side_tables(spark, mart):
+    assert table(spark, mart, "lineitem").where("l_orderkey IS NULL").count()
+    gold, staged = catalogue.order_gold(spark, mart), catalogue.staged_gold(spark, mart)
+    assert staged.schema == gold.schema
+    assert staged.count() == gold.count() > 0 and not staged.exceptAll(gold).count()
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "silver-keywords-" in plan and "silver-directors-" in plan and "silver-ratings-" in plan
+    assert "c_name" not in plan and "p_name" not in plan
